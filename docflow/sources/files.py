@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
@@ -32,43 +33,76 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_extracts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Page extracts below ``path``, one object per file, and the files that could not be parsed."""
+def read_extracts(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Page extracts below ``path`` and what could not be parsed, each with its file.
+
+    A file holds one object, or one per line with ``lines``.
+    """
+    parsed = F.from_json(
+        "value", f"{schemas.PAGE_EXTRACT}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    )
     rows = (
-        spark.read.schema(f"{schemas.PAGE_EXTRACT}, {BAD} string")
-        .options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, recursiveFileLookup=True)
-        .json(path)
-        .withColumn("extract_path", F.col("_metadata.file_path"))
+        spark.read.option("wholetext", not lines)
+        .option("recursiveFileLookup", True)
+        .text(path)
+        .select("value", F.col("_metadata.file_path").alias("extract_path"), parsed.alias("_x"))
     )
-    good = rows.filter(F.col(BAD).isNull()).drop(BAD)
-    bad = rows.filter(F.col(BAD).isNotNull()).select("extract_path", F.col(BAD).alias("content"))
+    broken = F.col("_x").isNull() | F.col(f"_x.{BAD}").isNotNull()
+    good = rows.filter(~broken).select("_x.*", "extract_path").drop(BAD)
+    bad = rows.filter(broken).select("extract_path", F.col("value").alias("content"))
     return good, bad
 
 
+PAGE_TABLE = f"file_name string, extract_path string, {schemas.PAGE_EXTRACT}"
+
+
 def read_page_table(spark: SparkSession, path: str) -> DataFrame:
-    """Extracts as this package writes them: one object per line, in a folder per document."""
-    return spark.read.schema(f"{schemas.PAGE_EXTRACT}, file_name string").json(path)
+    """Extracts as :func:`write_pages` keeps them: one object per line."""
+    return spark.read.schema(f"{PAGE_TABLE}, bucket int").json(path)
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Write page extracts by document; documents that are written replace what they had."""
+def bucket_of(column: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+
+def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
+    """Keep page extracts in hash buckets of documents; a document that is written replaces what it had.
+
+    Only buckets that are met get read and written. Buckets, not a folder per
+    document, keep the number of files in hand however many documents there are.
+    """
+    spark = pages.sparkSession
+    keyed = pages.withColumn("bucket", bucket_of("file_name", buckets))
+    touched = [r["bucket"] for r in keyed.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    try:
+        old = read_page_table(spark, path).filter(F.col("bucket").isin(touched))
+    except AnalysisException:  # nothing written yet
+        kept = keyed
+    else:
+        others = old.join(keyed.select("file_name").distinct(), "file_name", "left_anti")
+        kept = others.unionByName(keyed, allowMissingColumns=True)
     (
-        pages.write.mode("overwrite")
+        kept.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_name")
+        .partitionBy("bucket")
         .json(path)
     )
 
 
-def rewrite_changed(filled: DataFrame, path: str) -> None:
-    """Write only documents with a changed page again."""
+def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:
+    """Write the documents that have a changed page again, and no others."""
     touched = filled.filter("changed").select("file_name").distinct()
-    write_pages(filled.join(touched, "file_name", "left_semi").drop("changed"), path)
+    write_pages(filled.join(touched, "file_name", "left_semi").drop("changed"), path, buckets)
 
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Chunks as JSON lines in a folder per document; no chunks make an empty folder."""
-    chunks.withColumn("document", F.col("file_name")).write.mode("overwrite").partitionBy("document").json(path)
+def write_chunks(chunks: DataFrame, path: str, buckets: int = 64) -> None:
+    """Chunks as JSON lines in hash buckets of documents; no chunks make an empty folder."""
+    (
+        chunks.withColumn("bucket", bucket_of("file_name", buckets))
+        .write.mode("overwrite").partitionBy("bucket").json(path)
+    )
 
 
 def read_payloads(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
