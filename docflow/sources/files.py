@@ -42,9 +42,7 @@ def read_extracts(spark: SparkSession, path: str, lines: bool = False) -> tuple[
         "value", f"{schemas.PAGE_EXTRACT}, {BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     )
     rows = (
-        spark.read.option("wholetext", not lines)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=not lines, recursiveFileLookup=True)
         .select("value", F.col("_metadata.file_path").alias("extract_path"), parsed.alias("_x"))
     )
     broken = F.col("_x").isNull() | F.col(f"_x.{BAD}").isNotNull()
