@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.text import MISSING
@@ -54,12 +54,15 @@ def _item(line):
 
 
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return paged(table(spark, sf, "documents"))
+
+
+def paged(documents: DataFrame) -> DataFrame:
     """Ten lines make a page: one row per page with its lines, made inside the document's row."""
     lines = F.split("text", "\n")
     starts = F.sequence(F.lit(0), F.floor((F.size("_lines") - 1) / F.lit(PAGE_LINES)).cast("int"))
     return (
-        table(spark, sf, "documents")
-        .select("doc_id", "lang", "source", lines.alias("_lines"))
+        documents.select("doc_id", "lang", "source", lines.alias("_lines"))
         .select(
             "doc_id", "lang", "source",
             F.posexplode(F.transform(starts, lambda i: F.slice("_lines", i * PAGE_LINES + 1, PAGE_LINES))).alias("_p", "lines"),
@@ -93,6 +96,86 @@ def to_extracts(pages: DataFrame) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- layout results
+
+def layout(spark: SparkSession, sf: str) -> DataFrame:
+    """A line is a paragraph with its place in the text; every ninth line is a table, every second of these
+    with a second span on the line after it."""
+    lines = F.split("text", "\n")
+    spans = "array<struct<offset:bigint,length:bigint>>"
+    placed = (
+        table(spark, sf, "documents")
+        .select("doc_id", F.col("text").alias("content"), lines.alias("_l"), F.transform(lines, F.length).alias("_n"))
+        .withColumn(
+            "_rows",
+            F.transform(
+                "_l",
+                lambda line, i: F.struct(
+                    i.cast("bigint").alias("i"),
+                    (F.aggregate(F.slice("_n", F.lit(1), i), F.lit(0), lambda a, n: a + n) + i).cast("bigint").alias("o"),
+                    F.length(line).cast("bigint").alias("n"),
+                    line.alias("line"),
+                ),
+            ),
+        )
+        .withColumn("_rows", F.filter("_rows", lambda r: r["n"] > 0))
+    )
+    role = lambda r: (
+        F.when((r["i"] == 0) | (r["i"] % 50 == 5), "title")
+        .when(r["i"] % 13 == 4, "pageHeader")
+        .when(r["n"] < 30, "sectionHeading")
+    )
+    span = lambda r: F.struct(r["o"].alias("offset"), r["n"].alias("length"))
+    paragraphs = F.transform(
+        "_rows",
+        lambda r: F.struct(
+            F.array(span(r)).alias("spans"),
+            role(r).alias("role"),
+            F.array(F.struct(F.floor(r["i"] / 10 + 1).cast("int").alias("pageNumber"))).alias("boundingRegions"),
+        ),
+    )
+
+    def cell(row: int, column: int, kind: str | None, width: int | None, content) -> Column:
+        return F.struct(
+            F.lit(row).alias("rowIndex"), F.lit(column).alias("columnIndex"), F.lit(kind).cast("string").alias("kind"),
+            F.lit(width).cast("int").alias("columnSpan"), F.lit(None).cast("int").alias("rowSpan"),
+            content.cast("string").alias("content"),
+        )
+
+    def made(r):
+        after = F.filter("_rows", lambda x: (x["i"] == r["i"] + 1) & (r["i"] % 18 == 17))
+        return F.struct(
+            F.concat(F.array(span(r)), F.transform(after, span)).cast(spans).alias("spans"),
+            F.lit(2).alias("rowCount"),
+            F.array(
+                cell(1, 1, None, 2, r["i"]), cell(0, 0, "columnHeader", 1, F.substring(r["line"], 1, 10)), cell(1, 0, None, None, r["n"])
+            ).alias("cells"),
+        )
+
+    tables = F.transform(F.filter("_rows", lambda r: r["i"] % 9 == 8), made)
+    return placed.select("doc_id", "content", tables.alias("tables"), paragraphs.alias("paragraphs"))
+
+
+LAYOUT = """lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+laid AS (
+  SELECT *, length(line) AS n,
+    CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - length(line) - 1 AS o FROM lines),
+para AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS idx, i, line, o AS start, o + n - 1 AS stop,
+    CASE WHEN i = 0 OR i % 50 = 5 THEN 'title' WHEN i % 13 = 4 THEN 'pageHeader' WHEN n < 30 THEN 'sectionHeading' END AS role,
+    i // 10 + 1 AS page FROM laid WHERE n > 0),
+tab AS (
+  SELECT a.doc_id, a.i, a.line, a.o AS start, a.o + a.n - 1 + CASE WHEN b.n > 0 AND a.i % 18 = 17 THEN b.n - 1 ELSE 0 END AS stop
+  FROM laid a LEFT JOIN laid b ON b.doc_id = a.doc_id AND b.i = a.i + 1 WHERE a.n > 0 AND a.i % 9 = 8),
+classed AS (
+  SELECT p.*, CASE WHEN EXISTS (SELECT 1 FROM tab t WHERE t.doc_id = p.doc_id AND p.start BETWEEN t.start AND t.stop) THEN 'in_table'
+    WHEN role IS NULL THEN 'text' WHEN role = 'title' THEN 'title' WHEN role = 'sectionHeading' THEN 'heading' ELSE 'dropped' END AS class
+  FROM para p)"""
+
+
+# ---------------------------------------------------------------- page extracts as SQL
 # one row per page, and one per item; positions count from 1
 PAGES = f"""lines AS (
   SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line,
