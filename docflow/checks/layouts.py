@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 from docflow.checks.shapes import LAYOUT, layout, table
 from docflow.operators import layout as L
 from docflow.operators.tables import table_html
+from docflow.session import write_once
 
 KEYS = ["doc_id"]
 
 
+def _results(spark, sf):
+    """Layout results come as a table; here they are made from documents and written once."""
+    return write_once(layout(spark, sf), "layout")
+
+
 def layout_paragraph_class(spark, sf):
-    results = layout(spark, sf)
+    results = _results(spark, sf)
     classed = L.classify(L.paragraphs_of(results, KEYS), L.tables_of(results, KEYS), KEYS)
     return classed.filter(F.col("kind") == "paragraph").select("doc_id", "idx", "class")
 
 
 def layout_document_map(spark, sf):
-    mapped = L.layout_map(layout(spark, sf), KEYS)
+    mapped = L.layout_map(_results(spark, sf), KEYS)
     return mapped.select(
         "doc_id", "offset", F.md5("text").alias("digest"), "type", F.md5("title").alias("title"),
         F.md5("subtitle").alias("subtitle"), F.md5("section").alias("section"), "page_number",

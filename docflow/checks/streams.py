@@ -28,7 +28,7 @@ def stream_enrich(spark, sf):
     """Events as short comments; a fifth of them arrives twice and is answered once."""
     source, output = fresh_path(spark, "events"), fresh_path(spark, "answers")
     events = shapes.table(spark, sf, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat_ws(" ", "event_type", "props").alias("comments")
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat_ws(" ", "event_type", "props", F.pow(F.lit(2), F.col("event_id") % 61).cast("bigint").cast("string")).alias("comments")
     )
     events.write.parquet(source)
     events.filter(F.col("event_id") % 5 == 0).write.mode("append").parquet(source)
@@ -41,7 +41,7 @@ QUERIES = {"stream_chunk_upsert": stream_chunk_upsert, "stream_enrich": stream_e
 
 ORACLE = {
     "stream_chunk_upsert": pages.ORACLE["chunk_build"],
-    "stream_enrich": f"""WITH e AS (SELECT event_id, length(event_type || ' ' || props) + {len(REVIEW_PROMPT)} AS n FROM events)
+    "stream_enrich": f"""WITH e AS (SELECT event_id, length(event_type || ' ' || props || ' ' || CAST(pow(2, event_id % 61) AS BIGINT)) + {len(REVIEW_PROMPT)} AS n FROM events)
 SELECT event_id, CASE n % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS output_sentiment,
   CASE n % 3 WHEN 0 THEN 'continue' WHEN 1 THEN 'improve' ELSE 'N/A' END AS output_action_type
 FROM e WHERE n % 23 <> 0""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators.scan import Running, running
 from docflow.operators.tables import table_html
+from docflow.session import write_once
 
 
 def _span_end(span: Column) -> Column:
@@ -107,9 +108,19 @@ def document_map(
 ) -> DataFrame:
     """Text and table rows with titles, section and page.
 
-    Scans run over narrow rows; texts are joined to their results at the end.
+    Scans run over narrow rows; texts are joined to their results at the end. A scan
+    reads its input twice, so the narrow rows are written between scans: passes over
+    the layout results stay two, however many scans follow.
     """
-    classed = classify(paragraphs, tables, keys, block)
+    spans = write_once(
+        paragraphs.select(
+            *keys, "idx", "start", "end", "role", "page",
+            F.when(F.col("role").isin("title", "sectionHeading"), F.col("text")).alias("name"),
+        ),
+        "spans",
+    )
+    narrow_tables = write_once(tables.select(*keys, "idx", "start", "end"), "table-spans")
+    classed = write_once(classify(spans, narrow_tables, keys, block), "classes")
     elements = classed.filter(F.col("class").isin("text", "table", "title", "heading"))
 
     # page of the last paragraph that starts at or before the end of the element
@@ -117,21 +128,22 @@ def document_map(
         *keys, "kind", "idx", "start", "class", F.col("end").alias("_at"),
         F.lit(None).cast("bigint").alias("page"), F.lit(1).alias("_order"),
     )
-    marks = paragraphs.select(
+    marks = spans.select(
         *keys, F.lit("mark").alias("kind"), "idx", "start", F.lit("mark").alias("class"),
         F.col("start").alias("_at"), "page", F.lit(0).alias("_order"),
     )
-    paged = (
+    paged = write_once(
         running(
             probes.unionByName(marks), keys, "_at", {"_page": Running("last", F.col("page"))},
             tie=["_order", "idx", "kind"], block=block,
         )
         .filter(F.col("_order") == 1)
-        .select(*keys, "kind", "idx", "start", "class", F.coalesce("_page", F.lit(0)).cast("bigint").alias("page_number"))
+        .select(*keys, "kind", "idx", "start", "class", F.coalesce("_page", F.lit(0)).cast("bigint").alias("page_number")),
+        "element-pages",
     )
 
-    headings = paragraphs.select(*keys, F.lit("paragraph").alias("kind"), "idx", F.col("text").alias("_text"))
-    named = paged.filter(F.col("class").isin("title", "heading")).join(headings, [*keys, "kind", "idx"])
+    names = spans.filter(F.col("name").isNotNull()).select(*keys, "idx", F.col("name").alias("_text"))
+    named = write_once(paged.filter(F.col("class").isin("title", "heading")).join(names, [*keys, "idx"]), "headings")
     titles = named.filter(F.col("class") == "title")
     firsts = titles.groupBy(*keys).agg(F.min("start").alias("start")).withColumn("_first", F.lit(True))
     grown = running(
@@ -161,7 +173,8 @@ def document_map(
     ).filter(F.col("class").isin("text", "table"))
 
     counts = tables.select(*keys, "idx", "row_count") if "row_count" in tables.columns else None
-    texts = headings.unionByName(
+    bodies = paragraphs.select(*keys, F.lit("paragraph").alias("kind"), "idx", F.col("text").alias("_text"))
+    texts = bodies.unionByName(
         table_html(cells, [*keys, "idx"], counts).select(*keys, F.lit("table").alias("kind"), "idx", F.col("html").alias("_text"))
     )
     blank = F.lit("")

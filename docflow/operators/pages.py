@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from docflow.functions.text import has_text, missing_to_null, page_file
 from docflow.operators.scan import Running, row_numbers, running
+from docflow.operators.skew import lookup
+from docflow.session import write_once
 
 
 def enumerate_pages(docs: DataFrame, pages: Column, file_name: Column, image_dir: str) -> DataFrame:
@@ -80,7 +82,8 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
     What a page hands on depends on earlier pages only if its first item is open
     and every later item follows it. All other pages settle it themselves, so the
     value that reaches a page is the last settled one, found by a running scan over
-    one narrow row per page. Page contents are joined only to that narrow result.
+    one narrow row per page, written first as the scan reads it more than once.
+    Page contents are read twice in all, and joined only to the narrow result.
     """
     names = F.transform(
         "page_content",
@@ -100,7 +103,7 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
     )
     first, last = F.get("_names", F.lit(0)), F.try_element_at("_names", F.lit(-1))
     filled = F.coalesce(F.size("page_content"), F.lit(0)) > 0
-    narrow = (
+    narrow = write_once(
         pages.withColumn("_names", names)
         .withColumn("_heads", heads)
         .select(
@@ -111,7 +114,8 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
             first["p"].alias("_p0"),
             last.alias("_last"),
             F.get("_names", F.try_element_at("_heads", F.lit(-1))).alias("_settled"),
-        )
+        ),
+        "page-states",
     )
     firsts = narrow.groupBy(*keys).agg(F.min(seq).alias(seq)).withColumn("_first", F.lit(True))
     marked = narrow.join(firsts, [*keys, seq], "left").withColumn("_first", F.coalesce("_first", F.lit(False)))
@@ -186,6 +190,4 @@ def missing_extracts(listed: DataFrame, loaded: DataFrame, keys: list[str]) -> D
 
 def enrich_pages(pages: DataFrame, documents: DataFrame, key: str, seq: str, block: int = 4096) -> DataFrame:
     """Hand title and summary of a document to each of its pages."""
-    from docflow.operators.skew import lookup
-
     return lookup(pages, documents, [key], F.floor(F.col(seq) / F.lit(block)))
