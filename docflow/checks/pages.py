@@ -21,7 +21,9 @@ IMAGES = "images"
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
-    rows = extracts(spark, sf).select("doc_id", "page_sequence_number", F.posexplode("page_content").alias("j", "i"))
+    rows = extracts(spark, sf).select(
+        "doc_id", "page_sequence_number", F.posexplode_outer("page_content").alias("j", "i")
+    ).filter(F.col("i").isNotNull())
     return rows.select("doc_id", F.col("page_sequence_number").alias("page"), (F.col("j") + 1).cast("bigint").alias("j"), "i.*")
 
 
@@ -83,7 +85,10 @@ def _filled(spark, sf):
 
 
 def _filled_items(filled: DataFrame) -> DataFrame:
-    return filled.select("doc_id", F.col("page_sequence_number").alias("page"), F.posexplode("page_content").alias("j", "i")).select(
+    rows = filled.select(
+        "doc_id", F.col("page_sequence_number").alias("page"), F.posexplode_outer("page_content").alias("j", "i")
+    ).filter(F.col("i").isNotNull())
+    return rows.select(
         "doc_id", "page", (F.col("j") + 1).cast("bigint").alias("j"),
         F.col("i.section_name").alias("section"), F.col("i.parent_section_name").alias("parent"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.text import MISSING
+from docflow.session import spread
 
 USER = "user1@example.com"
 
@@ -23,7 +24,7 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("doc_id") % 25 == 7, F.lit(None))
         .otherwise(F.col("text"))
     )
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source")).select(
         "doc_id", F.col("source").alias("hotel"), F.col("lang").alias("highlights"), comment.alias("comments")
     )
 
@@ -54,7 +55,7 @@ def _item(line):
 
 
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return paged(table(spark, sf, "documents"))
+    return paged(spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source")))
 
 
 def paged(documents: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def layout(spark: SparkSession, sf: str) -> DataFrame:
     lines = F.split("text", "\n")
     spans = "array<struct<offset:bigint,length:bigint>>"
     placed = (
-        table(spark, sf, "documents")
+        spread(table(spark, sf, "documents").select("doc_id", "text"))
         .select("doc_id", F.col("text").alias("content"), lines.alias("_l"), F.transform(lines, F.length).alias("_n"))
         .withColumn(
             "_rows",

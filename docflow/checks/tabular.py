@@ -14,6 +14,7 @@ from docflow.operators import registry as R
 from docflow.operators import split as S
 from docflow.operators import sqlqa as Q
 from docflow.operators import upsert as U
+from docflow.operators.skew import lookup, salt_of
 from docflow.plans import training
 from docflow.session import fresh_path
 from docflow.sources import files
@@ -236,7 +237,8 @@ def _items(spark, sf):
     )
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size", "p_retailprice")
     key = F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return line.join(part, "l_partkey").withColumn("row_key", key)
+    joined = lookup(line, part, ["l_partkey"], salt_of(F.col("l_orderkey"), F.col("l_linenumber")), "inner")
+    return joined.withColumn("row_key", key)
 
 
 _DROP = ["row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]

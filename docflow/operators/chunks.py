@@ -19,7 +19,8 @@ def build_chunks(pages: DataFrame, user_id: str, image_dir: str, id_prefix: str
 
     ``pages`` holds a page extract per row plus ``file_path`` and ``extract_path``.
     Items are numbered before blank ones are dropped. ``id_prefix`` replaces the
-    user in the id. Nothing is shuffled.
+    user in the id. Nothing is shuffled. (An outer explode is used as a plain one has
+    the optimizer test the size of the array first, and so compute the array twice.)
     """
     page = pages.select(
         "file_path",
@@ -31,7 +32,7 @@ def build_chunks(pages: DataFrame, user_id: str, image_dir: str, id_prefix: str
         T.missing_to_blank(F.col("document_title")).alias("extracted_title"),
         T.missing_to_blank(F.col("document_summary")).alias("document_summary"),
         F.coalesce("page_sequence_number", F.lit(0)).cast("bigint").alias("page_sequence_number"),
-        F.posexplode("page_content").alias("_pos", "_item"),
+        F.posexplode_outer("page_content").alias("_pos", "_item"),
     ).filter(T.has_text(F.col("_item")["text"]))
     item = F.col("_item")
     parts = page.withColumns(

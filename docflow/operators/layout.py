@@ -14,6 +14,11 @@ def _span_end(span: Column) -> Column:
     return span["offset"] + span["length"] - 1
 
 
+def _exploded(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Outer explode and filter: a plain explode would have the computed array computed twice."""
+    return rows.select(*keys, F.explode_outer("_rows").alias("_r")).filter(F.col("_r").isNotNull()).select(*keys, "_r.*")
+
+
 def paragraphs_of(layout: DataFrame, keys: list[str]) -> DataFrame:
     """One row per paragraph with its text, cut from the content before rows are multiplied."""
     def row(p: Column, i: Column) -> Column:
@@ -28,7 +33,7 @@ def paragraphs_of(layout: DataFrame, keys: list[str]) -> DataFrame:
         )
 
     rows = layout.select(*keys, F.transform("paragraphs", row).alias("_rows"))
-    return rows.select(*keys, F.explode("_rows").alias("_r")).select(*keys, "_r.*")
+    return _exploded(rows, keys)
 
 
 def tables_of(layout: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,7 +50,7 @@ def tables_of(layout: DataFrame, keys: list[str]) -> DataFrame:
         )
 
     rows = layout.select(*keys, F.transform("tables", row).alias("_rows"))
-    return rows.select(*keys, F.explode("_rows").alias("_r")).select(*keys, "_r.*")
+    return _exploded(rows, keys)
 
 
 def cells_of(layout: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.text import html_escape
-from docflow.operators.pages import join_texts
 
 
 def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None = None, block: int = 1000) -> DataFrame:
@@ -15,7 +14,9 @@ def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None =
     ``cells`` has ``row_index, column_index, kind, column_span, row_span, content``
     beside ``keys``; ``row_counts`` (``keys, row_count``) adds rows without cells.
     A head is opened if row 0 is a header row and closed before the first row that
-    is none, or at the end. Cells become rows, rows blocks of rows, blocks a table.
+    is none, or at the end. Cells become rows, rows blocks of rows, blocks a table;
+    a block is kept in two halves, above and from its first row that is no header,
+    so that the table can put the close where it belongs.
     """
     heading = F.coalesce(F.col("kind").isin("columnHeader", "rowHeader"), F.lit(False))
     tag = F.when(heading, F.lit("th")).otherwise(F.lit("td"))
@@ -45,29 +46,46 @@ def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None =
             *keys, "row_index", F.coalesce("_cells", F.lit("")).alias("_cells"),
             F.coalesce("_header", F.lit(False)).alias("_header"),
         )
-    heads = rows.groupBy(*keys).agg(
-        F.max(F.when(F.col("row_index") == 0, F.col("_header"))).alias("_open"),
-        F.min(F.when(~F.col("_header"), F.col("row_index"))).alias("row_index"),
+    line = F.concat(
+        F.when((F.col("row_index") == 0) & F.col("_header"), F.lit("<thead>")).otherwise(F.lit("")),
+        F.lit("<tr>"), "_cells", F.lit("</tr>"),
     )
-    opened = F.coalesce("_open", F.lit(False))
-    closers = heads.filter(opened & F.col("row_index").isNotNull()).select(
-        *keys, "row_index", F.lit("</thead>").alias("_close")
+    blocks = (
+        rows.select(*keys, "row_index", "_header", line.alias("_line"))
+        .groupBy(*keys, F.floor(F.col("row_index") / F.lit(block)).alias("_block"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct(F.col("row_index").alias("o"), F.col("_line").alias("v")))).alias("_lines"),
+            F.min(F.when(~F.col("_header"), F.col("row_index"))).alias("_body"),
+            F.max((F.col("row_index") == 0) & F.col("_header")).alias("_open"),
+        )
     )
-    lines = rows.join(closers, [*keys, "row_index"], "left").select(
-        *keys,
-        "row_index",
-        F.concat(
-            F.coalesce("_close", F.lit("")),
-            F.when((F.col("row_index") == 0) & F.col("_header"), F.lit("<thead>")).otherwise(F.lit("")),
-            F.lit("<tr>"), "_cells", F.lit("</tr>"),
-        ).alias("_line"),
+
+    def joined(keep) -> Column:
+        return F.array_join(F.transform(F.filter("_lines", keep), lambda p: p["v"]), "")
+
+    halves = blocks.select(
+        *keys, "_block", "_open", F.col("_body").isNotNull().alias("_turns"),
+        joined(lambda p: F.col("_body").isNull() | (p["o"] < F.col("_body"))).alias("_above"),
+        joined(lambda p: p["o"] >= F.col("_body")).alias("_below"),
+    )
+    tables = halves.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_block", "_turns", "_above", "_below"))).alias("_parts"),
+        F.max("_open").alias("_open"),
+        F.min(F.when(F.col("_turns"), F.col("_block"))).alias("_first"),
     )
-    bodies = join_texts(lines, keys, "row_index", "_line", "_body", separator="", block=block)
-    ends = heads.select(
-        *keys, F.when(opened & F.col("row_index").isNull(), F.lit("</thead>")).otherwise(F.lit("")).alias("_end")
+    close = F.when(F.col("_open"), F.lit("</thead>")).otherwise(F.lit(""))
+    part = F.transform(
+        "_parts",
+        lambda p: F.concat(
+            p["_above"], F.when(p["_block"] == F.col("_first"), close).otherwise(F.lit("")), p["_below"]
+        ),
     )
-    result = bodies.join(ends, keys).select(
-        *keys, F.concat(F.lit("<table>"), "_body", "_end", F.lit("</table>")).alias("html")
+    result = tables.select(
+        *keys,
+        F.concat(
+            F.lit("<table>"), F.array_join(part, ""), F.when(F.col("_first").isNull(), close).otherwise(F.lit("")),
+            F.lit("</table>"),
+        ).alias("html"),
     )
     if row_counts is None:
         return result

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from docflow.operators.pages import number_groups
+from docflow.session import write_once
 
 
 def latest_fields(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -46,8 +47,9 @@ def upsert_table(
 
     Merging the same changes again gives the same table, so a repeated batch does no harm.
     """
-    new = latest_fields(changes, keys, order).withColumn(
-        "bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = write_once(
+        latest_fields(changes, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")),
+        "changes",
     )
     touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
     if not touched:

@@ -20,12 +20,13 @@ ANSWERS = {
 }
 
 
-def ask(df: DataFrame, kind: str, images: Column, prompt: Column, factory: ClientFactory, detail: str = "high") -> DataFrame:
-    """One call per row; the answer is written once, so that later steps read it."""
+def ask(
+    df: DataFrame, kind: str, images: Column, prompt: Column, keep: list[str], factory: ClientFactory, detail: str = "high"
+) -> DataFrame:
+    """One call per row; the answer is written once beside the columns to keep, so that later steps read it."""
+    messages = multimodal_messages(prompt_for(F.lit(kind)), images, prompt, detail)
     called = complete_rows(
-        df.withColumn("messages", multimodal_messages(prompt_for(F.lit(kind)), images, prompt, detail)),
-        factory=factory,
-        params={**PAGE_PARAMS, "kind": ANSWERS[kind]},
+        df.select(*keep, messages.alias("messages")), factory=factory, params={**PAGE_PARAMS, "kind": ANSWERS[kind]}
     )
     return write_once(called.drop("messages"), kind)
 
@@ -48,7 +49,7 @@ def extract(
         field = ANSWERS[kind]
         return gate.payload_json(response, f"struct<{field}:string>")[field]
 
-    titles = ask(first_pages(pages, [key], seq, url, title_pages), "title", F.col(url + "s"), none, factory).select(
+    titles = ask(first_pages(pages, [key], seq, url, title_pages), "title", F.col(url + "s"), none, [key], factory).select(
         key,
         F.coalesce(answer("title"), F.lit("")).alias("document_title"),
         gate.reported_reason(gate.finish_reason(response)).alias("extract_title_finish_reason"),
@@ -57,24 +58,25 @@ def extract(
     grouped = group_values(
         pages.withColumn("_grp", F.floor((F.col(seq) - 1) / F.lit(summary_pages)).cast("bigint")), [key, "_grp"], seq, url
     )
-    parts = ask(grouped, "page_summary", F.col(url + "s"), none, factory).select(
+    parts = ask(grouped, "page_summary", F.col(url + "s"), none, [key, "_grp"], factory).select(
         key, "_grp", answer("page_summary").alias("_summary"), gate.finish_reason(response).alias("_reason")
     )
     reasons = parts.groupBy(key).agg(
         gate.reported_reason(F.max_by("_reason", "_grp")).alias("page_summary_finish_reason")
     )
     joined = join_texts(parts, [key], "_grp", "_summary", "_joined")
-    summaries = ask(joined, "document_summary", no_images, F.col("_joined"), factory).select(
+    summaries = ask(joined, "document_summary", no_images, F.col("_joined"), [key], factory).select(
         key,
         F.coalesce(answer("document_summary"), F.lit("")).alias("document_summary"),
         gate.reported_reason(gate.finish_reason(response)).alias("document_summary_finish_reason"),
     )
     documents = titles.join(reasons, key).join(summaries, key)
 
-    contents = ask(pages.drop("messages"), "content", F.array(url), none, factory)
+    kept = [c for c in pages.columns if c != url]
+    contents = ask(pages, "content", F.array(url), none, kept, factory)
     content = gate.payload_json(response, schemas.PAGE_ANSWER)
     bodies = contents.select(
-        *[c for c in contents.columns if c not in (url, "chat_completions", "error")],
+        *kept,
         content.alias("_c"),
         gate.reported_reason(gate.finish_reason(response)).alias("llm_extract_content_finish_reason"),
     ).select("*", "_c.*").drop("_c")

@@ -31,6 +31,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out anew where the input comes in fewer splits than there are cores.
+
+    Large inputs have far more splits than that and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_once(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 

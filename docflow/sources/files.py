@@ -8,6 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
+from docflow.operators.skew import lookup, salt_of
 
 BAD = "_bad"
 
@@ -79,7 +80,10 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
     except AnalysisException:  # nothing written yet
         kept = keyed
     else:
-        others = old.join(keyed.select("file_name").distinct(), "file_name", "left_anti")
+        replaced = keyed.select("file_name").distinct().withColumn("_replaced", F.lit(True))
+        others = lookup(old, replaced, ["file_name"], salt_of(F.col("page_sequence_number"))).filter(
+            F.col("_replaced").isNull()
+        ).drop("_replaced")
         kept = others.unionByName(keyed, allowMissingColumns=True)
     (
         kept.write.mode("overwrite")
@@ -92,7 +96,8 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
 def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:
     """Write the documents that have a changed page again, and no others."""
     touched = filled.filter("changed").select("file_name").distinct()
-    write_pages(filled.join(touched, "file_name", "left_semi").drop("changed"), path, buckets)
+    again = lookup(filled.drop("changed"), touched, ["file_name"], salt_of(F.col("page_sequence_number")), "inner")
+    write_pages(again, path, buckets)
 
 
 def write_chunks(chunks: DataFrame, path: str, buckets: int = 64) -> None:
