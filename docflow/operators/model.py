@@ -113,16 +113,17 @@ def call_model(
 ) -> Column:
     """Struct of response text, error code and error message for an array of messages.
 
-    Only the messages cross to Python. Each task opens one client and keeps
-    ``concurrency`` calls in flight.
+    Only the messages cross to Python. Each task that has rows opens one client and
+    keeps ``concurrency`` calls in flight.
     """
     settings = dict(params or {})
 
     @F.pandas_udf("response string, code string, message string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        client = factory()
+        client = None
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
+                client = client or factory()
                 done = pool.map(
                     lambda m: (None, None, None) if m is None else _attempt(client, json.loads(m), settings, retries, pause),
                     batch,
@@ -198,9 +199,10 @@ def embed_text(factory: ClientFactory = StubClient, batch: int = 16, remembered:
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        client = factory()
+        client = None
         memory: OrderedDict[str, list[float]] = OrderedDict()
         for texts in batches:
+            client = client or factory()
             known = {t: memory[t] for t in texts.dropna().unique() if t in memory}
             new = [t for t in texts.dropna().unique() if t not in known]
             for at in range(0, len(new), batch):
