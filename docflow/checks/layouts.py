@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docflow.checks.shapes import LAYOUT, layout, table
 from docflow.operators import layout as L
 from docflow.operators.tables import table_html
-from docflow.session import write_once
+from docflow.session import spread, write_once
 
 KEYS = ["doc_id"]
 
@@ -33,7 +33,8 @@ def layout_document_map(spark, sf):
 
 def table_to_html(spark, sf):
     """A document is a table: lines are rows, words are cells; in some documents every row is a header."""
-    rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("row_index", "line"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    rows = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("row_index", "line"))
     cells = rows.select("doc_id", "row_index", F.posexplode(F.split("line", " ")).alias("column_index", "content")).select(
         "*",
         F.when((F.col("row_index") == 0) | (F.col("doc_id") % 7 == 0), "columnHeader")

@@ -16,7 +16,7 @@ from docflow.operators import sqlqa as Q
 from docflow.operators import upsert as U
 from docflow.operators.skew import lookup, salt_of
 from docflow.plans import training
-from docflow.session import fresh_path
+from docflow.session import fresh_path, write_once
 from docflow.sources import files
 
 # ---------------------------------------------------------------- upsert
@@ -241,22 +241,27 @@ def _items(spark, sf):
     return joined.withColumn("row_key", key)
 
 
+def _split_items(spark, sf):
+    """Written once, as training reads its data many times."""
+    return write_once(S.split_hash(_items(spark, sf), "row_key"), "splits")
+
+
 _DROP = ["row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _TARGET = "l_extendedprice"
 
 
 def automl_trials(spark, sf):
-    trials, _ = training.train(S.split_hash(_items(spark, sf), "row_key"), _TARGET, _DROP)
+    trials, _ = training.train(_split_items(spark, sf), _TARGET, _DROP)
     return A.trial_table(spark.range(1), trials).select("name", F.round("r2", 3).alias("r2"), "status")
 
 
 def automl_best_trial(spark, sf):
-    trials, _ = training.train(S.split_hash(_items(spark, sf), "row_key"), _TARGET, _DROP, max_trials=2)
+    trials, _ = training.train(_split_items(spark, sf), _TARGET, _DROP, max_trials=2)
     return A.trial_table(spark.range(1), trials).agg(F.max_by("name", "r2").alias("name"), F.round(F.max("r2"), 3).alias("r2"))
 
 
 def _scored(spark, sf):
-    prepared = S.split_hash(_items(spark, sf), "row_key")
+    prepared = _split_items(spark, sf)
     _, best = training.train(prepared, _TARGET, _DROP, max_trials=1)
     empty = spark.createDataFrame([], "name string, version bigint, run_id string, uri string, path string, r2 double")
     row = training.register(empty, "price", best, "run-1", fresh_path(spark, "model"))

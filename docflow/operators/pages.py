@@ -188,6 +188,13 @@ def missing_extracts(listed: DataFrame, loaded: DataFrame, keys: list[str]) -> D
     return listed.join(loaded, keys, "left_anti")
 
 
+def require_complete(listed: DataFrame, loaded: DataFrame, keys: list[str]) -> None:
+    """Stop where a listed page has not been loaded; names one that is missing."""
+    missing = missing_extracts(listed, loaded, keys).select(*keys).head()
+    if missing is not None:
+        raise ValueError(f"not loaded: {missing.asDict()}")
+
+
 def enrich_pages(pages: DataFrame, documents: DataFrame, key: str, seq: str, block: int = 4096) -> DataFrame:
     """Hand title and summary of a document to each of its pages."""
     return lookup(pages, documents, [key], F.floor(F.col(seq) / F.lit(block)))

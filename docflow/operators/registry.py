@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,12 @@ def run_id(mlmodel_text: Column) -> Column:
     return F.trim(F.split_part(F.try_element_at(lines, F.lit(-1)), F.lit(":"), F.lit(2)))
 
 
+def read_run_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Run id of every model file below ``path``; a file is one row."""
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    return texts.select(F.col("_metadata.file_path").alias("path"), run_id(F.col("value")).alias("run_id"))
+
+
 def model_uri(run: Column) -> Column:
     return F.format_string("runs:/%s/outputs/mlflow-model", run)
 

@@ -27,8 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call has been given."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other call has been given.
+
+    Paths of one application share a folder, so that it can be dropped when the application is done.
+    """
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -37,8 +37,18 @@ def stream_reviews(
     rows: DataFrame, key: str, time: str, comment: str, output: str, checkpoint: str,
     factory: ClientFactory = StubClient, delay: str = "1 day",
 ) -> StreamingQuery:
-    """Complete arriving rows, each key once within the delay, and append the parsed answers."""
-    once = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """Complete arriving rows, each key once within the delay, and append the parsed answers.
+
+    Copies of a key are first dropped within their input split, so that a key with
+    very many copies does not meet in one task, and then across splits.
+    """
+    once = (
+        rows.withColumn("_split", F.spark_partition_id())
+        .withWatermark(time, delay)
+        .dropDuplicatesWithinWatermark([key, "_split"])
+        .dropDuplicatesWithinWatermark([key])
+        .drop("_split")
+    )
     answers = parse(as_json(complete(once, factory, comment=comment)))
     return (
         answers.writeStream.format("parquet")

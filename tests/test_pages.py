@@ -156,3 +156,10 @@ def test_sample_extracts(spark):
     ).select("file_path", "page_sequence_number", "j", "i.section_name", "i.parent_section_name")
     new = pair(filled).exceptAll(pair(pages)).collect()
     assert len(new) == 3 and {(r["file_path"], r["page_sequence_number"]) for r in new} == {("AzureOpenAI FAQ.pdf", 5)}
+
+
+def test_incomplete_loads_are_stopped(spark):
+    listed = spark.createDataFrame([(1, 1), (1, 2)], "d int, p int")
+    P.require_complete(listed, listed, ["d", "p"])
+    with pytest.raises(ValueError, match="'p': 2"):
+        P.require_complete(listed, listed.filter("p = 1"), ["d", "p"])

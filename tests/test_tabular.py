@@ -176,3 +176,8 @@ def test_payloads(spark, tmp_path):
     import base64
 
     assert row["url"] == "data:image/png;base64," + base64.b64encode(bytes(range(256))).decode()
+
+
+def test_run_ids_of_files(spark, tmp_path):
+    (tmp_path / "MLmodel").write_text("a: b\nrun_id: x1\nflavor: y\n  run_id: x2 : z\nend: 1\n")
+    assert [r["run_id"] for r in R.read_run_ids(spark, str(tmp_path)).collect()] == ["x2"]
