@@ -14,7 +14,7 @@ from docflow.operators.chunks import VECTORS, build_chunks, embed_chunks
 from docflow.operators.model import embed_text
 from docflow.operators.skew import once_per_value, salt_of
 from docflow.plans import documents as plan
-from docflow.session import fresh_path
+from docflow.session import fresh_path, write_once
 from docflow.sources import files
 
 IMAGES = "images"
@@ -191,7 +191,7 @@ def embed_dedup_join(spark, sf):
 
 
 def chunk_vectors(spark, sf):
-    done = embed_chunks(_chunks(spark, sf), embed_text())
+    done = embed_chunks(write_once(_chunks(spark, sf), "chunks"), embed_text())
     return done.select("id", *[_digits(F.col(v)).alias(v) for v in VECTORS.values()])
 
 

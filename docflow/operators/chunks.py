@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions import text as T
+from docflow.operators.skew import lookup, salt_of, value_table
 
 VECTORS = {"section": "section_vector", "parent_section": "parent_section_vector", "text_content": "text_content_vector"}
 
@@ -78,17 +79,17 @@ def build_chunks(pages: DataFrame, user_id: str, image_dir: str, id_prefix: str
 def embed_chunks(chunks: DataFrame, embed, spread: Column | None = None) -> DataFrame:
     """Add the three vectors of a chunk; a blank text has an empty one.
 
-    Section names repeat much, so each distinct one is embedded once and handed
-    back. Chunk texts hardly repeat and are embedded where they lie, last, so that
-    their long vectors are never shuffled.
+    Section names repeat much, as sections and as parents: each distinct name is
+    embedded once and handed back. Chunk texts hardly repeat and are embedded where
+    they lie, last, so that their vectors are never shuffled. ``chunks`` is read
+    several times and is best a written table; write the result before it is used twice.
     """
-    from docflow.operators.skew import once_per_value, salt_of
-
     spread = salt_of(F.col("id")) if spread is None else spread
+    names = {"section": "_section", "parent_section": "_parent"}
+    out = chunks.withColumns({key: F.nullif(F.col(name), F.lit("")) for name, key in names.items()})
+    vectors = value_table(out, list(names.values()), "_vector", embed)
     empty = F.array().cast("array<float>")
-    out = chunks
-    for name in ("section", "parent_section"):
-        keyed = out.withColumn("_text", F.nullif(F.col(name), F.lit("")))
-        out = once_per_value(keyed, "_text", VECTORS[name], embed, spread).drop("_text")
-        out = out.withColumn(VECTORS[name], F.coalesce(VECTORS[name], empty))
+    for name, key in names.items():
+        out = lookup(out, vectors.select(F.col("value").alias(key), "_vector"), [key], spread)
+        out = out.withColumn(VECTORS[name], F.coalesce("_vector", empty)).drop("_vector", key)
     return out.withColumn(VECTORS["text_content"], F.coalesce(embed(F.col("text_content")), empty))

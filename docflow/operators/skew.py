@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+from docflow.session import write_once
+
+SALTS = 256
 
 
 def lookup(facts: DataFrame, dims: DataFrame, keys: list[str], spread: Column, how: str = "left") -> DataFrame:
@@ -26,11 +28,15 @@ def salt_of(*cols: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
+def value_table(facts: DataFrame, columns: list[str], output: str, compute: Callable[[Column], Column]) -> DataFrame:
+    """An expensive value for each distinct text of the columns, computed once and written."""
+    texts = facts.select(F.explode(F.array_compact(F.array(*columns))).alias("value")).distinct()
+    return write_once(texts.withColumn(output, compute(F.col("value"))), output)
+
+
 def once_per_value(
     facts: DataFrame, column: str, output: str, compute: Callable[[Column], Column], spread: Column
 ) -> DataFrame:
     """Compute an expensive value once for each distinct text of ``column`` and hand it to every row."""
-    salted = facts.withColumn("_salt", spread)
-    pairs = salted.select(column, "_salt").filter(F.col(column).isNotNull()).distinct()
-    computed = pairs.select(column).distinct().withColumn(output, compute(F.col(column)))
-    return salted.join(pairs.join(computed, column), [column, "_salt"], "left").drop("_salt")
+    values = value_table(facts, [column], output, compute).withColumnRenamed("value", column)
+    return lookup(facts, values, [column], spread)
