@@ -35,7 +35,7 @@ def scan_delimited(spark, sf):
         F.col("doc_id").cast("string").alias("review_date"), "hotel", "highlights", "comments"
     )
     files.write_delimited(rows.filter(T.not_blank(F.col("comments"))), path)
-    return files.read_delimited(spark, path, schemas.REVIEW).select(
+    return files.read_delimited(spark, path, schemas.REVIEW, multi_line=True).select(
         "review_date", "hotel", "highlights", F.md5("comments").alias("digest")
     )
 

@@ -13,10 +13,9 @@ from typing import Any, Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from docflow import schemas
-from docflow.session import write_once
+from docflow.session import read_or_empty, write_once
 
 REVIEW_PARAMS = {"max_tokens": 200, "temperature": 0.5}
 PAGE_PARAMS = {"max_tokens": 4000, "temperature": 0, "top_p": 0.95, "response_format": {"type": "json_object"}}
@@ -177,10 +176,7 @@ def complete_stored(
     spark, settings = df.sparkSession, dict(params or {})
     keyed = df.withColumn("request_key", request_key(F.col(messages), settings))
     shape = f"request_key string, chat_completions {schemas.RESPONSE}"
-    try:
-        known = spark.read.schema(shape).parquet(store)
-    except AnalysisException:  # no store yet
-        known = spark.createDataFrame([], shape)
+    known = read_or_empty(spark, store, shape)
     wanted = keyed.groupBy("request_key").agg(F.any_value(messages).alias(messages)).join(known, "request_key", "left_anti")
     done = write_once(complete_rows(wanted, messages, factory=factory, params=params, concurrency=concurrency), "calls")
     done.filter(F.col("error").isNull()).select("request_key", "chat_completions").write.mode("append").parquet(store)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from docflow.operators.pages import number_groups
-from docflow.session import write_once
+from docflow.session import read_or_empty, write_once
 
 
 def latest_fields(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -54,10 +53,7 @@ def upsert_table(
     touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
         return
-    try:
-        old = spark.read.schema(new.schema).parquet(path).filter(F.col("bucket").isin(touched))
-    except AnalysisException:  # first batch: no table yet
-        old = spark.createDataFrame([], new.schema)
+    old = read_or_empty(spark, path, new.schema).filter(F.col("bucket").isin(touched))
     (
         upsert(old, new, [*keys, "bucket"])
         .select(*new.columns)

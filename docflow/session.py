@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _test_dir: str | None = None
@@ -43,6 +44,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one where none has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_once(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
@@ -13,14 +13,16 @@ from docflow.operators.skew import lookup, salt_of
 BAD = "_bad"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "|") -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str, schema: str, sep: str = "|", multi_line: bool = False
+) -> DataFrame:
     """Delimited text with a header; every column as the schema says, nothing inferred.
 
-    Line ends inside quoted fields are kept, so comments may span lines.
+    With ``multi_line`` quoted fields may span lines, but a file is then read by one task.
     """
     return (
         spark.read.schema(schema)
-        .options(sep=sep, header=True, multiLine=True, quote='"', escape='"')
+        .options(sep=sep, header=True, multiLine=multi_line, quote='"', escape='"')
         .csv(path)
     )
 
@@ -77,8 +79,10 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
         return
     try:
         old = read_page_table(spark, path).filter(F.col("bucket").isin(touched))
-    except AnalysisException:  # nothing written yet
-        kept = keyed
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = keyed  # nothing written yet
     else:
         replaced = keyed.select("file_name").distinct().withColumn("_replaced", F.lit(True))
         others = lookup(old, replaced, ["file_name"], salt_of(F.col("page_sequence_number"))).filter(

@@ -165,7 +165,7 @@ def test_delimited(spark):
     rows = [("d", "h", "x|y", 'said "no"\nand left'), ("d", "h", "", None)]
     schema = "review_date string, hotel string, highlights string, comments string"
     files.write_delimited(spark.createDataFrame(rows, schema), path)
-    back = files.read_delimited(spark, path, schema).collect()
+    back = files.read_delimited(spark, path, schema, multi_line=True).collect()
     assert sorted(r["highlights"] or "" for r in back) == ["", "x|y"]
     assert {r["comments"] for r in back} == {'said "no"\nand left', None}
 
