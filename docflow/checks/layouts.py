@@ -42,7 +42,7 @@ def table_to_html(spark, sf):
         F.when(F.col("column_index") % 5 == 4, 3).otherwise(1).alias("column_span"),
         F.when(F.col("column_index") % 6 == 4, 2).alias("row_span"),
     )
-    return table_html(cells, KEYS).select("doc_id", F.length("html").alias("n"), F.md5("html").alias("digest"))
+    return table_html(cells, KEYS).select("doc_id", F.length("html").cast("bigint").alias("n"), F.md5("html").alias("digest"))
 
 
 QUERIES = {

@@ -166,7 +166,7 @@ def _chunks(spark, sf):
 
 
 def chunk_text(spark, sf):
-    return _chunks(spark, sf).select("id", F.length("text_content").alias("n"), F.md5("text_content").alias("digest"))
+    return _chunks(spark, sf).select("id", F.length("text_content").cast("bigint").alias("n"), F.md5("text_content").alias("digest"))
 
 
 def chunk_build(spark, sf):

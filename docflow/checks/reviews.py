@@ -26,7 +26,7 @@ def _completed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def filter_nonblank(spark, sf):
-    return _kept(spark, sf).select("doc_id", "hotel", F.length("comments").alias("n"))
+    return _kept(spark, sf).select("doc_id", "hotel", F.length("comments").cast("bigint").alias("n"))
 
 
 def scan_delimited(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.pages import number_groups
-from docflow.session import read_or_empty, write_once
+from docflow.session import for_folders, read_or_empty, write_once
 
 
 def latest_fields(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -55,8 +55,7 @@ def upsert_table(
         return
     old = read_or_empty(spark, path, new.schema).filter(F.col("bucket").isin(touched))
     (
-        upsert(old, new, [*keys, "bucket"])
-        .select(*new.columns)
+        for_folders(upsert(old, new, [*keys, "bucket"]).select(*new.columns), "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")

@@ -44,6 +44,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def for_folders(df: DataFrame, column: str) -> DataFrame:
+    """Bring the rows of an output folder together before ``partitionBy(column)``.
+
+    Else every task would write a file into every folder. Folders with many rows
+    are split again at run time, and small ones share a task.
+    """
+    return df.hint("rebalance", column)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """The Parquet table at ``path``, or an empty one where none has been written yet."""
     try:

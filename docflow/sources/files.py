@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
 from docflow.operators.skew import lookup, salt_of
+from docflow.session import for_folders, write_once
 
 BAD = "_bad"
 
@@ -74,7 +75,8 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
     """
     spark = pages.sparkSession
     keyed = pages.withColumn("bucket", bucket_of("file_name", buckets))
-    touched = [r["bucket"] for r in keyed.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    names = write_once(keyed.select("file_name", "bucket").distinct(), "documents")
+    touched = [r["bucket"] for r in names.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
         return
     try:
@@ -84,13 +86,14 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
             raise
         kept = keyed  # nothing written yet
     else:
-        replaced = keyed.select("file_name").distinct().withColumn("_replaced", F.lit(True))
+        replaced = names.select("file_name", F.lit(True).alias("_replaced"))
         others = lookup(old, replaced, ["file_name"], salt_of(F.col("page_sequence_number"))).filter(
             F.col("_replaced").isNull()
         ).drop("_replaced")
         kept = others.unionByName(keyed, allowMissingColumns=True)
     (
-        kept.write.mode("overwrite")
+        for_folders(kept, "bucket")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
         .json(path)
@@ -99,7 +102,7 @@ def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
 
 def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:
     """Write the documents that have a changed page again, and no others."""
-    touched = filled.filter("changed").select("file_name").distinct()
+    touched = write_once(filled.filter("changed").select("file_name").distinct(), "changed")
     again = lookup(filled.drop("changed"), touched, ["file_name"], salt_of(F.col("page_sequence_number")), "inner")
     write_pages(again, path, buckets)
 
@@ -107,7 +110,7 @@ def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:
 def write_chunks(chunks: DataFrame, path: str, buckets: int = 64) -> None:
     """Chunks as JSON lines in hash buckets of documents; no chunks make an empty folder."""
     (
-        chunks.withColumn("bucket", bucket_of("file_name", buckets))
+        for_folders(chunks.withColumn("bucket", bucket_of("file_name", buckets)), "bucket")
         .write.mode("overwrite").partitionBy("bucket").json(path)
     )
 
