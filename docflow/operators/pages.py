@@ -83,7 +83,8 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
     and every later item follows it. All other pages settle it themselves, so the
     value that reaches a page is the last settled one, found by a running scan over
     one narrow row per page, written first as the scan reads it more than once.
-    Page contents are read twice in all, and joined only to the narrow result.
+    What it finds is written too: only pages that are given something, and first
+    pages. Page contents are read twice in all, and meet nothing but that table.
     """
     names = F.transform(
         "page_content",
@@ -140,7 +141,7 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
         for name, column in (("_a", "_anchor"), ("_f", "_parent"), ("_l", "_latest"))
     }
     scanned = running(states, keys, seq, before, block=block)
-    carried = (
+    carried = write_once(
         scanned.withColumn("_in_s", F.col("_a")["s"])
         .withColumn(
             "_in_p",
@@ -149,7 +150,8 @@ def fill_sections(pages: DataFrame, keys: list[str], seq: str = "page_sequence_n
             ),
         )
         .filter(F.col("_first") | (F.col("_takes") & (F.col("_in_s").isNotNull() | F.col("_in_p").isNotNull())))
-        .select(*keys, seq, "_first", F.col("_in_s"), F.col("_in_p"))
+        .select(*keys, seq, "_first", F.col("_in_s"), F.col("_in_p")),
+        "page-gifts",
     )
 
     joined = (
