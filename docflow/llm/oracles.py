@@ -53,6 +53,36 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM base JOIN totals USING (doc_id)
 """
 
+DECONTAMINATION = r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS x
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+place AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM fold), lengths WHERE i + n - 1 <= len(w)
+),
+hit AS (SELECT doc_id, i, n, item_id FROM place JOIN windows USING (n, x)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM fold LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 ORACLE = {
+    "op4_suffix_array_decontamination": DECONTAMINATION,
     "op9_line_first_quality": LINE_FIRST_QUALITY,
 }

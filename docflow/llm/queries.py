@@ -5,7 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import quality, texts
+from docflow.llm import decontamination, packing, quality, texts
+
+
+def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_matches(
+        texts.documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    c = F.col("contamination")
+    return found.select(
+        "doc_id", c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"), F.size(c["items"]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", c["items"]), 256).alias("items_sha256"), (c["n_hit"] > 0).alias("contaminated"),
+    )
+
+
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(texts.documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "segment", "loss_tokens",
+    )
 
 
 def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +41,7 @@ def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
+    "op5_vector_packing": op5_vector_packing,
     "op9_line_first_quality": op9_line_first_quality,
 }
