@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import decontamination, packing, quality, texts
+from docflow.llm import decontamination, packing, quality, sharding, texts
+
+
+def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.best_fit_shards(texts.documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
 
 
 def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +47,7 @@ def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_sharding": op1_best_fit_sharding,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
     "op9_line_first_quality": op9_line_first_quality,
