@@ -82,7 +82,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM fold LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+FIXED_BLOCK_ANCHORS = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, hash(list_slice(words, i, i + 34)) AS h, list_slice(words, i, i + 34) AS x
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w WHERE len(words) >= 35)
+),
+often AS (SELECT h, x FROM windows GROUP BY h, x HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN often USING (h, x))),
+word AS (SELECT doc_id, p, words[p] AS word FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM w)),
+marked AS (SELECT word.*, gone.p IS NOT NULL AS g FROM word LEFT JOIN gone USING (doc_id, p)),
+turn AS (SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM marked),
+kept AS (
+  SELECT doc_id, sum(CASE WHEN g THEN 1 ELSE 0 END) AS n_removed, sum(CASE WHEN opens THEN 1 ELSE 0 END) AS n_spans,
+         string_agg(CASE WHEN g THEN NULL ELSE word END, ' ' ORDER BY p) AS t
+  FROM turn GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256, coalesce(n_spans, 0)::BIGINT AS n_spans
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE = {
+    "op10_fixed_block_anchors": FIXED_BLOCK_ANCHORS,
     "op4_suffix_array_decontamination": DECONTAMINATION,
     "op9_line_first_quality": LINE_FIRST_QUALITY,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import decontamination, packing, quality, sharding, texts
+from docflow.llm import anchors, decontamination, packing, quality, sharding, texts
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,13 @@ def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = anchors.repeated_spans(texts.documents(spark, sf_dir))
+    return spans.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
+
+
 QUERIES = {
+    "op10_fixed_block_anchors": op10_fixed_block_anchors,
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
