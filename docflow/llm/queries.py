@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, packing, quality, sharding, texts
+from docflow.llm import anchors, decontamination, packing, quality, sharding, suffixes, texts
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_family_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = suffixes.earlier_spans(texts.documents(spark, sf_dir))
+    return spans.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.clean_lines(texts.documents(spark, sf_dir).select("doc_id", "text"))
     q = F.col("quality")
@@ -56,5 +61,6 @@ QUERIES = {
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
+    "op8_suffix_family_dedup": op8_suffix_family_dedup,
     "op9_line_first_quality": op9_line_first_quality,
 }
