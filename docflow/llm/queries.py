@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, packing, quality, sharding, suffixes, texts
+from docflow.llm import anchors, decontamination, jaccard, packing, quality, sharding, suffixes, texts
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(texts.documents(spark, sf_dir))
+
+
 def op8_suffix_family_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = suffixes.earlier_spans(texts.documents(spark, sf_dir))
     return spans.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
+    "op7_heavy_light_jaccard": op7_heavy_light_jaccard,
     "op8_suffix_family_dedup": op8_suffix_family_dedup,
     "op9_line_first_quality": op9_line_first_quality,
 }
