@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, jaccard, packing, quality, sharding, suffixes, texts
+from docflow.llm import anchors, decontamination, jaccard, lines, packing, quality, sharding, suffixes, texts
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(texts.documents(spark, sf_dir))
+
+
 def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_matches(
         texts.documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -63,6 +67,7 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
     "op1_best_fit_sharding": op1_best_fit_sharding,
+    "op2_segment_line_dedup": op2_segment_line_dedup,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
     "op7_heavy_light_jaccard": op7_heavy_light_jaccard,
