@@ -1,10 +1,10 @@
-"""Clean a corpus in stages, each over all that the one before kept: quality rules first."""
+"""Clean a corpus in stages, each over all that the one before kept, and pack what is left for training."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import quality
+from docflow.llm import decontamination, jaccard, lines, packing, quality
 from docflow.session import write_once
 
 
@@ -13,7 +13,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that are within two edits of an earlier line; those with nothing left go."""
+    return lines.drop_lines(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the least id."""
+    return jaccard.one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no run of ten words, and no whole shorter item, with the benchmark."""
+    return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in sequences of 4096, one row per piece."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("packing", packed),
+]
+
+#: The tokenizer and the packing cannot be said in SQL; the stages before them are compared with SQL and brute force in the tests.
 ORACLE_SQL = None
 
 

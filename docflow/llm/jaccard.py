@@ -271,6 +271,7 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: i
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows whose key is the least of its group; same columns as ``df``."""
-    groups = near_groups(df, key, text, **options).filter("doc_id = component_id").select(F.col("doc_id").alias("__key")).distinct()
-    return df.join(groups, F.col(key) == F.col("__key"), "left_semi")
+    """The rows whose key is the least of a group, or null; same columns as ``df``. Rows of one key stay or go together."""
+    groups = near_groups(df, key, text, **options).filter("doc_id is not null")
+    gone = groups.groupBy(F.col("doc_id").alias("__key")).agg(F.max(F.col("doc_id") == F.col("component_id")).alias("least")).filter("not least")
+    return df.join(gone, F.col(key).cast("long") == F.col("__key"), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, jaccard, lines, packing, quality, sharding, suffixes, texts
+from docflow.llm import anchors, decontamination, jaccard, language, lines, packing, quality, quotes, sharding, suffixes, texts
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op2_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(texts.documents(spark, sf_dir))
 
 
+def op3_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts.documents(spark, sf_dir).withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.fit(docs.filter("not held_out"), "text", "lang")
+    found = language.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", F.col("language.prediction").alias("lang_pred"), "language.score")
+
+
 def op4_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_matches(
         texts.documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -39,6 +46,14 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.linked(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return found.select(
+        F.col("conv").alias("conv_id"), "turn", "role", "parent_turn", "root_turn", "depth", "position", "n_quoted", "n_linked",
+        F.sha2("body", 256).alias("body_sha256"),
+    )
+
+
 def op7_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_groups(texts.documents(spark, sf_dir))
 
@@ -68,8 +83,10 @@ QUERIES = {
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op2_segment_line_dedup": op2_segment_line_dedup,
+    "op3_hierarchical_language_id": op3_hierarchical_language_id,
     "op4_suffix_array_decontamination": op4_suffix_array_decontamination,
     "op5_vector_packing": op5_vector_packing,
+    "op6_quotation_linking": op6_quotation_linking,
     "op7_heavy_light_jaccard": op7_heavy_light_jaccard,
     "op8_suffix_family_dedup": op8_suffix_family_dedup,
     "op9_line_first_quality": op9_line_first_quality,
