@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docflow.llm import decontamination, jaccard, lines, packing, quality
 from docflow.session import write_once
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` after texts have lost lines."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line-first rules keep, without their failed lines."""
-    return quality.kept_documents(docs)
+    return recounted(quality.kept_documents(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that are within two edits of an earlier line; those with nothing left go."""
-    return lines.drop_lines(docs)
+    return recounted(lines.drop_lines(docs))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
