@@ -59,7 +59,7 @@ ORACLE = {
 elements AS (
   SELECT doc_id, start, stop, class, line AS text FROM classed WHERE class IN ('text', 'title', 'heading')
   UNION ALL
-  SELECT doc_id, start, stop, 'table', '<table><thead><tr><th>' || {_ESC.format('substr(line, 1, 10)')} || '</th></tr></thead><tr><td>'
+  SELECT doc_id, start, stop, 'table', '<table><thead><tr><th>' || {_ESC.format('line')} || '</th></tr></thead><tr><td>'
     || length(line) || '</td><td colSpan=2>' || i || '</td></tr></table>' FROM tab),
 paged AS (
   SELECT e.*, coalesce(p.page, 0) AS page FROM elements e ASOF LEFT JOIN para p ON e.doc_id = p.doc_id AND e.stop >= p.start),

@@ -11,6 +11,7 @@ from docflow.functions import gate
 from docflow.functions import text as T
 from docflow.operators import pages as P
 from docflow.operators.chunks import VECTORS, build_chunks, embed_chunks
+from docflow.checks.stub import StubClient
 from docflow.operators.model import embed_text
 from docflow.operators.skew import once_per_value, salt_of
 from docflow.plans import documents as plan
@@ -120,7 +121,7 @@ def section_fill_changed(spark, sf):
 def page_enrich(spark, sf):
     pages = _texts(spark, sf)
     docs = table(spark, sf, "documents").select(
-        "doc_id", F.concat_ws(" ", "source", "lang").alias("document_title"), F.substring("text", 1, 20).alias("document_summary")
+        "doc_id", F.concat_ws(" ", "source", "lang").alias("document_title"), F.col("text").alias("document_summary")
     )
     return P.enrich_pages(pages, docs, "doc_id", "page").select(
         "doc_id", "page", "digest", "document_title", F.md5("document_summary").alias("summary_digest")
@@ -179,19 +180,19 @@ def _digits(vector: Column) -> Column:
 
 def embed_texts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return docs.select("doc_id", embed_text()(F.col("text")).alias("v")).select("doc_id", _digits(F.col("v")).alias("vector"))
+    return docs.select("doc_id", embed_text(StubClient)(F.col("text")).alias("v")).select("doc_id", _digits(F.col("v.vector")).alias("vector"), "v.error")
 
 
 def embed_dedup_join(spark, sf):
     """Sources repeat: each is embedded once and handed back to its documents."""
     docs = table(spark, sf, "documents").select("doc_id", "source")
-    return once_per_value(docs, "source", "v", embed_text(), salt_of(F.col("doc_id"))).select(
+    return once_per_value(docs, "source", "v", lambda c: embed_text(StubClient)(c)["vector"], salt_of(F.col("doc_id"))).select(
         "doc_id", "source", _digits(F.col("v")).alias("vector")
     )
 
 
 def chunk_vectors(spark, sf):
-    done = embed_chunks(write_once(_chunks(spark, sf), "chunks"), embed_text())
+    done = embed_chunks(write_once(_chunks(spark, sf), "chunks"), embed_text(StubClient))
     return done.select("id", *[_digits(F.col(v)).alias(v) for v in VECTORS.values()])
 
 
@@ -246,7 +247,7 @@ def doc_extract(spark, sf):
         "doc_id", "page_sequence_number", F.concat(F.lit("data:,"), F.md5(F.array_join("lines", "\n")), F.lit("x") ).alias("image_url"),
         F.size("lines").alias("n_lines"),
     ).withColumn("image_url", F.expr("concat(image_url, repeat('y', n_lines))")).drop("n_lines")
-    done = plan.extract(pages, summary_pages=3)
+    done = plan.extract(pages, StubClient, summary_pages=3)
     return done.select(
         "doc_id", F.col("page_sequence_number").alias("page"), "document_title", "document_summary", "page_number",
         F.get("page_content", F.lit(0))["section_name"].alias("section"),
@@ -400,7 +401,7 @@ SELECT g.doc_id, g.page, g.k > 1 AND g.n > 0 AND (
     OR (g.takes AND (g.in_s IS NOT NULL OR (g.p0 IS NULL AND g.in_p IS NOT NULL)))) AS changed FROM given g""",
     "section_fill_changed": f"WITH RECURSIVE {PAGES}, {_WALK} SELECT doc_id, page, j, section, parent FROM filled",
     "page_enrich": f"""WITH {PAGES}, {_TEXTS}
-SELECT doc_id, page, digest, source || ' ' || lang AS document_title, md5(substr(text, 1, 20)) AS summary_digest
+SELECT doc_id, page, digest, source || ' ' || lang AS document_title, md5(documents.text) AS summary_digest
 FROM texts JOIN documents USING (doc_id)""",
     "normalize_missing": f"""WITH {PAGES}
 SELECT doc_id, page, j, {', '.join(
@@ -418,7 +419,7 @@ FROM page_rows""",
 SELECT id, length(text_content) AS n, md5(text_content) AS digest FROM chunks""",
     "chunk_build": f"""WITH {PAGES}, {_CHUNKS}
 SELECT * EXCLUDE (doc_id) REPLACE (md5(text_content) AS text_content) FROM chunks""",
-    "embed_texts": f"SELECT doc_id, {_vector('text')} AS vector FROM documents",
+    "embed_texts": f"SELECT doc_id, {_vector('text')} AS vector, CAST(NULL AS VARCHAR) AS error FROM documents",
     "embed_dedup_join": f"SELECT doc_id, source, {_vector('source')} AS vector FROM documents",
     "chunk_vectors": f"""WITH {PAGES}, {_CHUNKS}
 SELECT id, CASE WHEN section <> '' THEN {_vector('section')} ELSE '' END AS section_vector,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import schemas
+from docflow.checks.stub import StubClient
 from docflow.checks.shapes import REVIEWS, reviews, table
 from docflow.functions import gate
 from docflow.functions import text as T
@@ -22,7 +25,7 @@ def _kept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _completed(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.complete(reviews(spark, sf))
+    return plan.complete(reviews(spark, sf), StubClient)
 
 
 def filter_nonblank(spark, sf):
@@ -126,7 +129,7 @@ def complete_pages(spark, sf):
     asked = _turns(spark, sf).withColumn(
         "messages", multimodal_messages(prompt_for(F.col("kind")), F.col("images"), F.col("text"), "high")
     )
-    called = complete_rows(asked, params={**PAGE_PARAMS, "kind": "page_summary"})
+    called = complete_rows(asked, factory=partial(StubClient, "page_summary"), params=PAGE_PARAMS)
     response = F.col("chat_completions")
     return called.select(
         "conv_id", "turn",
@@ -141,7 +144,7 @@ def _pictures(spark, sf):
         "page_id",
         F.concat(F.lit("files/a.b/page"), F.col("page_id").cast("string"), F.lit("."),
                  F.get(extensions, (F.col("page_id") % 4).cast("int"))).alias("path"),
-        T.base64_text(F.encode("html", "UTF-8")).alias("payload"),
+        T.base64_text(F.encode("html", "UTF-8")).alias("payload"), T.base64_text(F.encode("url", "UTF-8")).alias("address"),
     )
 
 
@@ -153,9 +156,9 @@ def binary_to_data_url(spark, sf):
 
 
 def image_describe(spark, sf):
-    """Each page's picture in an envelope of its own, twice; the second record is a shorter one."""
+    """Each page's picture in an envelope of its own, twice; the second record is its address."""
     data = F.struct(F.struct(F.col("payload").alias("data")).alias("image"), T.mime_type(F.col("path")).alias("content_type"))
-    short = F.struct(F.struct(F.substring("payload", 1, 40).alias("data")).alias("image"), F.lit("image/png").alias("content_type"))
+    short = F.struct(F.struct(F.col("address").alias("data")).alias("image"), F.lit("image/png").alias("content_type"))
     page = F.col("page_id").cast("string")
     requests = _pictures(spark, sf).select(
         "page_id",
@@ -164,7 +167,7 @@ def image_describe(spark, sf):
             F.struct(F.concat(page, F.lit("-b")).alias("recordId"), short.alias("data")),
         ).alias("values"),
     )
-    answered = images.describe_requests(requests, "page_id", "You describe pictures.")
+    answered = images.describe_requests(requests, "page_id", "You describe pictures.", StubClient)
     return answered.select("page_id", F.explode("values").alias("v")).select(
         "page_id", F.col("v.recordId").alias("record_id"), F.col("v.data.description").alias("description"), "v.errors"
     )
@@ -218,7 +221,7 @@ _ERROR_JSON = """CASE WHEN failed THEN '{"code":"429","message":"refused at leng
 _KINDS = "CASE turn % 4 " + " ".join(f"WHEN {i} THEN {_quoted(p)}" for i, p in enumerate(PROMPTS.values())) + " END"
 _URL = "'data:image/png;base64,p' || turn"
 _PATHS = """pictures AS (
-  SELECT page_id, to_base64(encode(html)) AS payload,
+  SELECT page_id, url, to_base64(encode(html)) AS payload,
     CASE page_id % 4 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/tiff'
          ELSE 'application/octet-stream' END AS mime
   FROM pages)"""
@@ -271,7 +274,7 @@ SELECT page_id, mime, length('data:' || mime || ';base64,' || payload) AS n,
        md5('data:' || mime || ';base64,' || payload) AS digest FROM pictures""",
     "image_describe": f"""WITH {_PATHS}, records AS (
   SELECT page_id, page_id || '-a' AS record_id, length('Describe this picture:data:' || mime || ';base64,' || payload) AS n FROM pictures
-  UNION ALL SELECT page_id, page_id || '-b', length('Describe this picture:data:image/png;base64,' || substr(payload, 1, 40)) FROM pictures)
+  UNION ALL SELECT page_id, page_id || '-b', length('Describe this picture:data:image/png;base64,' || to_base64(encode(url))) FROM pictures)
 SELECT page_id, record_id,
   CASE WHEN n % 23 = 0 THEN 'finish_reason:None' WHEN n % 17 = 0 THEN 'finish_reason:content_filter'
        ELSE 'A picture of ' || n || ' characters' END AS description,

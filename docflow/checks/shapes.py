@@ -149,7 +149,7 @@ def layout(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.array(span(r)), F.transform(after, span)).cast(spans).alias("spans"),
             F.lit(2).alias("rowCount"),
             F.array(
-                cell(1, 1, None, 2, r["i"]), cell(0, 0, "columnHeader", 1, F.substring(r["line"], 1, 10)), cell(1, 0, None, None, r["n"])
+                cell(1, 1, None, 2, r["i"]), cell(0, 0, "columnHeader", 1, r["line"]), cell(1, 0, None, None, r["n"])
             ).alias("cells"),
         )
 

@@ -23,7 +23,7 @@ from docflow.sources import files
 
 
 def chunk_upsert(spark, sf):
-    """Even keys are there; keys divisible by three change one field, those by nine another one after that."""
+    """All but odd threes are there; keys divisible by three change one field, those by nine another one after that."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     none = F.lit(None).cast("string")
     first = orders.filter(F.col("o_orderkey") % 3 == 0).select(
@@ -34,18 +34,30 @@ def chunk_upsert(spark, sf):
         F.lit(None).cast("double").alias("o_totalprice"), F.lit(2).alias("sent"),
     )
     new = U.latest_fields(first.unionByName(second), ["o_orderkey"], "sent")
-    return U.upsert(orders.filter(F.col("o_orderkey") % 2 == 0), new, ["o_orderkey"])
+    return U.upsert(orders.filter((F.col("o_orderkey") % 2 == 0) | (F.col("o_orderkey") % 3 != 0)), new, ["o_orderkey"])
 
 
 def chunk_upsert_table(spark, sf):
     """The same merge into a stored table, sent twice: the second time changes nothing."""
     path = fresh_path(spark, "index")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(0).alias("sent"))
-    U.upsert_table(spark, path, orders.filter(F.col("o_orderkey") % 2 == 0), ["o_orderkey"], "sent", 8)
+    U.upsert_table(spark, path, orders.filter(F.col("o_orderkey") % 3 != 0), ["o_orderkey"], "sent")
     changes = orders.filter(F.col("o_orderkey") % 3 == 0).withColumn("o_orderstatus", F.lit("X"))
     for _ in range(2):
-        U.upsert_table(spark, path, changes, ["o_orderkey"], "sent", 8)
-    return spark.read.parquet(path).drop("bucket")
+        U.upsert_table(spark, path, changes, ["o_orderkey"], "sent", merge=1)
+    return U.read_table(spark, path, ["o_orderkey"])
+
+
+def chunk_upsert_fields(spark, sf):
+    """Each merge gives other columns, the second one two versions of a key; folded at the end."""
+    path = fresh_path(spark, "index")
+    orders = table(spark, sf, "orders").withColumn("sent", F.lit(0))
+    U.upsert_table(spark, path, orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "sent"), ["o_orderkey"], "sent")
+    again = orders.filter(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_orderpriority", "sent")
+    later = again.select("o_orderkey", F.lit("LAST").alias("o_orderpriority"), F.lit(1).alias("sent")).filter(F.col("o_orderkey") % 4 == 0)
+    U.upsert_table(spark, path, again.unionByName(later), ["o_orderkey"], "sent")
+    U.compact_table(spark, path, ["o_orderkey"])
+    return U.read_table(spark, path, ["o_orderkey"])
 
 
 def _batches(spark, sf):
@@ -134,13 +146,16 @@ def manifest_rewrite(spark, sf):
 
 
 def asset_register_new(spark, sf):
-    part = table(spark, sf, "part")
-    offered = part.select(
+    """Some assets are stored; all are offered, twice; what the stored registry then holds."""
+    path = fresh_path(spark, "assets")
+    offered = table(spark, sf, "part").select(
         F.col("p_name").alias("name"), F.col("p_size").cast("string").alias("version"), F.lit("table").alias("type"),
         F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("path"), "p_partkey",
     )
-    known = offered.filter(F.col("p_partkey") % 4 == 0).select("name", "version").distinct()
-    return R.new_assets(known, offered.drop("p_partkey"))
+    R.store_assets(spark, path, offered.filter(F.col("p_partkey") % 4 == 0).withColumn("path", F.lit("known")).drop("p_partkey"))
+    for _ in range(2):
+        R.store_assets(spark, path, offered.drop("p_partkey"))
+    return R.read_registry(spark, path)
 
 
 def _registry(spark, sf):
@@ -161,7 +176,10 @@ def model_register(spark, sf):
         F.concat(F.lit("runs/"), k.cast("string")).alias("path"),
         F.col("p_retailprice").alias("r2"),
     )
-    return R.register_models(_registry(spark, sf), runs)
+    path = fresh_path(spark, "models")
+    _registry(spark, sf).withColumns({"uri": R.model_uri(F.col("run_id")), "r2": F.lit(None).cast("double")}).write.parquet(path)
+    R.store_models(spark, path, runs)
+    return R.latest_models(R.read_registry(spark, path).filter("r2 is not null"))
 
 
 def model_latest(spark, sf):
@@ -194,8 +212,18 @@ STATEMENTS = (
     "select 1; delete from part",
     "WITH a AS (SELECT 1) INSERT INTO part SELECT * FROM a",
     "select updated_at from part",
+    "WITH a AS (SELECT 1 /* it's */) INSERT INTO part SELECT * FROM a /* ' */",
+    'WITH a AS (SELECT "\'") INSERT INTO part SELECT * FROM a WHERE x = "\'"',
+    "select `update` from t",
+    'select "drop" as x',
+    "select 1 -- drop it",
+    "-- first\nselect 'it\\'s; -- here' from t",
+    "select 'open",
+)
+REFUSALS = (
+    None, "not one read-only statement", None, "not one read-only statement", "changes data", None, "changes data", "changes data",
+    None, None, None, None, "not one read-only statement",
 )
-REFUSALS = (None, "not one read-only statement", None, "not one read-only statement", "changes data", None)
 
 
 def sql_guard(spark, sf):
@@ -219,11 +247,20 @@ QUESTIONS = {
 }
 
 
-def sql_answer(spark: SparkSession, sf: str) -> DataFrame:
+def _answered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     for t in TABLES:
         table(spark, sf, t).createOrReplaceTempView(t)
-    return Q.answer_questions(spark, list(QUESTIONS), Q.FixedTextToSql(QUESTIONS), top_k=10).select(
-        "question", "sql", "rows_json", "n_rows", F.size("steps").cast("bigint").alias("n_steps"), "error"
+    nation = table(spark, sf, "nation")
+    context = Q.context_text(Q.table_context(nation, "nation"), Q.samples(nation, "nation"))
+    asked = spark.createDataFrame([(q,) for q in QUESTIONS], "question string")
+    return Q.answer_questions(spark, asked, Q.FixedTextToSql(QUESTIONS), fresh_path(spark, "answers"), context)
+
+
+def sql_answer(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of every answer; a question without one has a null row and its error."""
+    done, answers = _answered(spark, sf)
+    return done.join(answers, "question", "left").select(
+        "question", "sql", "row_json", "n_rows", F.size("steps").cast("bigint").alias("n_steps"), "error"
     )
 
 
@@ -231,14 +268,13 @@ def sql_answer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _items(spark, sf):
-    """Line items with their part; the price is what is learnt."""
-    line = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice"
-    )
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size", "p_retailprice")
+    """Line items with their part, and a price that follows from quantity, size and brand; it is what is learnt."""
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name", "p_size")
     key = F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     joined = lookup(line, part, ["l_partkey"], salt_of(F.col("l_orderkey"), F.col("l_linenumber")), "inner")
-    return joined.withColumn("row_key", key)
+    price = F.col("l_quantity") * 3 + F.col("p_size") * 0.5 + F.length("p_brand") * 10 + F.when(F.col("l_returnflag") == "R", 25).otherwise(0)
+    return joined.withColumns({"row_key": key, "price": price.cast("double")})
 
 
 def _split_items(spark, sf):
@@ -247,26 +283,29 @@ def _split_items(spark, sf):
 
 
 _DROP = ["row_key", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-_TARGET = "l_extendedprice"
+_TARGET = "price"
 
 
 def automl_trials(spark, sf):
     trials, _ = training.train(_split_items(spark, sf), _TARGET, _DROP)
-    return A.trial_table(spark.range(1), trials).select("name", F.round("r2", 3).alias("r2"), "status")
+    return A.trial_table(spark.range(1), trials).select("name", (F.col("r2") > 0.3).alias("learnt"), "status")
 
 
 def automl_best_trial(spark, sf):
-    trials, _ = training.train(_split_items(spark, sf), _TARGET, _DROP, max_trials=2)
-    return A.trial_table(spark.range(1), trials).agg(F.max_by("name", "r2").alias("name"), F.round(F.max("r2"), 3).alias("r2"))
+    """The best of all five trials, and how it does on rows that no trial has seen."""
+    prepared = _split_items(spark, sf)
+    _, best = training.train(prepared, _TARGET, _DROP)
+    test = A.r2(best.model.transform(prepared.filter("split = 'test'")), _TARGET)
+    return test.select(F.lit(best.name).alias("name"), F.round(F.lit(best.r2), 3).alias("r2"), F.round("r2", 3).alias("test_r2"), "n_rows")
 
 
 def _scored(spark, sf):
     prepared = _split_items(spark, sf)
-    _, best = training.train(prepared, _TARGET, _DROP, max_trials=1)
-    empty = spark.createDataFrame([], "name string, version bigint, run_id string, uri string, path string, r2 double")
-    row = training.register(empty, "price", best, "run-1", fresh_path(spark, "model"))
+    _, best = training.train(prepared, _TARGET, _DROP)
+    registry = fresh_path(spark, "registry")
+    training.register_stored(spark, registry, "price", best, "run-1", fresh_path(spark, "model"))
     test = prepared.filter("split = 'test'")
-    return training.score(R.latest_models(row), "price", test, ["row_key", _TARGET])
+    return training.score(R.latest_models(R.read_registry(spark, registry)), "price", test, ["row_key", _TARGET])
 
 
 def batch_score(spark, sf):
@@ -279,7 +318,7 @@ def score_append(spark, sf):
     scored = _scored(spark, sf)
     for _ in range(2):
         files.append_predictions(scored, path)
-    back = spark.read.schema("row_key string, l_extendedprice double, prediction double").option("header", True).csv(path)
+    back = spark.read.schema("row_key string, price double, prediction double").option("header", True).csv(path)
     return back.agg(F.count("*").alias("n_rows"), F.count_distinct("row_key").alias("n_keys"))
 
 
@@ -295,7 +334,7 @@ def column_profile(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_upsert, chunk_upsert_table, upload_batches, upload_report, split_exact, split_exact_shares, split_hash,
+        chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, upload_report, split_exact, split_exact_shares, split_hash,
         split_counts, split_disjoint, split_sink, manifest_scan, manifest_rewrite, asset_register_new, model_register,
         model_latest, run_id_extract, schema_context, sql_guard, sql_answer, automl_trials, automl_best_trial,
         batch_score, score_append, regression_r2, column_profile,
@@ -364,13 +403,13 @@ def _answer_sql() -> str:
     for i, (question, sql) in enumerate(QUESTIONS.items()):
         q, s = question.replace("'", "''"), sql.replace("'", "''")
         if i in shapes:
-            shape, order = shapes[i]
+            shape, _ = shapes[i]
             rows.append(
-                f"SELECT '{q}' AS question, '{s}' AS sql, '[' || string_agg({shape}, ',' ORDER BY {order}) || ']' AS rows_json, "
-                f"count(*) AS n_rows, CAST(3 AS BIGINT) AS n_steps, NULL AS error FROM (SELECT * FROM ({sql}) ORDER BY {order} LIMIT 10)"
+                f"SELECT '{q}' AS question, '{s}' AS sql, {shape} AS row_json, count(*) OVER () AS n_rows, "
+                f"CAST(3 AS BIGINT) AS n_steps, NULL AS error FROM ({sql})"
             )
         else:
-            rows.append(f"SELECT '{q}', '{s}', NULL, NULL, 2, 'not one read-only statement'")
+            rows.append(f"SELECT '{q}', '{s}', NULL, NULL, 2, 'changes data'")
     return "\nUNION ALL ".join(rows)
 
 
@@ -385,17 +424,26 @@ def _profile_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
+_ITEMS = """items AS (
+  SELECT l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || l_quantity AS row_key,
+    l_quantity * 3 + p_size * 0.5 + length(p_brand) * 10 + CASE WHEN l_returnflag = 'R' THEN 25 ELSE 0 END AS price
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+test AS (SELECT row_key, price::DOUBLE AS price FROM items WHERE CAST('0x' || substr(md5('42_' || row_key), 1, 8) AS BIGINT) / 4294967296.0 >= 0.9)"""
+_TRIALS = ("linear", "decision_tree", "robust_linear", "random_forest", "boosted_trees")
+
 _REFUSED = " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(REFUSALS) if r)
 
 ORACLE = {
-    "chunk_upsert": """WITH old AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0), new AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0)
+    "chunk_upsert": """WITH old AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0), new AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0)
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
   CASE WHEN n.o_orderkey IS NOT NULL THEN 'X' ELSE o.o_orderstatus END AS o_orderstatus,
   CASE WHEN n.o_orderkey % 9 = 0 THEN 'NEW' ELSE o.o_orderpriority END AS o_orderpriority,
   coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice
 FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey""",
     "chunk_upsert_table": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
+FROM orders""",
+    "chunk_upsert_fields": """SELECT o_orderkey, o_orderstatus, o_totalprice,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'LAST' WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
     "upload_batches": f"WITH {_BATCHES} SELECT * FROM batches",
     "upload_report": f"""WITH {_BATCHES}
 SELECT o_orderpriority, batch, count(CASE WHEN o_orderkey % 7 <> 0 THEN 1 END) AS succeeded, count(*) AS sent FROM batches GROUP BY ALL""",
@@ -411,8 +459,8 @@ UNION ALL SELECT 'lost', (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (S
     "manifest_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "manifest_rewrite": """SELECT p_partkey, p_name AS name, './' || p_partkey || '_train.csv,./more.csv' AS files, 'mltable' AS type FROM part""",
     "asset_register_new": """WITH offered AS (SELECT p_name AS name, CAST(p_size AS VARCHAR) AS version, 'part/' || p_partkey AS path, p_partkey FROM part)
-SELECT name, version, 'table' AS type, min(path) AS path FROM offered
-WHERE (name, version) NOT IN (SELECT (name, version) FROM offered WHERE p_partkey % 4 = 0) GROUP BY name, version""",
+SELECT name, version, 'table' AS type, CASE WHEN bool_or(p_partkey % 4 = 0) THEN 'known' ELSE min(path) END AS path
+FROM offered GROUP BY name, version""",
     "model_register": f"""WITH {_MODELS}, runs AS (
   SELECT 'model ' || (p_partkey % 10) AS name, 'run p' || p_partkey AS run_id, 'runs/' || p_partkey AS path, p_retailprice AS r2 FROM part),
 best AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY r2 DESC, run_id DESC) AS rn FROM runs)
@@ -425,6 +473,11 @@ SELECT s_suppkey, run_id, 'runs:/' || run_id || '/outputs/mlflow-model' AS uri F
     "schema_context": _context_sql(),
     "sql_guard": f"SELECT p_partkey, CASE p_partkey % {len(STATEMENTS)} {_REFUSED} END AS refused FROM part",
     "sql_answer": _answer_sql(),
+    "automl_trials": " UNION ALL ".join(f"SELECT '{t}' AS name, true AS learnt, 'finished' AS status" for t in _TRIALS),
+    "automl_best_trial": f"""WITH {_ITEMS}
+SELECT 'linear' AS name, CAST(1 AS DOUBLE) AS r2, CAST(1 AS DOUBLE) AS test_r2, count(*) AS n_rows FROM test""",
+    "batch_score": f"WITH {_ITEMS} SELECT row_key, price, round(price, 2) AS prediction FROM test",
+    "score_append": f"WITH {_ITEMS} SELECT 2 * count(*) AS n_rows, count(DISTINCT row_key) AS n_keys FROM test",
     "regression_r2": """WITH g AS (SELECT l_extendedprice AS y, l_quantity * 2000 AS p FROM lineitem)
 SELECT round(1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 6) AS r2, count(*) AS n_rows FROM g""",
     "column_profile": _profile_sql(),

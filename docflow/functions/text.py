@@ -66,7 +66,7 @@ def is_true(c: Column) -> Column:
 
 def printed_page_number(c: Column) -> Column:
     """Digits only, as they stand; roman numerals, padded or absent numbers give 0."""
-    return F.when(c.rlike("^[0-9]+$"), F.coalesce(c.try_cast("bigint"), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+    return F.when(c.rlike(r"\A[0-9]+\z"), F.coalesce(c.try_cast("bigint"), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
 
 def base64_text(b: Column) -> Column:

@@ -77,19 +77,25 @@ def build_chunks(pages: DataFrame, user_id: str, image_dir: str, id_prefix: str
 
 
 def embed_chunks(chunks: DataFrame, embed, spread: Column | None = None) -> DataFrame:
-    """Add the three vectors of a chunk; a blank text has an empty one.
+    """Add the three vectors of a chunk and, in ``vector_errors``, what went wrong; a blank text has an empty vector.
 
     Section names repeat much, as sections and as parents: each distinct name is
-    embedded once and handed back. Chunk texts hardly repeat and are embedded where
-    they lie, last, so that their vectors are never shuffled. ``chunks`` is read
-    several times and is best a written table; write the result before it is used twice.
+    embedded once. Only ids and names meet the vectors; the chunks are joined with what was found in one step, by id.
+    Chunk texts hardly repeat and are embedded where they lie, last, so that their vectors are never shuffled.
+    ``chunks`` must have unique ids; it is read several times and is best a written table. Write the result before it
+    is used twice.
     """
     spread = salt_of(F.col("id")) if spread is None else spread
     names = {"section": "_section", "parent_section": "_parent"}
-    out = chunks.withColumns({key: F.nullif(F.col(name), F.lit("")) for name, key in names.items()})
-    vectors = value_table(out, list(names.values()), "_vector", embed)
+    keys = chunks.select("id", *[F.nullif(F.col(name), F.lit("")).alias(key) for name, key in names.items()])
+    vectors = value_table(keys, list(names.values()), "_vector", embed)
     empty = F.array().cast("array<float>")
-    for name, key in names.items():
-        out = lookup(out, vectors.select(F.col("value").alias(key), "_vector"), [key], spread)
-        out = out.withColumn(VECTORS[name], F.coalesce("_vector", empty)).drop("_vector", key)
-    return out.withColumn(VECTORS["text_content"], F.coalesce(embed(F.col("text_content")), empty))
+    sides = keys.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(k).alias("value")) for n, k in names.items()])).alias("s"))
+    found = lookup(sides.select("id", "s.*").filter("value is not null"), vectors, ["value"], spread, "inner")
+    found = found.groupBy("id").agg(
+        *[F.max_by("_vector", F.when(F.col("side") == n, 1)).alias(k) for n, k in names.items()]
+    )
+    out = chunks.join(found, "id", "left").withColumn("_text", embed(F.col("text_content")))
+    columns = {VECTORS[n]: F.coalesce(F.col(k)["vector"], empty) for n, k in [*names.items(), ("text_content", "_text")]}
+    errors = F.array_compact(F.array(*[F.col(k)["error"] for k in [*names.values(), "_text"]]))
+    return out.withColumns({**columns, "vector_errors": F.nullif(F.array_join(errors, "; "), F.lit(""))}).drop(*names.values(), "_text")

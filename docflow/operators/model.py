@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import time
 from collections import OrderedDict
@@ -17,17 +16,18 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.session import read_or_empty, write_once
 
+# Settings of the three kinds of calls.
 REVIEW_PARAMS = {"max_tokens": 200, "temperature": 0.5}
 PAGE_PARAMS = {"max_tokens": 4000, "temperature": 0, "top_p": 0.95, "response_format": {"type": "json_object"}}
 IMAGE_PARAMS = {"max_tokens": 300}
 
 
 class CallError(Exception):
-    """A call that failed for good; kept as data beside the row."""
+    """A call that failed; kept as data beside the row, at once or, with ``again``, when retries have not helped."""
 
-    def __init__(self, code: str, message: str) -> None:
+    def __init__(self, code: str, message: str, again: bool = False) -> None:
         super().__init__(message)
-        self.code = code
+        self.code, self.again = code, again
 
 
 class Client(Protocol):
@@ -41,70 +41,19 @@ class Client(Protocol):
 ClientFactory = Callable[[], Client]
 
 
-def _texts(messages: list[dict]) -> str:
-    """All that the user turns hold, pictures included, as one text."""
-    parts = []
-    for m in messages:
-        if m.get("role") != "user":
-            continue
-        content = m.get("content")
-        for part in content if isinstance(content, list) else [{"text": content}]:
-            parts.append((part.get("image_url") or {}).get("url") or part.get("text") or "")
-    return "".join(parts)
-
-
-class StubClient:
-    """Answers by text length and digest, so that plain SQL can re-compute every answer."""
-
-    def complete(self, messages: list[dict], params: dict[str, Any]) -> dict:
-        text = _texts(messages)
-        n = len(text)
-        if n % 23 == 0:
-            raise CallError("429", f"refused at length {n}")
-        reason = "content_filter" if n % 17 == 0 else "stop"
-        content = self._answer(params.get("kind", "review"), text)
-        return {"choices": [{"message": {"role": "assistant", "content": content}, "finish_reason": reason}]}
-
-    def _answer(self, kind: str, text: str) -> str:
-        n, digest = len(text), hashlib.md5(text.encode()).hexdigest()[:8]
-        if kind == "review":
-            sentiment, action = (("positive", "continue"), ("negative", "improve"), ("neutral", "N/A"))[n % 3]
-            return json.dumps({"sentiment": sentiment, "identified_action": f"action {n % 7}", "action_type": action})
-        if kind == "image":
-            return f"A picture of {n} characters"
-        if kind == "content":
-            item = {
-                "section_name": f"Section {n % 5}" if n % 2 else "[missing]",
-                "parent_section_name": "[missing]",
-                "text": text,
-                "image_diagram_summary": "[missing]",
-                "contains_image_diagam": "false",
-                "contains_table": "false",
-            }
-            return json.dumps(
-                {"page_content": [item], "page_header": "[missing]", "page_footer": "[missing]", "page_number": str(n % 100)}
-            )
-        return json.dumps({kind: f"{kind} {digest}"})
-
-    def embed(self, texts: list[str]) -> list[list[float]]:
-        return [[b / 256 for b in hashlib.md5(t.encode()).digest()[:8]] for t in texts]
-
-
 def _attempt(client: Client, messages: list[dict], params: dict, retries: int, pause: float) -> tuple:
     for left in range(retries, -1, -1):
         try:
             return json.dumps(client.complete(messages, params)), None, None
-        except CallError as error:
-            return None, error.code, str(error)
-        except Exception as error:  # transport: try again, then keep it as data
-            if left == 0:
-                return None, type(error).__name__, str(error)
+        except Exception as error:  # transport, or a refusal that may pass: try again, then keep it as data
+            if left == 0 or isinstance(error, CallError) and not error.again:
+                return None, getattr(error, "code", type(error).__name__), str(error)
             time.sleep(pause)
 
 
 def call_model(
     messages: Column,
-    factory: ClientFactory = StubClient,
+    factory: ClientFactory,
     params: dict[str, Any] | None = None,
     concurrency: int = 5,
     retries: int = 3,
@@ -137,7 +86,8 @@ def complete_rows(
     messages: str = "messages",
     output: str = "chat_completions",
     error: str = "error",
-    factory: ClientFactory = StubClient,
+    *,
+    factory: ClientFactory,
     params: dict[str, Any] | None = None,
     concurrency: int = 5,
     retries: int = 3,
@@ -164,7 +114,7 @@ def request_key(messages: Column, params: dict[str, Any]) -> Column:
 
 
 def complete_stored(
-    df: DataFrame, store: str, messages: str = "messages", factory: ClientFactory = StubClient,
+    df: DataFrame, store: str, messages: str = "messages", *, factory: ClientFactory,
     params: dict[str, Any] | None = None, concurrency: int = 5,
 ) -> DataFrame:
     """Completions out of a store that grows by the requests it lacks; no request is sent twice.
@@ -186,28 +136,45 @@ def complete_stored(
     return lookup(keyed, answers, ["request_key"], salt_of(*[F.col(c) for c in df.columns if c != messages]))
 
 
-def embed_text(factory: ClientFactory = StubClient, batch: int = 16, remembered: int = 4096) -> Callable[[Column], Column]:
-    """A function from a text column to its vectors.
+def embed_text(
+    factory: ClientFactory, batch: int = 16, remembered: int = 4096, retries: int = 3, pause: float = 1.0
+) -> Callable[[Column], Column]:
+    """A function from a text column to a struct of ``vector`` and ``error``.
 
     Each task opens one client, sends ``batch`` texts per call and remembers the
-    vectors of its last texts, so that repeats nearby cost nothing. Null gives null.
+    vectors of its last texts, so that repeats nearby cost nothing. Null gives nulls. A call
+    that fails is tried again; if that does not help, its texts have the error instead of a vector.
     """
 
-    @F.pandas_udf("array<float>")
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("vector array<float>, error string")
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         client = None
         memory: OrderedDict[str, list[float]] = OrderedDict()
         for texts in batches:
             client = client or factory()
             known = {t: memory[t] for t in texts.dropna().unique() if t in memory}
+            failed: dict[str, str] = {}
             new = [t for t in texts.dropna().unique() if t not in known]
             for at in range(0, len(new), batch):
                 part = new[at : at + batch]
-                known.update(zip(part, client.embed(part), strict=True))
+                vectors, error = _embedded(client, part, retries, pause)
+                known.update(zip(part, vectors, strict=True) if error is None else ())
+                failed.update(dict.fromkeys(part, error) if error is not None else {})
             memory.update(known)
             while len(memory) > remembered:
                 memory.popitem(last=False)
-            yield texts.map(known.get, na_action="ignore")
+            yield pd.DataFrame({"vector": [known.get(t) for t in texts], "error": [failed.get(t) for t in texts]}, dtype=object)
 
     nondeterministic = embed.asNondeterministic()
     return lambda column: nondeterministic(column)
+
+
+def _embedded(client: Client, part: list[str], retries: int, pause: float) -> tuple[list, str | None]:
+    for left in range(retries, -1, -1):
+        try:
+            return client.embed(part), None
+        except Exception as error:
+            if left == 0 or isinstance(error, CallError) and not error.again:
+                return [], f"{getattr(error, 'code', type(error).__name__)}: {error}"
+            time.sleep(pause)
+    raise AssertionError("unreachable")

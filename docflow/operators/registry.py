@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.functions import text
+from docflow.session import read_or_empty, write_once
+
+MODEL = "name string, version bigint, run_id string, uri string, path string, r2 double"
+
 
 def new_assets(registry: DataFrame, offered: DataFrame) -> DataFrame:
     """Offered assets whose name and version the registry does not hold yet, each once."""
@@ -18,10 +23,27 @@ def register_assets(registry: DataFrame, offered: DataFrame) -> DataFrame:
     return registry.unionByName(new_assets(registry, offered), allowMissingColumns=True)
 
 
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def store_assets(spark: SparkSession, path: str, offered: DataFrame) -> None:
+    """Append the offered assets that the registry at ``path`` lacks; offering them again adds nothing."""
+    known = read_or_empty(spark, path, offered.schema)
+    new_assets(known, offered).select(*offered.columns).write.mode("append").parquet(path)
+
+
+def store_models(spark: SparkSession, path: str, runs: DataFrame) -> DataFrame:
+    """Append a version for each name in ``runs`` to the registry at ``path``; returns the rows that were added."""
+    new = write_once(register_models(read_or_empty(spark, path, MODEL), runs), "models")
+    new.write.mode("append").parquet(path)
+    return new
+
+
 def run_id(mlmodel_text: Column) -> Column:
     """From the last line that speaks of a run id: what stands between the first colon and the next."""
     lines = F.filter(F.split(mlmodel_text, "\n"), lambda line: F.contains(line, F.lit("run_id")))
-    return F.trim(F.split_part(F.try_element_at(lines, F.lit(-1)), F.lit(":"), F.lit(2)))
+    return text.strip(F.split_part(F.try_element_at(lines, F.lit(-1)), F.lit(":"), F.lit(2)))
 
 
 def read_run_ids(spark: SparkSession, path: str) -> DataFrame:

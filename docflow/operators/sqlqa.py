@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,34 +10,51 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.session import subfolders
+
 # Words of statements that change something.
 FORBIDDEN = ("alter", "create", "delete", "drop", "insert", "merge", "truncate", "update")
 
-ANSWER = (
-    "question string, sql string, rows_json string, n_rows bigint, "
-    "steps array<struct<action:string,observation:string>>, error string"
-)
+STEPS = "array<struct<action:string,observation:string>>"
 
 _READ_ONLY = r"(?is)^\s*(select|with)\b[^;]*;?\s*$"
 _CHANGES = rf"(?is)\b({'|'.join(FORBIDDEN)})\b"
-_QUOTED = r"(?s)'(?:[^']|'')*'"
-
-
-def _reason(sql: str) -> str | None:
-    bare = re.sub(_QUOTED, "''", sql)
-    if not re.match(_READ_ONLY, bare):
-        return "not one read-only statement"
-    return "changes data" if re.search(_CHANGES, bare) else None
+#: What is no code: quoted text and names, and comments. The first to begin counts, as a reader of SQL would see it.
+_NO_CODE = r"(?s)'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/"
 
 
 def guard(sql: Column) -> Column:
-    """Null for one statement that only reads, else why it is refused. Quoted text is not looked at."""
-    bare = F.regexp_replace(sql, _QUOTED, "''")
-    return F.when(~F.coalesce(bare.rlike(_READ_ONLY), F.lit(False)), "not one read-only statement").when(
+    """Null for what looks like one statement that only reads, else why it is refused.
+
+    A sieve for columns of statements: quoted text, quoted names and comments are not looked at, and one that does
+    not end refuses the statement. What is run is decided by :func:`refusal`, on the parsed plan.
+    """
+    bare = F.regexp_replace(sql, _NO_CODE, " x ")
+    open_end = bare.rlike("['\"`]|/[*]")
+    return F.when(~F.coalesce(F.trim(F.regexp_replace(bare, r"(?s)^(\s*x\s)+", "")).rlike(_READ_ONLY) & ~open_end, F.lit(False)), "not one read-only statement").when(
         bare.rlike(_CHANGES), "changes data"
     )
 
 
+def refusal(spark: SparkSession, sql: str) -> str | None:
+    """Why a statement may not run: it does not parse as one query, or its plan holds a command or a write."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except Exception as error:
+        return f"does not parse: {(str(error).splitlines() or [''])[0]}"
+    java = spark._jvm.java.lang.Class
+    base = "org.apache.spark.sql.catalyst.plans.logical."
+    writes = [java.forName(base + name) for name in ("Command", "ParsedStatement")]
+    left = [plan]
+    while left:
+        node = left.pop()
+        if any(c.isInstance(node) for c in writes):
+            return "changes data"
+        for nodes in (node.children(), node.innerChildren()):
+            left += [x for x in (nodes.apply(i) for i in range(nodes.size())) if java.forName(base + "LogicalPlan").isInstance(x)]
+    return None
+
+
 def table_context(df: DataFrame, name: str, distinct: bool = True) -> DataFrame:
     """One row per column of a table: type, rows, nulls, least and greatest value, and about how many values.
 
@@ -80,42 +96,51 @@ class FixedTextToSql:
 
 
 def answer_questions(
-    spark: SparkSession,
-    questions: list[str],
-    to_sql: Callable[[str, str], str],
-    context: str = "",
-    top_k: int = 10,
-    concurrency: int = 4,
-) -> DataFrame:
-    """Answer each question by guarded SQL over the session's tables.
-
-    A statement runs as a Spark job of its own and gives at most ``top_k`` rows;
-    those alone come back. Whatever fails is kept in ``error`` beside the question.
+    spark: SparkSession, questions: DataFrame, to_sql: Callable[[str, str], str], output: str, context: str = "", concurrency: int = 4
+) -> tuple[DataFrame, DataFrame]:
+    """Answer the rows of ``questions`` (``question``) by guarded SQL over the session's tables.
+
+    Returns what was done for each question (``question, sql, n_rows, steps, error``) and the answers (``question, position,
+    row_json``). Questions come to the driver one after the other, as their statements must be planned there; each
+    answer is written below ``output`` by a Spark job of its own, all its rows, in its order. Whatever
+    fails is kept in ``error`` beside the question.
     """
-    def answer(question: str) -> tuple:
+    def answer(numbered: tuple[int, str]) -> tuple:
+        number, question = numbered
         steps: list[tuple[str, str]] = []
         sql = None
         try:
             sql = to_sql(question, context)
             steps.append(("write_sql", sql))
-            refused = _reason(sql)
+            refused = refusal(spark, sql)
             steps.append(("check", refused or "read-only"))
             if refused:
-                return question, sql, None, None, steps, refused
-            rows = spark.sql(sql.rstrip().rstrip(";")).limit(top_k)
-            found = [r["j"] for r in rows.select(F.to_json(F.struct("*")).alias("j")).collect()]
-            steps.append(("run", f"{len(found)} rows"))
-            return question, sql, "[" + ",".join(found) + "]", len(found), steps, None
+                return question, sql, None, steps, refused
+            path = f"{output}/question={number}"
+            rows = spark.sql(sql.rstrip().rstrip(";")).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row_json"))
+            rows.select(F.lit(question).alias("asked"), F.monotonically_increasing_id().alias("position"), "row_json").write.mode("overwrite").parquet(path)
+            n = spark.read.parquet(path).count()
+            steps.append(("run", f"{n} rows"))
+            return question, sql, n, steps, None
         except Exception as error:
             text = (str(error).splitlines() or [type(error).__name__])[0]
             steps.append(("error", text))
-            return question, sql, None, None, steps, f"{type(error).__name__}: {text}"
+            return question, sql, None, steps, f"{type(error).__name__}: {text}"
 
+    asked = ((i, r["question"]) for i, r in enumerate(questions.select("question").toLocalIterator()))
     with ThreadPoolExecutor(concurrency) as pool:
-        answers = list(pool.map(answer, questions))
-    return spark.createDataFrame(answers, ANSWER)
+        done = spark.createDataFrame(list(pool.map(answer, asked)), f"question string, sql string, n_rows bigint, steps {STEPS}, error string")
+    written = [x for x in subfolders(spark, output) if x.startswith("question=")]
+    shape = "asked string, position bigint, row_json string"
+    answers = spark.read.schema(shape).parquet(*[f"{output}/{x}" for x in written]) if written else spark.createDataFrame([], shape)
+    return done, answers.withColumnRenamed("asked", "question")
+
+
+def samples(df: DataFrame, name: str, n: int = 3) -> DataFrame:
+    """A few rows of a table as JSON text, for a prompt."""
+    return df.limit(n).select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("row_json"))
 
 
-def context_text(context: DataFrame) -> str:
-    """Schema context as text for a prompt; one line per column of the tables named in it."""
-    return "\n".join(json.dumps(r.asDict()) for r in context.collect())
+def context_text(context: DataFrame, *rows: DataFrame) -> str:
+    """Schema context, and sample rows if given, as text for a prompt; one line per column or row."""
+    return "\n".join(json.dumps(r.asDict()) for part in (context, *rows) for r in part.collect())

@@ -6,25 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.pages import number_groups
-from docflow.session import for_folders, read_or_empty, write_once
+from docflow.session import drop_folder, subfolders
 
+MERGE = "merge_seq"
 
-def latest_fields(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key: of every field the last value that was given, by ``order``."""
-    fields = [c for c in changes.columns if c not in (*keys, order)]
-    return changes.groupBy(*keys).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in fields]
-    )
+
+def latest_fields(changes: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """One row per key: of every field the last value that was given, by the columns ``order``.
+
+    Rows that are equal in ``order`` are ranked by a hash of the whole row, so that all fields of a tie follow
+    one row where it gives them, whatever order the rows came in.
+    """
+    fields = [c for c in changes.columns if c not in (*keys, *order)]
+    ranked = changes.withColumn("_rank", F.struct(*order, F.xxhash64(*[c for c in changes.columns if c not in order]).alias("_hash")))
+    return ranked.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in fields])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Given fields overwrite, others stay, unknown keys are added. Both sides are unique on ``keys``."""
-    fields = [c for c in old.columns if c not in keys]
+    """Given fields overwrite, others stay, unknown keys and columns are added. Both sides are unique on ``keys``."""
+    fields = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
     o, n = old.alias("o"), new.alias("n")
-    given = set(new.columns)
-    return o.join(n, keys, "full").select(
-        *keys, *[(F.coalesce(f"n.{c}", f"o.{c}") if c in given else F.col(f"o.{c}")).alias(c) for c in fields]
-    )
+
+    def field(c: str):
+        sides = [f"{side}.{c}" for side, df in (("n", new), ("o", old)) if c in df.columns]
+        return F.coalesce(*[F.col(s) for s in sides]).alias(c)
+
+    return o.join(n, keys, "full").select(*keys, *[field(c) for c in fields])
 
 
 def upload_batches(rows: DataFrame, keys: list[str], position: str, size: int = 900) -> DataFrame:
@@ -40,24 +47,41 @@ def upload_report(results: DataFrame, keys: list[str], succeeded: str) -> DataFr
 
 
 def upsert_table(
-    spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: str, buckets: int = 64
+    spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: str, merge: int | None = None
 ) -> None:
-    """Merge changes into a table kept in hash buckets; only buckets that are met get read and written.
+    """Merge changes into a table that keeps every merge as a folder of its own.
 
-    Merging the same changes again gives the same table, so a repeated batch does no harm.
+    Only the changes are written, in one pass; what is stored stays as it is. ``merge`` numbers the merge (by default
+    one above the highest stored): a merge that is repeated under its number replaces itself. :func:`read_table` gives
+    the merged rows, :func:`compact_table` folds the folders into one.
     """
-    new = write_once(
-        latest_fields(changes, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")),
-        "changes",
-    )
-    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
+    if merge is None:
+        merge = max(_merges(spark, path), default=-1) + 1
+    new = latest_fields(changes, keys, order)
+    new.write.mode("overwrite").parquet(f"{path}/{MERGE}={merge}")
+
+
+def _merges(spark: SparkSession, path: str) -> list[int]:
+    return [int(n.split("=")[1]) for n in subfolders(spark, path) if n.startswith(f"{MERGE}=")]
+
+
+def read_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The rows of :func:`upsert_table`: columns of all merges, of each field the value given last."""
+    stored = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    return latest_fields(stored, keys, MERGE)
+
+
+def compact_table(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Fold all merges into the highest one, then drop the lower ones.
+
+    Reading in between, or after a stop in between, gives the same rows: what is folded outranks what it was made of.
+    """
+    merges = sorted(_merges(spark, path))
+    if len(merges) < 2:
         return
-    old = read_or_empty(spark, path, new.schema).filter(F.col("bucket").isin(touched))
-    (
-        for_folders(upsert(old, new, [*keys, "bucket"]).select(*new.columns), "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    folded = f"{path}-folded-{merges[-1]}"
+    read_table(spark, path, keys).write.mode("overwrite").parquet(folded)
+    spark.read.parquet(folded).write.mode("overwrite").parquet(f"{path}/{MERGE}={merges[-1]}")
+    for m in merges[:-1]:
+        drop_folder(spark, f"{path}/{MERGE}={m}")
+    drop_folder(spark, folded)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.functions import gate
 from docflow.functions.messages import multimodal_messages, prompt_for
-from docflow.operators.model import PAGE_PARAMS, ClientFactory, StubClient, complete_rows
+from docflow.operators.model import PAGE_PARAMS, ClientFactory, complete_rows
 from docflow.operators.pages import enrich_pages, first_pages, group_values, join_texts
 from docflow.session import write_once
 
@@ -26,13 +26,13 @@ def ask(
     """One call per row; the answer is written once beside the columns to keep, so that later steps read it."""
     messages = multimodal_messages(prompt_for(F.lit(kind)), images, prompt, detail)
     called = complete_rows(
-        df.select(*keep, messages.alias("messages")), factory=factory, params={**PAGE_PARAMS, "kind": ANSWERS[kind]}
+        df.select(*keep, messages.alias("messages")), factory=factory, params=PAGE_PARAMS
     )
     return write_once(called.drop("messages"), kind)
 
 
 def extract(
-    pages: DataFrame, factory: ClientFactory = StubClient, key: str = "doc_id", seq: str = "page_sequence_number",
+    pages: DataFrame, factory: ClientFactory, key: str = "doc_id", seq: str = "page_sequence_number",
     url: str = "image_url", title_pages: int = 3, summary_pages: int = 10,
 ) -> DataFrame:
     """Page extracts of all documents at once.

@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from docflow.functions.gate import described
 from docflow.functions.messages import image_messages
 from docflow.functions.text import data_url
-from docflow.operators.model import IMAGE_PARAMS, ClientFactory, StubClient, complete_rows
+from docflow.operators.model import IMAGE_PARAMS, ClientFactory, complete_rows
 from docflow.session import write_once
 
 
-def describe_records(records: DataFrame, system: str, factory: ClientFactory = StubClient) -> DataFrame:
+def describe_records(records: DataFrame, system: str, factory: ClientFactory) -> DataFrame:
     """Description and error of every picture; ``records`` has ``mime`` and ``payload`` (base64)."""
     asked = records.withColumn("messages", image_messages(F.lit(system), data_url(F.col("mime"), F.col("payload"))))
     called = complete_rows(
-        asked.drop("payload"), factory=factory, params={**IMAGE_PARAMS, "kind": "image"}
+        asked.drop("payload"), factory=factory, params=IMAGE_PARAMS
     ).drop("messages")
     return called.withColumns(
         {"description": described(F.col("chat_completions")), "errors": F.col("error.message")}
     ).drop("chat_completions", "error")
 
 
-def describe_requests(requests: DataFrame, key: str, system: str, factory: ClientFactory = StubClient) -> DataFrame:
+def describe_requests(requests: DataFrame, key: str, system: str, factory: ClientFactory) -> DataFrame:
     """One response envelope per request envelope, with one result per record, in the order of the records.
 
     An envelope holds what one call may send, so its records fit into one row again.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docflow.functions.gate import parse_review
 from docflow.functions.messages import review_messages
 from docflow.functions.text import not_blank
-from docflow.operators.model import REVIEW_PARAMS, ClientFactory, StubClient, complete_rows
+from docflow.operators.model import REVIEW_PARAMS, ClientFactory, complete_rows
 
 
 def with_messages(reviews: DataFrame, comment: str = "comments") -> DataFrame:
@@ -18,7 +18,7 @@ def with_messages(reviews: DataFrame, comment: str = "comments") -> DataFrame:
 
 
 def complete(
-    reviews: DataFrame, factory: ClientFactory = StubClient, params: dict[str, Any] | None = None,
+    reviews: DataFrame, factory: ClientFactory, params: dict[str, Any] | None = None,
     comment: str = "comments", concurrency: int = 5,
 ) -> DataFrame:
     """Completions of all reviews that are not blank, with the error column beside them."""
@@ -35,11 +35,11 @@ def as_json(completed: DataFrame) -> DataFrame:
     return completed.withColumns({f"{c}_json": F.to_json(c) for c in nested}).drop(*nested)
 
 
-def parse(stored: DataFrame) -> DataFrame:
-    """Answers of the rows whose completion came from the assistant."""
+def parse(stored: DataFrame, every: bool = False) -> DataFrame:
+    """Answers of the rows whose completion came from the assistant; with ``every``, rows without one stay, with nulls."""
+    answered = stored.withColumn("_a", parse_review(F.col("chat_completions_json")))
     return (
-        stored.withColumn("_a", parse_review(F.col("chat_completions_json")))
-        .filter(F.col("_a.role") == "assistant")
+        (answered if every else answered.filter(F.col("_a.role") == "assistant"))
         .withColumns({f"output_{n}": F.col(f"_a.{n}") for n in ("role", "sentiment", "identified_action", "action_type")})
         .drop("_a")
     )

@@ -44,6 +44,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none where there is no such path."""
+    folder, files = _file_system(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(folder) if x.isDirectory()] if files.exists(folder) else []
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def for_folders(df: DataFrame, column: str) -> DataFrame:
     """Bring the rows of an output folder together before ``partitionBy(column)``.
 

@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docflow.operators.chunks import build_chunks
-from docflow.operators.model import ClientFactory, StubClient
+from docflow.operators.model import ClientFactory
 from docflow.operators.upsert import upsert_table
 from docflow.plans.reviews import as_json, complete, parse
+from docflow.session import subfolders
 
 
 def stream_chunks(
-    pages: DataFrame, table: str, checkpoint: str, user_id: str, image_dir: str, buckets: int = 64, prepare=None
+    pages: DataFrame, table: str, checkpoint: str, user_id: str, image_dir: str, prepare=None
 ) -> StreamingQuery:
     """Upsert the chunks of arriving page extracts into a table; ``pages`` is a stream.
 
-    ``prepare`` shapes what arrives into extracts. A batch that is repeated after a
-    failure merges the same rows again, which changes nothing.
+    ``prepare`` shapes what arrives into extracts. A batch is written as the merge of its number: one that is repeated
+    after a failure replaces itself. :func:`docflow.operators.upsert.read_table` gives the rows.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         extracts = batch if prepare is None else prepare(batch)
-        chunks = build_chunks(extracts, user_id, image_dir).withColumn("_order", F.lit(batch_id))
-        upsert_table(batch.sparkSession, table, chunks, ["id"], "_order", buckets)
+        chunks = build_chunks(extracts, user_id, image_dir).withColumn("_order", F.lit(0))
+        upsert_table(batch.sparkSession, table, chunks, ["id"], "_order", merge=batch_id)
 
     return (
         pages.writeStream.foreachBatch(merge)
@@ -34,30 +35,30 @@ def stream_chunks(
 
 
 def stream_reviews(
-    rows: DataFrame, key: str, time: str, comment: str, output: str, checkpoint: str,
-    factory: ClientFactory = StubClient, delay: str = "1 day",
+    rows: DataFrame, key: str, comment: str, output: str, checkpoint: str, factory: ClientFactory
 ) -> StreamingQuery:
-    """Complete arriving rows, each key once within the delay, and append the parsed answers.
+    """Complete arriving rows, each key once whenever it arrives, and keep answers and errors as JSON text.
 
-    Copies of a key are first dropped within their input split, so that a key with
-    very many copies does not meet in one task, and then across splits.
+    A batch drops its own copies and the keys that earlier batches have stored, calls the model for the rest and
+    writes a folder of its number; one that is repeated replaces itself. Nothing depends on the time of a row or on how
+    many files a batch takes. :func:`read_answers` gives what is stored.
     """
-    once = (
-        rows.withColumn("_split", F.spark_partition_id())
-        .withWatermark(time, delay)
-        .dropDuplicatesWithinWatermark([key, "_split"])
-        .dropDuplicatesWithinWatermark([key])
-        .drop("_split")
-    )
-    answers = parse(as_json(complete(once, factory, comment=comment)))
-    return (
-        answers.writeStream.format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.dropDuplicates([key])
+        if earlier := [n for n in subfolders(spark, output) if n.startswith("batch=") and int(n.split("=")[1]) < batch_id]:
+            known = spark.read.schema(batch.select(key).schema).parquet(*[f"{output}/{n}" for n in earlier])
+            new = new.join(known, key, "left_anti")
+        as_json(complete(new, factory, comment=comment)).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+
+    return rows.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_answers(spark: SparkSession, output: str) -> DataFrame:
+    """Every row that :func:`stream_reviews` has stored: the parsed answer, or the error that took its place."""
+    stored = spark.read.parquet(output).drop("batch")
+    error = F.from_json("error_json", "code string, message string")
+    return parse(stored, every=True).withColumns({"error_code": error["code"], "error_message": error["message"]})
 
 
 def read_stream(spark: SparkSession, folder: str, name: str, schema, files_per_batch: int = 1000) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docflow import schemas
+from docflow.checks.stub import StubClient
 from docflow.functions import gate
 from docflow.functions.messages import image_messages, multimodal_messages, prompt_for, review_messages
-from docflow.operators.model import CallError, StubClient, complete_rows, complete_stored, embed_text
+from docflow.operators.model import CallError, complete_rows, complete_stored, embed_text
 from docflow.plans import images, reviews
 from docflow.session import fresh_path
 
@@ -49,7 +50,7 @@ def test_retries_and_errors_are_data(spark):
 
 def test_store_is_asked_first(spark):
     store = fresh_path(spark, "store")
-    first = complete_stored(said(spark, ["x", "y", "x"]), store)
+    first = complete_stored(said(spark, ["x", "y", "x"]), store, factory=StubClient)
     assert first.count() == 3 and first.filter(F.col("chat_completions").isNotNull()).count() == 3
 
     def broken():
@@ -61,9 +62,9 @@ def test_store_is_asked_first(spark):
 
 
 def test_nulls(spark):
-    rows = complete_rows(said(spark, ["a"]).withColumn("messages", F.when(F.lit(False), F.col("messages"))))
+    rows = complete_rows(said(spark, ["a"]).withColumn("messages", F.when(F.lit(False), F.col("messages"))), factory=StubClient)
     assert [(r["chat_completions"], r["error"]) for r in rows.collect()] == [(None, None)]
-    vectors = spark.createDataFrame([("a",), (None,), ("a",)], "t string").select(embed_text(Flaky)(F.col("t")).alias("v"))
+    vectors = spark.createDataFrame([("a",), (None,), ("a",)], "t string").select(embed_text(Flaky)(F.col("t"))["vector"].alias("v"))
     assert sorted((r["v"] or [] for r in vectors.collect()), key=len) == [[], [1.0], [1.0]]
 
 
@@ -105,7 +106,7 @@ def test_gate(spark):
 
 def test_review_flow(spark):
     rows = spark.createDataFrame([(i, "c" * i if i else "  ") for i in range(60)] + [(60, None)], "k int, comments string")
-    stored = reviews.as_json(reviews.complete(rows))
+    stored = reviews.as_json(reviews.complete(rows, StubClient))
     assert {"messages_json", "chat_completions_json", "error_json"} < set(stored.columns)
     assert stored.count() == 59
     failed = stored.filter("error_json is not null").count()

@@ -9,6 +9,7 @@ from docflow import schemas
 from docflow.functions import text as T
 from docflow.operators import pages as P
 from docflow.operators.chunks import build_chunks, embed_chunks
+from docflow.checks.stub import StubClient
 from docflow.operators.model import embed_text
 from docflow.plans import documents
 from docflow.session import fresh_path
@@ -125,12 +126,12 @@ def test_chunks_without_pages(spark):
     df = spark.createDataFrame([], f"file_path string, extract_path string, {schemas.PAGE_EXTRACT}")
     path = fresh_path(spark, "chunks")
     files.write_chunks(build_chunks(df, "u", "img"), path)
-    assert embed_chunks(build_chunks(df, "u", "img"), embed_text()).count() == 0
+    assert embed_chunks(build_chunks(df, "u", "img"), embed_text(StubClient)).count() == 0
 
 
 def test_extract_of_documents(spark):
     rows = [(d, s, f"data:{d}-{s}" + "x" * (d * 7 + s)) for d in range(4) for s in range(1, 2 + d * 6)]
-    out = documents.extract(spark.createDataFrame(rows, "doc_id int, page_sequence_number bigint, image_url string"))
+    out = documents.extract(spark.createDataFrame(rows, "doc_id int, page_sequence_number bigint, image_url string"), StubClient)
     got = out.collect()
     assert len(got) == len(rows) and len({(r["doc_id"], r["document_title"]) for r in got}) == 4
     assert {"image_url"}.isdisjoint(out.columns)

@@ -24,7 +24,7 @@ def inspect(df):
         assert not re.search(r" (ASC|DESC)\b", first), f"a window over the whole table, by {first}"
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(q for q in QUERIES if not re.match(r"op\d+_|pipeline$", q) or q in SQL))
 def test_query(spark, name):
     n, problem = differences(spark, QUERIES[name], SQL.get(name), SF, inspect)
     assert problem is None and n > 0
@@ -32,7 +32,8 @@ def test_query(spark, name):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert sorted(set(QUERIES) - set(SQL)) == ["automl_best_trial", "automl_trials", "batch_score", "score_append"]
+    text_operators = re.compile(r"op\d+_|pipeline$")  # they have tests of their own where SQL cannot say them
+    assert [q for q in set(QUERIES) - set(SQL) if not text_operators.match(q)] == []
 
 
 def test_entry(spark):
