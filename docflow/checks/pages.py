@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from docflow import schemas
 from docflow.checks.shapes import PAGE_LINES, PAGES, USER, extracts, page_lines, table
+from docflow.checks.stub import StubClient
 from docflow.functions import gate
 from docflow.functions import text as T
 from docflow.operators import pages as P
+from docflow.operators import upsert as U
 from docflow.operators.chunks import VECTORS, build_chunks, embed_chunks
-from docflow.checks.stub import StubClient
 from docflow.operators.model import embed_text
+from docflow.operators.upsert import read_table
 from docflow.operators.skew import once_per_value, salt_of
 from docflow.plans import documents as plan
 from docflow.session import fresh_path, write_once
@@ -196,11 +198,33 @@ def chunk_vectors(spark, sf):
     return done.select("id", *[_digits(F.col(v)).alias(v) for v in VECTORS.values()])
 
 
+def _uploaded(spark, sf):
+    pages, index = write_once(extracts(spark, sf), "loaded"), fresh_path(spark, "index")
+    listed = pages.select("file_path", "page_sequence_number")
+    sent = plan.upload(pages, listed, USER, IMAGES, embed_text(StubClient), StubClient, index, fresh_path(spark, "export"), fill=False)
+    return sent, read_table(spark, index, ["id"])
+
+
+def document_upload(spark, sf):
+    """Chunks with vectors in the index."""
+    _, index = _uploaded(spark, sf)
+    return index.select("id", F.md5("text_content").alias("text_content"), *[_digits(F.col(v)).alias(v) for v in VECTORS.values()], "vector_errors")
+
+
+def upload_report(spark, sf):
+    """What the service took of each document."""
+    sent, _ = _uploaded(spark, sf)
+    return U.upload_report(sent, ["file_name"], "succeeded")
+
+
 def chunk_jsonl(spark, sf):
+    """All written, then some documents again with fewer chunks and another text: they replace what they had."""
     path = fresh_path(spark, "chunks")
     chunks = _chunks(spark, sf)
     files.write_chunks(chunks, path)
-    back = spark.read.schema(chunks.schema).json(path)
+    again = F.col("page_sequence_number") == 1
+    files.write_chunks(chunks.filter(again & (F.length("file_name") % 2 == 0)).withColumn("text_content", F.lit("second")), path)
+    back = files.read_chunks(spark, path, chunks.schema)
     return back.select("id", "file_name", "page_number", "image_flag", F.md5("text_content").alias("digest"))
 
 
@@ -277,6 +301,8 @@ QUERIES = {
     "embed_dedup_join": embed_dedup_join,
     "chunk_vectors": chunk_vectors,
     "chunk_jsonl": chunk_jsonl,
+    "document_upload": document_upload,
+    "upload_report": upload_report,
     "extract_scan": extract_scan,
     "extract_sink": extract_sink,
     "extract_integrity": extract_integrity,
@@ -426,7 +452,15 @@ SELECT id, CASE WHEN section <> '' THEN {_vector('section')} ELSE '' END AS sect
   CASE WHEN parent_section <> '' THEN {_vector('parent_section')} ELSE '' END AS parent_section_vector,
   {_vector('text_content')} AS text_content_vector FROM chunks""",
     "chunk_jsonl": f"""WITH {PAGES}, {_CHUNKS}
-SELECT id, file_name, page_number, image_flag, md5(text_content) AS digest FROM chunks""",
+SELECT id, file_name, page_number, image_flag, CASE WHEN again THEN md5('second') ELSE md5(text_content) END AS digest
+FROM (SELECT *, bool_or(length(file_name) % 2 = 0 AND page_sequence_number = 1) OVER (PARTITION BY file_name) AS again FROM chunks)
+WHERE NOT again OR page_sequence_number = 1""",
+    "document_upload": f"""WITH {PAGES}, {_CHUNKS}
+SELECT id, md5(text_content) AS text_content, CASE WHEN section <> '' THEN {_vector('section')} ELSE '' END AS section_vector,
+  CASE WHEN parent_section <> '' THEN {_vector('parent_section')} ELSE '' END AS parent_section_vector,
+  {_vector('text_content')} AS text_content_vector, CAST(NULL AS VARCHAR) AS vector_errors FROM chunks""",
+    "upload_report": f"""WITH {PAGES}, {_CHUNKS}
+SELECT file_name, count(CASE WHEN length(id) % 7 <> 0 THEN 1 END) AS succeeded, count(*) AS sent FROM chunks GROUP BY file_name""",
     "extract_scan": f"""WITH {PAGES}, sized AS (
   SELECT p.doc_id, p.page, p.document_title, count(i.j) AS n FROM page_rows p LEFT JOIN items i USING (doc_id, page)
   GROUP BY ALL)

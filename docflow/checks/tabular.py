@@ -69,11 +69,6 @@ def upload_batches(spark, sf):
     return _batches(spark, sf)
 
 
-def upload_report(spark, sf):
-    sent = _batches(spark, sf).withColumn("succeeded", F.col("o_orderkey") % 7 != 0)
-    return U.upload_report(sent, ["o_orderpriority"], "succeeded")
-
-
 # ---------------------------------------------------------------- split
 
 
@@ -334,7 +329,7 @@ def column_profile(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, upload_report, split_exact, split_exact_shares, split_hash,
+        chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, split_exact, split_exact_shares, split_hash,
         split_counts, split_disjoint, split_sink, manifest_scan, manifest_rewrite, asset_register_new, model_register,
         model_latest, run_id_extract, schema_context, sql_guard, sql_answer, automl_trials, automl_best_trial,
         batch_score, score_append, regression_r2, column_profile,
@@ -445,8 +440,6 @@ FROM orders""",
     "chunk_upsert_fields": """SELECT o_orderkey, o_orderstatus, o_totalprice,
   CASE WHEN o_orderkey % 4 = 0 THEN 'LAST' WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
     "upload_batches": f"WITH {_BATCHES} SELECT * FROM batches",
-    "upload_report": f"""WITH {_BATCHES}
-SELECT o_orderpriority, batch, count(CASE WHEN o_orderkey % 7 <> 0 THEN 1 END) AS succeeded, count(*) AS sent FROM batches GROUP BY ALL""",
     "split_exact": f"WITH {_NESTED} SELECT o_orderkey, split FROM cut",
     "split_exact_shares": f"WITH {_SHARES} SELECT o_orderkey, split FROM cut",
     "split_hash": """WITH u AS (SELECT o_orderkey, CAST('0x' || substr(md5('42_' || o_orderkey), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM orders)

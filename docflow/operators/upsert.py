@@ -40,8 +40,8 @@ def upload_batches(rows: DataFrame, keys: list[str], position: str, size: int =
 
 
 def upload_report(results: DataFrame, keys: list[str], succeeded: str) -> DataFrame:
-    """How many rows of each batch were taken."""
-    return results.groupBy(*keys, "batch").agg(
+    """How many rows of each key (a batch, a document) were sent, and how many of them taken."""
+    return results.groupBy(*keys).agg(
         F.count_if(F.col(succeeded)).alias("succeeded"), F.count("*").alias("sent")
     )
 

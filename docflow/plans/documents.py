@@ -1,4 +1,4 @@
-"""Documents: pages to extracts (title, summaries, contents), section fill, chunks."""
+"""Documents: pages to extracts (title, summaries, contents), and extracts to chunks with vectors in an index."""
 
 from __future__ import annotations
 
@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.functions import gate
 from docflow.functions.messages import multimodal_messages, prompt_for
+from docflow.operators.chunks import build_chunks, embed_chunks
 from docflow.operators.model import PAGE_PARAMS, ClientFactory, complete_rows
-from docflow.operators.pages import enrich_pages, first_pages, group_values, join_texts
+from docflow.operators.pages import enrich_pages, fill_sections, first_pages, group_values, join_texts, require_complete
+from docflow.operators.upload import SearchFactory, send
+from docflow.operators.upsert import upsert_table
 from docflow.session import write_once
+from docflow.sources import files
 
 ANSWERS = {
     "title": "document_title",
@@ -81,3 +85,21 @@ def extract(
         gate.reported_reason(gate.finish_reason(response)).alias("llm_extract_content_finish_reason"),
     ).select("*", "_c.*").drop("_c")
     return enrich_pages(bodies, documents, key, seq)
+
+
+def upload(
+    pages: DataFrame, listed: DataFrame, user_id: str, image_dir: str, embed, factory: SearchFactory, table: str, export: str,
+    fill: bool = True,
+) -> DataFrame:
+    """Loaded page extracts to chunks with vectors: exported, merged into the index table, and sent.
+
+    Stops if a page of ``listed`` (``file_path, page_sequence_number``) is not loaded. Sections are filled unless
+    that has been done before. Returns per chunk whether the service took it. Every step reads what the one before wrote.
+    """
+    require_complete(listed, pages, ["file_path", "page_sequence_number"])
+    filled = fill_sections(pages, ["file_path"]).drop("changed") if fill else pages
+    chunks = write_once(build_chunks(filled, user_id, image_dir), "chunks")
+    ready = write_once(embed_chunks(chunks, embed), "vectors")
+    files.write_chunks(ready, export)
+    upsert_table(pages.sparkSession, table, ready.withColumn("_order", F.lit(0)), ["id"], "_order")
+    return write_once(send(ready, ["id", "file_name"], factory), "sent")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
 from docflow.operators.skew import lookup, salt_of
-from docflow.session import for_folders, write_once
+from docflow.session import for_folders, subfolders, write_once
 
 BAD = "_bad"
 
@@ -107,12 +107,20 @@ def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:
     write_pages(again, path, buckets)
 
 
-def write_chunks(chunks: DataFrame, path: str, buckets: int = 64) -> None:
-    """Chunks as JSON lines in hash buckets of documents; no chunks make an empty folder."""
-    (
-        for_folders(chunks.withColumn("bucket", bucket_of("file_name", buckets)), "bucket")
-        .write.mode("overwrite").partitionBy("bucket").json(path)
-    )
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Chunks as JSON lines, in a folder for each writing; a document that is written again replaces what it had.
+
+    Only what is new is written. :func:`read_chunks` leaves out what has been replaced. No chunks make an empty folder.
+    """
+    number = max([int(x.split("=")[1]) for x in subfolders(chunks.sparkSession, path) if x.startswith("writing=")], default=-1) + 1
+    chunks.write.mode("overwrite").json(f"{path}/writing={number}")
+
+
+def read_chunks(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The chunks of each document as they were written last."""
+    every = spark.read.schema(schema).option("basePath", path).json(path)
+    last = every.groupBy("file_name").agg(F.max("writing").alias("_last"))
+    return lookup(every, last, ["file_name"], salt_of(F.col("id"))).filter("writing = _last").drop("writing", "_last")
 
 
 def read_payloads(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
