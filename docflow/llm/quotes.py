@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,21 +83,31 @@ def linked(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", tex
         "conv", "turn", F.coalesce("quoted_turn", "previous").alias("parent_turn"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked")
     )
     parents = write_once(parents, "parents")
-    above = parents.select("conv", "turn", F.coalesce("parent_turn", "turn").alias("root_turn"), F.col("parent_turn").isNotNull().cast("long").alias("depth"))
-    above = write_once(above, "above")
-    while True:  # each round doubles how far up a node has looked
-        up = above.select("conv", F.col("turn").alias("root_turn"), F.col("root_turn").alias("higher"), F.col("depth").alias("more"))
-        joined = above.join(up, ["conv", "root_turn"])
-        above = write_once(joined.select("conv", "turn", F.col("higher").alias("root_turn"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")), "above")
-        moved = above.filter("moved").limit(1).count()
-        above = above.drop("moved")
-        if not moved:
-            break
+    start = parents.select("conv", "turn", F.coalesce("parent_turn", "turn").alias("root_turn"), F.col("parent_turn").isNotNull().cast("long").alias("depth"))
+    above = roots(start.withColumn("open", F.col("depth") > 0))
     placed = messages.drop("passages").join(parents.join(above, ["conv", "turn"]), ["conv", "turn"], "left")
     placed = placed.withColumn("root_turn", F.coalesce("root_turn", "turn")).fillna(0, ["depth", "n_linked"])
     return positions(placed)
 
 
+def roots(above: DataFrame) -> DataFrame:
+    """The root of every node and its distance, from the parent (``root_turn``, ``depth``) of those that are ``open``.
+
+    Each round doubles how far up an open node has looked; one that has met a root is done and leaves the rounds.
+    """
+    tables = [write_once(above, "above")]
+    while True:
+        done = reduce(DataFrame.union, [t.filter("not open") for t in tables])
+        rest = tables[-1].filter("open")
+        if rest.isEmpty():
+            return done.drop("open")
+        up = done.union(rest).select("conv", F.col("turn").alias("root_turn"), F.col("root_turn").alias("higher"), F.col("depth").alias("more"))
+        joined = rest.drop("open").join(up, ["conv", "root_turn"])
+        tables.append(write_once(joined.select(
+            "conv", "turn", F.col("higher").alias("root_turn"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("open")
+        ), "above"))
+
+
 def positions(placed: DataFrame, block: int = 4096) -> DataFrame:
     """``position``: numbers from 0 by turn within conversation and root, from counts of blocks of turns."""
     placed = write_once(placed.withColumn("block", F.floor(F.col("turn") / block)), "placed")
