@@ -103,16 +103,21 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-SEGMENT_LINE_DEDUP = r"""
+# an edit changes the number of a letter by one at most
+_LETTERS = "etnaios"
+COUNTED = ", ".join(f"length(line) - length(replace(line, '{c}', '')) AS {c}" for c in _LETTERS)
+NEAR = " AND ".join(f"abs(a.{c} - b.{c}) <= 2" for c in _LETTERS)
+
+SEGMENT_LINE_DEDUP = rf"""
 WITH RECURSIVE place AS (
   SELECT doc_id, k - 1 AS line_no, ls[k] AS line
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
   WHERE length(ls[k]) >= 24
 ),
-known AS (SELECT line, length(line) AS n, min({'doc': doc_id, 'line': line_no}) AS first FROM place GROUP BY line),
+known AS (SELECT line, length(line) AS n, {COUNTED}, min({{'doc': doc_id, 'line': line_no}}) AS first FROM place GROUP BY line),
 link AS (
   SELECT a.line AS x, b.line AS y FROM known a JOIN known b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
-  WHERE levenshtein(a.line, b.line) <= 2
+  WHERE {NEAR} AND levenshtein(a.line, b.line) <= 2
 ),
 reach AS (SELECT line AS x, line AS y FROM known UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
 class AS (SELECT x AS line, min(first) AS least FROM reach JOIN known ON known.line = reach.y GROUP BY x),

@@ -54,6 +54,20 @@ def test_near_groups(spark, seed):
     assert found == brute.similar_groups(rows, 3, 80)
 
 
+@pytest.mark.parametrize("most", [0, 9, 14])
+def test_any_boundary_gives_the_same(spark, monkeypatch, most):
+    rng = random.Random(12)
+    rows = []
+    for k in range(120):
+        words = [f"w{i}" for i in range(rng.randint(1, 18))]
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 3)}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(jaccard, "boundary", lambda *_: most)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_groups(frame(spark, rows), width=1).collect()}
+    assert found == brute.similar_groups(rows, 1, 80)
+
+
 def test_hot_group_is_one_component(spark, monkeypatch):
     base = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(base[:k] + [f"x{k}"] + base[k + 1 :])) for k in range(120)] + [(500, " ".join(f"y{i}" for i in range(50)))]
