@@ -6,7 +6,7 @@ indexes its own segments and probes the index of its own and of slightly smaller
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.llm.components import stars
@@ -24,14 +24,6 @@ def occurrences(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame
     return whole.filter(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
 
 
-def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment ``i`` (from 0) of a line of that length: sizes differ by one, larger ones last."""
-    parts = edits + 1
-    small = F.floor(length / parts).cast("int")
-    fewer = parts - length % parts  # segments of the smaller size
-    return (i * small + F.greatest(F.lit(0), i - fewer)).cast("int"), small + F.when(fewer <= i, 1).otherwise(0)
-
-
 def shifts(i: int, shorter: int, edits: int) -> range:
     """Where segment ``i`` of a line ``shorter`` characters shorter may start, relative to its own place.
 
@@ -40,21 +32,32 @@ def shifts(i: int, shorter: int, edits: int) -> range:
     return range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
 
 
-def meeting_keys(line: Column, edits: int) -> Column:
-    """An array of structs: hashes under which the line can be met, and whether the line is indexed there."""
-    length = F.length(line)
-    keys = []
+def with_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """id and keys: hashes under which a line can be met; their lowest bit says whether it is indexed there or only probes.
+
+    The line is spread to four bytes for each character, once, so that a segment is found without a walk along it. Segments
+    of a line differ by one character in size, the larger ones come last. Where they lie is plain arithmetic in steps.
+    """
+    parts, n = edits + 1, F.col("n")
+    sized = lines.select("id", "line", F.length("line").alias("n"))
+    small = [F.call_function("div", n - d, F.lit(parts)).cast("int").alias(f"small_{d}") for d in range(edits + 1)]
+    sized = sized.select("id", "line", "n", *small)
+    places = []
     for shorter in range(edits + 1):
-        other = length - shorter
+        size = F.col(f"small_{shorter}")
+        fewer = parts - (n - shorter - parts * size)  # segments of the smaller size
         for i in range(edits + 1):
-            start, size = segment(other, i, edits)
+            start, wide = i * size + F.greatest(F.lit(0), i - fewer), size + F.when(fewer <= i, 1).otherwise(0)
             for shift in shifts(i, shorter, edits):
                 at = start + shift
-                key = F.xxhash64(F.lit(i), other, line.substr(at + 1, size))
-                inside = (at >= 0) & (at + size <= length)
-                own = not shorter and not shift
-                keys.append(F.when(inside, F.struct(key.alias("meet"), F.lit(own).alias("indexed"))))
-    return F.array(*keys)
+                places.append(F.struct(
+                    F.lit(i).alias("i"), (n - shorter).alias("n"), (4 * at + 1).alias("at"),
+                    F.when((at >= 0) & (at + wide <= n), 4 * wide).otherwise(-1).alias("size"), F.lit(int(not shorter and not shift)).cast("long").alias("own"),
+                ))
+    placed = sized.select("id", "line", F.array(*places).alias("places"))
+    meet = lambda chars, p: F.xxhash64(p["i"], p["n"], chars.substr(p["at"], p["size"])).bitwiseAND(F.lit(-2)).bitwiseOR(p["own"])
+    found = let(F.encode("line", "UTF-32"), lambda chars: F.transform(F.filter("places", lambda p: p["size"] >= 0), lambda p: meet(chars, p)))
+    return placed.select("id", found.alias("keys"))
 
 
 def common_prefix(a: Column, b: Column, most: Column) -> Column:
@@ -129,16 +132,24 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
 
 def links(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs a < b of ids of different lines within ``edits`` edits, each once."""
-    distinct = lines.groupBy("id").agg(F.first("line").alias("line"))
-    met = distinct.select("id", F.explode(meeting_keys(F.col("line"), edits)).alias("k")).filter("k is not null").select("id", "k.*")
-    often = met.groupBy("meet").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("indexed").alias("i")).filter("lo <> hi and i")
-    met = write_once(met.join(often.select("meet"), "meet"), "met")
+    """Pairs a < b of ids of different lines within ``edits`` edits, each once.
+
+    Equal lines are brought together before anything is exploded, by their keys alone: texts are not shuffled for it.
+    Only the lines of pairs that have met are then fetched and compared.
+    """
+    distinct = with_keys(lines, edits).groupBy("id").agg(F.first("keys").alias("keys"))
+    met = distinct.select("id", F.explode("keys").alias("k")).select(
+        "id", F.col("k").bitwiseAND(F.lit(-2)).alias("meet"), (F.col("k").bitwiseAND(F.lit(1)) == 1).alias("indexed")
+    )
+    here = Window.partitionBy("meet")
+    met = met.withColumns({"lo": F.min("id").over(here), "hi": F.max("id").over(here), "any": F.max("indexed").over(here)})
+    met = write_once(met.filter("lo <> hi and any").select("meet", "id", "indexed"), "met")
     own = met.filter("indexed").select("meet", F.col("id").alias("own"))
     pairs = own.join(met.select("meet", "id"), "meet").filter("own <> id")
     pairs = write_once(pairs.select(F.least("own", "id").alias("a"), F.greatest("own", "id").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sides = write_once(distinct.join(wanted, "id"), "sides")
+    sides = lines.select("id", "line").join(wanted, "id").groupBy("id").agg(F.first("line").alias("line"))
+    sides = write_once(sides, "sides")
     left = pairs.join(sides.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     both = left.join(sides.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return both.filter(within(F.col("x"), F.col("y"), edits)).select("a", "b")
