@@ -204,27 +204,31 @@ def heavy_links(classes: DataFrame, most: int, percent: int, rounds: int = 2) ->
     of one list is compared pair by pair, so that no link between components is missed.
     """
     postings = classes.filter((F.col("n") * 100 >= percent * F.lit(most + 1))).select(
-        "node", "n", "centre", F.explode(F.slice("elements", F.lit(1), F.col("prefix"))).alias("element")
+        "node", "n", "centre", F.size("elements").alias("k"), F.posexplode(F.slice("elements", F.lit(1), F.col("prefix"))).alias("at", "element")
     )
     postings = write_once(postings, "postings")
     links = None
     root = None
-    fits = (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.greatest("n", "n_b") > most)
+    sizes = (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.greatest("n", "n_b") > most)
+    # of the elements in order, those before and after this one that both can have
+    bound = F.least("at", "at_b") + 1 + F.least(F.col("k") - F.col("at"), F.col("k_b") - F.col("at_b")) - 1
+    fits = sizes & ((100 + percent) * bound >= percent * (F.col("n") + F.col("n_b")))
+    other = lambda prefix: [F.col(f"{prefix}{c}").alias(f"{c}_b") for c in ("n", "k", "at", "root")]
     for _ in range(rounds):
         lists = rooted(postings, root)
         mixed = lists.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("element")
         lists = lists.join(mixed, "element") if root is not None else lists
-        leaders = lists.groupBy("element").agg(F.max_by(F.struct("node", "n", "root"), F.struct("centre", "node")).alias("l"))
-        pairs = lists.join(leaders.select("element", F.col("l.node").alias("b"), F.col("l.n").alias("n_b"), F.col("l.root").alias("root_b")), "element")
+        leaders = lists.groupBy("element").agg(F.max_by(F.struct("node", "n", "k", "at", "root"), F.struct("centre", "node")).alias("l"))
+        pairs = lists.join(leaders.select("element", F.col("l.node").alias("b"), *other("l.")), "element")
         pairs = pairs.filter((F.col("root") != F.col("root_b")) & fits).select(F.col("node").alias("a"), "b").distinct()
         found = write_once(similar(pairs, classes, percent), "similar")
         links = found if links is None else links.union(found)
         root = write_once(stars(links), "roots")
     lists = write_once(rooted(postings, root), "lists")
     mixed = lists.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("element")
-    lists = write_once(lists.join(mixed, "element").select("element", "node", "n", "root"), "mixed")
-    other = lists.select("element", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    pairs = lists.join(other, "element").filter((F.col("root") < F.col("root_b")) & fits).select(F.col("node").alias("a"), "b").distinct()
+    lists = write_once(lists.join(mixed, "element").drop("centre"), "mixed")
+    pairs = lists.join(lists.select("element", F.col("node").alias("b"), *other("")), "element")
+    pairs = pairs.filter((F.col("root") < F.col("root_b")) & fits).select(F.col("node").alias("a"), "b").distinct()
     return links.union(similar(pairs, classes, percent))
 
 
