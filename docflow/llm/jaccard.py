@@ -210,9 +210,9 @@ def heavy_links(classes: DataFrame, most: int, percent: int, rounds: int = 2) ->
     links = None
     root = None
     sizes = (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")) & (F.greatest("n", "n_b") > most)
-    # of the elements in order, those before and after this one that both can have
-    bound = F.least("at", "at_b") + 1 + F.least(F.col("k") - F.col("at"), F.col("k_b") - F.col("at_b")) - 1
-    fits = sizes & ((100 + percent) * bound >= percent * (F.col("n") + F.col("n_b")))
+    # a similar pair is found at the first element that both have, where as much is left on either side as they need in common
+    left = F.least(F.col("k") - F.col("at"), F.col("k_b") - F.col("at_b"))
+    fits = sizes & ((100 + percent) * left >= percent * (F.col("n") + F.col("n_b")))
     other = lambda prefix: [F.col(f"{prefix}{c}").alias(f"{c}_b") for c in ("n", "k", "at", "root")]
     for _ in range(rounds):
         lists = rooted(postings, root)
