@@ -131,11 +131,35 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return let(common_prefix(a, b, shorter), after_prefix)
 
 
+BITS = 1 << 24
+
+
+def maybe_among(lines: DataFrame, wanted: DataFrame, bits: int = BITS) -> DataFrame:
+    """The lines whose id may be one of ``wanted``: all that are, and some others.
+
+    Ids are marked in a field of ``bits`` bits (2 MB), whatever their number, which is sent to all tasks, so that most texts stay
+    where they are. When very many are wanted the field fills up and holds back less.
+    """
+    place = lambda c: F.pmod(c, F.lit(bits)) + 1
+    marked = wanted.select(F.bitmap_bucket_number(place(F.col("id"))).alias("bucket"), F.bitmap_bit_position(place(F.col("id"))).alias("bit"))
+    field = F.broadcast(marked.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("field")))
+    bit = F.bitmap_bit_position(place(F.col("id")))
+    byte = F.conv(F.hex(F.col("field").substr((bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = lines.withColumn("bucket", F.bitmap_bucket_number(place(F.col("id")))).join(field, "bucket")
+    return there.filter(F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*lines.columns)
+
+
+def letters(line: Column, counted: str = "etaonirshdlumcbg ,.") -> Column:
+    """How often each of some letters is in the line."""
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in counted])
+
+
 def links(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs a < b of ids of different lines within ``edits`` edits, each once.
 
     Equal lines are brought together before anything is exploded, by their keys alone: texts are not shuffled for it.
-    Only the lines of pairs that have met are then fetched and compared.
+    Only lines that have met another are then fetched. Of those that meet, pairs are made where the numbers of some letters
+    allow it: an edit changes them by two in all at most.
     """
     distinct = with_keys(lines, edits).groupBy("id").agg(F.first("keys").alias("keys"))
     met = distinct.select("id", F.explode("keys").alias("k")).select(
@@ -144,12 +168,14 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     here = Window.partitionBy("meet")
     met = met.withColumns({"lo": F.min("id").over(here), "hi": F.max("id").over(here), "any": F.max("indexed").over(here)})
     met = write_once(met.filter("lo <> hi and any").select("meet", "id", "indexed"), "met")
-    own = met.filter("indexed").select("meet", F.col("id").alias("own"))
-    pairs = own.join(met.select("meet", "id"), "meet").filter("own <> id")
+    wanted = met.select("id").distinct()
+    sides = maybe_among(lines.select("id", "line"), wanted).join(wanted, "id").groupBy("id").agg(F.first("line").alias("line"))
+    sides = write_once(sides.withColumn("letters", letters(F.col("line"))), "sides")
+    met = met.join(sides.select("id", "letters"), "id")
+    own = met.filter("indexed").select("meet", F.col("id").alias("own"), F.col("letters").alias("own_letters"))
+    apart = F.aggregate(F.zip_with("own_letters", "letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
+    pairs = own.join(met.select("meet", "id", "letters"), "meet").filter((F.col("own") != F.col("id")) & (apart <= 2 * edits))
     pairs = write_once(pairs.select(F.least("own", "id").alias("a"), F.greatest("own", "id").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sides = lines.select("id", "line").join(wanted, "id").groupBy("id").agg(F.first("line").alias("line"))
-    sides = write_once(sides, "sides")
     left = pairs.join(sides.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     both = left.join(sides.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return both.filter(within(F.col("x"), F.col("y"), edits)).select("a", "b")
