@@ -1,7 +1,8 @@
 """Near-duplicate lines by segments: columns and joins only.
 
 Two lines within ``edits`` edits share one of ``edits + 1`` segments of the shorter one, at nearly the same place. Each line
-indexes its own segments and probes the index of its own and of slightly smaller lengths; what meets is verified.
+indexes its own segments and probes the index of its own and of slightly smaller lengths; what meets is verified. How many
+edits a pair may have follows the length of its shorter line; very short lines have none and meet their equals by id alone.
 """
 
 from __future__ import annotations
@@ -13,15 +14,24 @@ from docflow.llm.components import stars
 from docflow.session import write_once
 
 _LAST = 2**63 - 1
+CHARS_PER_EDIT = 12
 
 
-def occurrences(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """doc, page (a hash of the text), line_no from 0, line and id of every line that has ``min_chars`` characters."""
+def allowed(n: Column, edits: int, min_chars: int | None) -> Column:
+    """Edits that a line of ``n`` characters and one as long or longer may be apart."""
+    if min_chars is not None:
+        return F.lit(edits)
+    return F.least(F.lit(edits), F.call_function("div", n, F.lit(CHARS_PER_EDIT)).cast("int"))
+
+
+def occurrences(df: DataFrame, key: str, text: str, min_chars: int | None) -> DataFrame:
+    """doc, page (a hash of the text), line_no from 0, line and id of every line with a word, or of ``min_chars`` characters if given."""
     whole = df.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("page"),
         F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"),
     )
-    return whole.filter(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
+    wanted = F.col("line").rlike(r"[^\x20\x09-\x0D]") if min_chars is None else F.length("line") >= min_chars
+    return whole.filter(wanted).withColumn("id", F.xxhash64("line"))
 
 
 def shifts(i: int, shorter: int, edits: int) -> range:
@@ -32,29 +42,33 @@ def shifts(i: int, shorter: int, edits: int) -> range:
     return range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
 
 
-def with_keys(lines: DataFrame, edits: int) -> DataFrame:
+def with_keys(lines: DataFrame, edits: int, min_chars: int | None) -> DataFrame:
     """id and keys: hashes under which a line can be met; their lowest bit says whether it is indexed there or only probes.
 
     The line is spread to four bytes for each character, once, so that a segment is found without a walk along it. Segments
     of a line differ by one character in size, the larger ones come last. Where they lie is plain arithmetic in steps.
     """
-    parts, n = edits + 1, F.col("n")
-    sized = lines.select("id", "line", F.length("line").alias("n"))
-    small = [F.call_function("div", n - d, F.lit(parts)).cast("int").alias(f"small_{d}") for d in range(edits + 1)]
-    sized = sized.select("id", "line", "n", *small)
-    places = []
-    for shorter in range(edits + 1):
-        size = F.col(f"small_{shorter}")
+    n = F.col("n")
+    sized = lines.select("id", "line", F.length("line").alias("n")).filter(allowed(n, edits, min_chars) > 0)
+    levels = [edits] if min_chars is not None else range(1, edits + 1)
+    small = {(e, d): f"small_{e}_{d}" for e in levels for d in range(e + 1)}
+    cut = [F.call_function("div", n - d, F.lit(e + 1)).cast("int").alias(name) for (e, d), name in small.items()]
+    sized = sized.select("id", "line", "n", *cut)
+    found = []
+    for (most, shorter), name in small.items():  # what a line that is ``shorter`` may meet with ``most`` edits
+        parts, size = most + 1, F.col(name)
         fewer = parts - (n - shorter - parts * size)  # segments of the smaller size
-        for i in range(edits + 1):
+        places = []
+        for i in range(parts):
             start, wide = i * size + F.greatest(F.lit(0), i - fewer), size + F.when(fewer <= i, 1).otherwise(0)
-            for shift in shifts(i, shorter, edits):
+            for shift in shifts(i, shorter, most):
                 at = start + shift
                 places.append(F.struct(
                     F.lit(i).alias("i"), (n - shorter).alias("n"), (4 * at + 1).alias("at"),
                     F.when((at >= 0) & (at + wide <= n), 4 * wide).otherwise(-1).alias("size"), F.lit(int(not shorter and not shift)).cast("long").alias("own"),
                 ))
-    placed = sized.select("id", "line", F.array(*places).alias("places"))
+        found.append(F.when(allowed(n - shorter, edits, min_chars) == most, F.array(*places)))
+    placed = sized.select("id", "line", F.flatten(F.array_compact(F.array(*found))).alias("places"))
     meet = lambda chars, p: F.xxhash64(p["i"], p["n"], chars.substr(p["at"], p["size"])).bitwiseAND(F.lit(-2)).bitwiseOR(p["own"])
     found = let(F.encode("line", "UTF-32"), lambda chars: F.transform(F.filter("places", lambda p: p["size"] >= 0), lambda p: meet(chars, p)))
     return placed.select("id", found.alias("keys"))
@@ -117,8 +131,8 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.abs(n - m) > edits, edits + 1).when(n == 0, m).otherwise(folded)
 
 
-def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings are within ``edits`` edits; what they share at both ends is taken off first."""
+def within(a: Column, b: Column, edits: int, most: Column) -> Column:
+    """Whether two strings are within ``most`` edits, ``edits`` at most; what they share at both ends is taken off first."""
     shorter = F.least(F.length(a), F.length(b))
 
     def after_prefix(p: Column) -> Column:
@@ -126,7 +140,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
         tail = common_prefix(F.reverse(x), F.reverse(y), shorter - p)
         cut = lambda s, q: F.split(s.substr(F.lit(1), F.length(s) - q), "")
         chars = lambda s, q: F.when(F.length(s) == q, F.array().cast("array<string>")).otherwise(cut(s, q))
-        return let(tail, lambda q: let(F.struct(chars(x, q).alias("x"), chars(y, q).alias("y")), lambda s: banded_distance(s["x"], s["y"], edits) <= edits))
+        return let(tail, lambda q: let(F.struct(chars(x, q).alias("x"), chars(y, q).alias("y")), lambda s: banded_distance(s["x"], s["y"], edits) <= most))
 
     return let(common_prefix(a, b, shorter), after_prefix)
 
@@ -154,14 +168,14 @@ def letters(line: Column, counted: str = "etaonirshdlumcbg ,.") -> Column:
     return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in counted])
 
 
-def links(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs a < b of ids of different lines within ``edits`` edits, each once.
+def links(lines: DataFrame, edits: int, min_chars: int | None) -> DataFrame:
+    """Pairs a < b of ids of different lines within the edits that their length allows, each once.
 
     Equal lines are brought together before anything is exploded, by their keys alone: texts are not shuffled for it.
     Only lines that have met another are then fetched. Of those that meet, pairs are made where the numbers of some letters
     allow it: an edit changes them by two in all at most.
     """
-    distinct = with_keys(lines, edits).groupBy("id").agg(F.first("keys").alias("keys"))
+    distinct = with_keys(lines, edits, min_chars).groupBy("id").agg(F.first("keys").alias("keys"))
     met = distinct.select("id", F.explode("keys").alias("k")).select(
         "id", F.col("k").bitwiseAND(F.lit(-2)).alias("meet"), (F.col("k").bitwiseAND(F.lit(1)) == 1).alias("indexed")
     )
@@ -170,25 +184,29 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     met = write_once(met.filter("lo <> hi and any").select("meet", "id", "indexed"), "met")
     wanted = met.select("id").distinct()
     sides = maybe_among(lines.select("id", "line"), wanted).join(wanted, "id").groupBy("id").agg(F.first("line").alias("line"))
-    sides = write_once(sides.withColumn("letters", letters(F.col("line"))), "sides")
-    met = met.join(sides.select("id", "letters"), "id")
-    own = met.filter("indexed").select("meet", F.col("id").alias("own"), F.col("letters").alias("own_letters"))
+    sides = sides.withColumns({"letters": letters(F.col("line")), "most": allowed(F.length("line"), edits, min_chars)})
+    sides = write_once(sides, "sides")
+    met = met.join(sides.select("id", "letters", "most"), "id")
+    own = met.filter("indexed").select("meet", F.col("id").alias("own"), F.col("letters").alias("own_letters"), F.col("most").alias("own_most"))
     apart = F.aggregate(F.zip_with("own_letters", "letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
-    pairs = own.join(met.select("meet", "id", "letters"), "meet").filter((F.col("own") != F.col("id")) & (apart <= 2 * edits))
+    pairs = own.join(met.select("meet", "id", "letters"), "meet").filter((F.col("own") != F.col("id")) & (apart <= 2 * F.col("own_most")))
     pairs = write_once(pairs.select(F.least("own", "id").alias("a"), F.greatest("own", "id").alias("b")).distinct(), "pairs")
     left = pairs.join(sides.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
     both = left.join(sides.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-    return both.filter(within(F.col("x"), F.col("y"), edits)).select("a", "b")
+    most = allowed(F.least(F.length("x"), F.length("y")), edits, min_chars)
+    return both.filter(within(F.col("x"), F.col("y"), edits, most)).select("a", "b")
 
 
-def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int = 24) -> DataFrame:
-    """One row per line of ``min_chars`` characters or more: doc_id (the key), line_no from 0, n_links, class_doc, class_line, removed.
+def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int | None = None) -> DataFrame:
+    """One row per line with a word: doc_id (the key), line_no from 0, n_links, class_doc, class_line, removed.
 
-    Lines are parted by a line feed. Lines link if ``edits`` insertions, deletions and substitutions turn one into the other;
+    Lines are parted by a line feed. Lines link if so many insertions, deletions and substitutions turn one into the other:
+    one for every ``CHARS_PER_EDIT`` characters of the shorter line, ``edits`` at most. Equal lines are one at any length.
     n_links counts the different lines that a line links to, its copies not among them. class_doc and class_line are the
     first place (by key, then line) of what links reach; every line of a class but that one is removed.
 
-    Shorter lines, null and empty texts have no row. A null key comes after all others and stays null. Rows with equal key
+    With ``min_chars`` only lines of so many characters have a row, with a word or not, and all may be ``edits`` apart.
+    Lines without words, null and empty texts have no row. A null key comes after all others and stays null. Rows with equal key
     and text are one document, whose lines are reported for each. Keys must be integers. Other columns are left out.
     """
     placed = classed(df, key, text, edits, min_chars)
@@ -197,9 +215,9 @@ def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text", edits:
                          F.col("class_line").cast("long").alias("class_line"), "removed")
 
 
-def classed(df: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
+def classed(df: DataFrame, key: str, text: str, edits: int, min_chars: int | None) -> DataFrame:
     lines = occurrences(df, key, text, min_chars)
-    found = write_once(links(lines, edits), "links")
+    found = write_once(links(lines, edits, min_chars), "links")
     degree = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     root = stars(found)
     first = lines.groupBy("id").agg(F.min(F.struct("doc", "line_no")).alias("first"), F.count("*").alias("n"))
@@ -215,7 +233,7 @@ def classed(df: DataFrame, key: str, text: str, edits: int, min_chars: int) -> D
     )
 
 
-def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int = 24) -> DataFrame:
+def drop_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, min_chars: int | None = None) -> DataFrame:
     """The rows of ``df`` without the lines that are removed; rows that lose all their words go. Same columns as ``df``."""
     gone = classed(df, key, text, edits, min_chars).filter("removed")
     gone = gone.groupBy("doc", "page").agg(F.collect_set("line_no").alias("__gone"))  # lines of one document

@@ -8,7 +8,8 @@ import random
 import pytest
 
 import corpus_pipeline
-from docflow.llm import anchors, decontamination, jaccard, language, lines, packing, quality, sharding, suffixes
+from docflow.checks.compare import differences
+from docflow.llm import anchors, decontamination, jaccard, language, lines, oracles, packing, quality, queries, sharding, suffixes
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, quality string, slot int, language string, contamination string, spans string, start int"
@@ -312,3 +313,60 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {p["doc_id"] for p in pieces} == set(before)
     assert hashlib.sha256(b"").hexdigest() and sum(p["length"] for p in pieces) == sum({p["doc_id"]: p["doc_tokens"] for p in pieces}.values())
+
+
+SHORT = [
+    (1, "Les.\nThe first of many lines, long enough.\n}\nOf, edti oner."),
+    (2, "Les.\nThe first of mady lines, long enough.\n \t\nOf, edti onar."),
+    (3, "}\nLes,\nthree of them here\n"), (4, "three of thm here\nthee of thm here\n\nLas."), (5, "Les.\n}\n}"), (6, "abcdefghijkl\nabcdefghijk"),
+]
+
+
+def line_edits(a: str, b: str) -> int:
+    return min(2, min(len(a), len(b)) // 12)
+
+
+def expected_lines(rows: list[tuple]) -> list[tuple]:
+    place = [(k, i, x) for k, t in rows for i, x in enumerate(t.split("\n")) if brute.WORD.search(x)]
+    distinct = sorted({x for _, _, x in place})
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[:i] if brute.edit_distance(a, b) <= line_edits(a, b)]
+    root = brute.groups(distinct, links)
+    first = {r: min((k, i) for k, i, x in place if root[x] == r) for r in set(root.values())}
+    return sorted((k, i, sum(x in p for p in links), *first[root[x]], (k, i) != first[root[x]]) for k, i, x in place)
+
+
+def test_lines_of_any_length_have_rows(spark):
+    found = {(r["doc_id"], r["line_no"]): (r["n_links"], r["class_doc"], r["class_line"]) for r in lines.line_classes(frame(spark, SHORT)).collect()}
+    assert len(found) == 18 and found[5, 0] == (0, 1, 0) and found[5, 2] == (0, 1, 2) and found[3, 1] == (0, 3, 1)
+    assert found[2, 1] == (1, 1, 1) and found[2, 3] == (1, 1, 3) and found[4, 1][1:] == (3, 2) and found[6, 1] == (0, 6, 1)
+    kept = {r["doc_id"]: r["text"] for r in lines.drop_lines(frame(spark, SHORT)).collect()}
+    assert kept == {1: SHORT[0][1], 3: "Les,\nthree of them here\n", 4: "\nLas.", 6: SHORT[5][1]}
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_edits_follow_the_length(spark, seed):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choices("abé ", k=rng.choice([1, 2, 5, 10, 11, 12, 13, 14, 22, 23, 24, 25, 26, 27, 37]))) for _ in range(30)]
+    rows = []
+    for k in range(24):
+        own = []
+        for _ in range(rng.randint(0, 8)):
+            line = list(rng.choice(pool))
+            for _ in range(rng.randint(0, 3)):
+                line[rng.randrange(len(line))] = rng.choice(["", "z", "zz"])
+            own.append("".join(line))
+        rows.append((k, "\n".join(own)))
+    assert sorted(tuple(r) for r in lines.line_classes(frame(spark, rows)).collect()) == expected_lines(rows)
+
+
+def test_whole_tables_of_lines_as_in_sql(spark):
+    """The registered SQL leaves lines under 24 characters out; here it takes every line with a word, edits by length."""
+    sql = oracles.SEGMENT_LINE_DEDUP
+    for cut, whole in [
+        ("WHERE length(ls[k]) >= 24", r"WHERE regexp_matches(ls[k], '[^\x20\x09-\x0D]')"),
+        ("levenshtein(a.line, b.line) <= 2", "levenshtein(a.line, b.line) <= least(2, least(a.n, b.n) // 12)"),
+    ]:
+        assert sql.count(cut) == 1
+        sql = sql.replace(cut, whole)
+    n, problem = differences(spark, queries.op2_segment_line_dedup, sql, "/root/testdata/sf0.001")
+    assert problem is None and n == 1829
