@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +35,8 @@ class Rules:
     words_per_separator: a navigation line has a separator for every so many words.
     words_per_shout: a line fails with a ``!`` or ``?`` for every so many words, two at least.
     unmarked_words: a line of so many words fails without any punctuation.
+    short_words, boilerplate_percent: a line with boilerplate phrases fails if it has no more words than the first, or if the
+        phrases make up this share of its characters.
     min_words, repeat_share: the base rules of a document.
     loss_share: a document is rejected if failed lines hold more than this share of its characters.
     """
@@ -42,6 +45,8 @@ class Rules:
     words_per_separator: int = 4
     words_per_shout: int = 2
     unmarked_words: int = 20
+    short_words: int = 10
+    boilerplate_percent: int = 20
     min_words: int = 50
     repeat_percent: int = 50
     loss_percent: int = 50
@@ -57,7 +62,22 @@ def line_fails(line: str, n_words: int, chars: int, rules: Rules, phrases: list[
         return True
     if n_words >= rules.unmarked_words and not _MARKS.search(line):
         return True
-    return bool(phrases) and any(map(line.lower().__contains__, phrases))
+    return bool(phrases) and is_boilerplate(line.lower(), n_words, rules, phrases)
+
+
+def is_boilerplate(lower: str, n_words: int, rules: Rules, phrases: list[str]) -> bool:
+    """Whether phrases, as whole words, stand in a short line or make up a share of a longer one; white space does not count."""
+    spans = [m.span() for x in phrases if x in lower for m in _whole(x).finditer(lower)]
+    if not spans or n_words <= rules.short_words:
+        return bool(spans)
+    covered = {i for start, end in spans for i in range(start, end) if lower[i] not in texts.WHITE}
+    return 100 * len(covered) >= rules.boilerplate_percent * len(texts.without_white(lower))
+
+
+@cache
+def _whole(phrase: str) -> re.Pattern:
+    """The phrase where no word goes on beyond its ends."""
+    return re.compile(rf"(?:(?<!\w)|(?!\w)){re.escape(phrase)}(?:(?!\w)|(?<!\w))")
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -109,7 +129,8 @@ def clean_lines(df: DataFrame, text: str = "text", result: str = "quality", rule
     A line with words fails as symbols, navigation, shouting, unmarked prose, boilerplate, or as equal to an
     earlier line of its document. Lines without words stay. ``kept`` is false where the base rules fail
     (too few words, too many repeated ones) or failed lines hold more than ``loss_percent`` of all characters
-    other than white space.
+    other than white space. A boilerplate phrase counts as whole words only, and fails a line of more than
+    ``short_words`` words only where phrases hold ``boilerplate_percent`` of it.
 
     A null text counts as empty: zeros, base_failed, not kept, an empty clean text. Equal rows get equal
     results, one each; other columns, nulls in them included, pass unchanged, and a column named ``result``

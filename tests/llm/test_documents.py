@@ -370,3 +370,22 @@ def test_whole_tables_of_lines_as_in_sql(spark):
         sql = sql.replace(cut, whole)
     n, problem = differences(spark, queries.op2_segment_line_dedup, sql, "/root/testdata/sf0.001")
     assert problem is None and n == 1829
+
+
+@pytest.mark.parametrize("line, fails", [
+    ("The design updates are out now.", False), ("A catalog index, in a blog index, and a dialog into it.", False),
+    ("Ranked in terms of usefulness.", False), ("Click here to read on.", True), ("Sign up or log in, please!", True),
+    ("We use cookies; see our privacy policy, our cookie policy and the terms of use, and sign up or log in.", True),
+    ("They read the privacy policy of the shop twice, and then asked about the two passages that nobody there could explain.", False),
+])
+def test_boilerplate_is_whole_words_and_a_share(line, fails):
+    phrases = [x for x in quality.BOILERPLATE if x in line.lower()]
+    assert quality.line_fails(line, len(line.split()), len("".join(line.split())), quality.Rules(), phrases) == fails
+
+
+def test_one_line_documents_are_not_lost_by_a_phrase(spark):
+    prose = " ".join(f"word{i}," for i in range(60))
+    rows = [(k, f"{prose} {x}.") for k, x in enumerate(["design updates", "catalog index", "and a privacy policy, which is mentioned"])]
+    judged = quality.clean_lines(frame(spark, rows)).select("doc_id", "quality.kept", "quality.clean_text", "quality.n_failed_lines").collect()
+    assert sorted(tuple(r) for r in judged) == [(k, True, t, 0) for k, t in rows]
+    assert quality.kept_documents(frame(spark, rows)).count() == 3
