@@ -126,11 +126,13 @@ def balanced(parts: list[np.ndarray]) -> np.ndarray:
 def fit(df: DataFrame, text: str, language: str, families: dict[str, str] = FAMILIES, per_language: int = PER_LANGUAGE) -> Hierarchy | None:
     """Learn from rows with a language and a letter; None if there are none.
 
-    A sample of about ``per_language`` rows of each language is drawn by a hash of the text, which is the only bound: whole texts
-    are turned into features by Spark, and only their few hundred numbers come to the driver, where the machines are fitted.
+    A sample of about ``per_language`` different texts of each language is drawn by a hash of the text, which is the only bound:
+    copies count once, so that no frequent text outweighs the others or fills the driver. Whole texts are turned into features
+    by Spark, and only their few hundred numbers come to the driver, where the machines are fitted.
     """
     rows = df.select(F.col(text).alias("text"), F.col(language).alias("language")).filter("text is not null and language is not null")
-    counts = {r["language"]: r["count"] for r in rows.groupBy("language").count().collect()}  # a row per language
+    rows = rows.withColumn("same", F.xxhash64("text"))
+    counts = {r["language"]: r["count"] for r in rows.select("language", "same").distinct().groupBy("language").count().collect()}  # a row per language
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_language / n))])
@@ -144,7 +146,8 @@ def fit(df: DataFrame, text: str, language: str, families: dict[str, str] = FAMI
         return texts.struct_of([("at", [a.astype(np.int16) for a in at], kinds[0]), ("value", [f[a] for f, a in zip(found, at)], kinds[1])])
 
     samples: dict[str, list[np.ndarray]] = {}
-    for r in rows.filter(drawn).select("language", sparse.asNondeterministic()("text").alias("f")).collect():
+    each = rows.filter(drawn).groupBy("language", "same").agg(F.first("text").alias("text"))
+    for r in each.select("language", sparse.asNondeterministic()("text").alias("f")).collect():
         if r["f"]["at"]:
             x = np.zeros(WIDTH, np.float32)
             x[r["f"]["at"]] = r["f"]["value"]

@@ -389,3 +389,14 @@ def test_one_line_documents_are_not_lost_by_a_phrase(spark):
     judged = quality.clean_lines(frame(spark, rows)).select("doc_id", "quality.kept", "quality.clean_text", "quality.n_failed_lines").collect()
     assert sorted(tuple(r) for r in judged) == [(k, True, t, 0) for k, t in rows]
     assert quality.kept_documents(frame(spark, rows)).count() == 3
+
+
+def test_copies_are_sampled_once(spark, monkeypatch):
+    rng = random.Random(31)
+    different = ["".join(rng.choices("abcdefghij ", k=60)) for _ in range(220)]  # features know letters only
+    texts = different[:20] * 100 + different[20:]
+    drawn = []
+    monkeypatch.setattr(language, "Hierarchy", lambda samples, _: drawn.append(samples))
+    language.fit(frame(spark, list(enumerate(texts))), "text", "language", per_language=110)
+    rows = [x.tobytes() for x in drawn[0]["b"]]
+    assert len(rows) == len(set(rows)) and 80 <= len(rows) <= 140
