@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
+from docflow.llm.quality import BOILERPLATE
+
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]"
 
+# A phrase of a lower-case line becomes one mark, and what parts words is doubled, so that two phrases do not share their border.
+_MARK, _PARTS = "\ue000", r"[^\p{L}\p{N}_\x{E000}]"
+
+
+def _phrases(phrase: str) -> str:
+    """SQL for the characters, white space aside, of a phrase's whole-word occurrences in ``lower_line``."""
+    marked = f"regexp_replace(replace(lower_line, '{phrase}', '{_MARK}'), '({_PARTS})', '\\1\\1', 'g')"
+    return f"{len(''.join(phrase.split()))} * len(regexp_extract_all({marked}, '(^|{_PARTS}){_MARK}($|{_PARTS})'))"
+
+
+_PHRASES = " + ".join(map(_phrases, BOILERPLATE))
+
 LINE_FIRST_QUALITY = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
@@ -23,14 +37,18 @@ line AS (
          length(regexp_replace(ls[k], '{WHITE}', '', 'g')) AS chars
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM split)
 ),
-ranked AS (SELECT *, n > 0 AND row_number() OVER (PARTITION BY doc_id, line ORDER BY k) > 1 AS dup FROM line),
+phrased AS (
+  SELECT *, CASE WHEN regexp_matches(lower_line, '{"|".join(BOILERPLATE)}') THEN {_PHRASES} ELSE 0 END AS phrase_chars
+  FROM (SELECT *, lower(line) AS lower_line FROM line)
+),
+ranked AS (SELECT *, n > 0 AND row_number() OVER (PARTITION BY doc_id, line ORDER BY k) > 1 AS dup FROM phrased),
 judged AS (
   SELECT *, n > 0 AND (dup
     OR 100 * len(regexp_extract_all(line, '[#*$%&|<>]')) > 20 * chars
     OR (regexp_matches(line, '[|•»]') AND 4 * len(regexp_extract_all(line, '[|•»]')) >= n)
     OR (len(regexp_extract_all(line, '[!?]')) > 1 AND 2 * len(regexp_extract_all(line, '[!?]')) >= n)
     OR (n >= 20 AND NOT regexp_matches(line, '[.!?,;:…。！？]'))
-    OR regexp_matches(lower(line), 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|we use cookies|licensed under|released under the|license, version|enable javascript|click here|sign up|log in')
+    OR (phrase_chars > 0 AND (n <= 10 OR 100 * phrase_chars >= 20 * chars))
   ) AS failed FROM ranked
 ),
 totals AS (
@@ -112,12 +130,12 @@ SEGMENT_LINE_DEDUP = rf"""
 WITH RECURSIVE place AS (
   SELECT doc_id, k - 1 AS line_no, ls[k] AS line
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
-  WHERE length(ls[k]) >= 24
+  WHERE regexp_matches(ls[k], '{WORD}')
 ),
 known AS (SELECT line, length(line) AS n, {COUNTED}, min({{'doc': doc_id, 'line': line_no}}) AS first FROM place GROUP BY line),
 link AS (
   SELECT a.line AS x, b.line AS y FROM known a JOIN known b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
-  WHERE {NEAR} AND levenshtein(a.line, b.line) <= 2
+  WHERE {NEAR} AND levenshtein(a.line, b.line) <= least(2, least(a.n, b.n) // 12)
 ),
 reach AS (SELECT line AS x, line AS y FROM known UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
 class AS (SELECT x AS line, min(first) AS least FROM reach JOIN known ON known.line = reach.y GROUP BY x),

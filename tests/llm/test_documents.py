@@ -359,19 +359,6 @@ def test_edits_follow_the_length(spark, seed):
     assert sorted(tuple(r) for r in lines.line_classes(frame(spark, rows)).collect()) == expected_lines(rows)
 
 
-def test_whole_tables_of_lines_as_in_sql(spark):
-    """The registered SQL leaves lines under 24 characters out; here it takes every line with a word, edits by length."""
-    sql = oracles.SEGMENT_LINE_DEDUP
-    for cut, whole in [
-        ("WHERE length(ls[k]) >= 24", r"WHERE regexp_matches(ls[k], '[^\x20\x09-\x0D]')"),
-        ("levenshtein(a.line, b.line) <= 2", "levenshtein(a.line, b.line) <= least(2, least(a.n, b.n) // 12)"),
-    ]:
-        assert sql.count(cut) == 1
-        sql = sql.replace(cut, whole)
-    n, problem = differences(spark, queries.op2_segment_line_dedup, sql, "/root/testdata/sf0.001")
-    assert problem is None and n == 1829
-
-
 @pytest.mark.parametrize("line, fails", [
     ("The design updates are out now.", False), ("A catalog index, in a blog index, and a dialog into it.", False),
     ("Ranked in terms of usefulness.", False), ("Click here to read on.", True), ("Sign up or log in, please!", True),
@@ -383,6 +370,23 @@ def test_boilerplate_is_whole_words_and_a_share(line, fails):
     assert quality.line_fails(line, len(line.split()), len("".join(line.split())), quality.Rules(), phrases) == fails
 
 
+def test_sql_of_quality_states_the_same_rule(spark):
+    """Phrases as whole words, beside each other, in short and long lines, and inside longer words."""
+    import duckdb
+
+    rng = random.Random(8)
+    pieces = [*quality.BOILERPLATE, "design updates", "catalog index", "log inlog in", "élog in", "sign up_", "Sign up.", "a,", "some words,", *(f"prose that goes on and on, {i}." for i in range(20))]
+    rows = [(k, "\n".join(rng.choice([" ", ", ", "|"]).join(rng.choices(pieces, k=rng.randint(1, 6))) for _ in range(12))) for k in range(60)]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    said = db.execute(oracles.LINE_FIRST_QUALITY)
+    names = [d[0] for d in said.description]
+    theirs = sorted((r["doc_id"], r["n_failed_lines"], r["kept_chars"], r["kept"]) for r in (dict(zip(names, x)) for x in said.fetchall()))
+    ours = quality.clean_lines(frame(spark, rows)).select("doc_id", "quality.n_failed_lines", "quality.kept_chars", "quality.kept").collect()
+    assert sorted(tuple(r) for r in ours) == theirs and len({r[1] for r in theirs}) > 4
+
+
 def test_one_line_documents_are_not_lost_by_a_phrase(spark):
     prose = " ".join(f"word{i}," for i in range(60))
     rows = [(k, f"{prose} {x}.") for k, x in enumerate(["design updates", "catalog index", "and a privacy policy, which is mentioned"])]
