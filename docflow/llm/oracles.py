@@ -145,7 +145,32 @@ SELECT doc_id, line_no::BIGINT AS line_no, coalesce(n_links, 0)::BIGINT AS n_lin
 FROM place JOIN class USING (line) LEFT JOIN degree USING (line)
 """
 
+FILL_IN_MIDDLE = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS unit,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+),
+d AS (
+  SELECT doc_id, text, unit, len(unit) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t
+),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+),
+p AS (
+  SELECT *, array_to_string(unit[1:a], '') AS prefix, array_to_string(unit[a + 1:b], '') AS middle, array_to_string(unit[b + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLE = {
+    "op12_seekable_fill_in_middle": FILL_IN_MIDDLE,
     "op2_segment_line_dedup": SEGMENT_LINE_DEDUP,
     "op10_fixed_block_anchors": FIXED_BLOCK_ANCHORS,
     "op4_suffix_array_decontamination": DECONTAMINATION,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, jaccard, language, lines, packing, quality, quotes, sharding, suffixes, texts
+from docflow.llm import anchors, decontamination, jaccard, language, lines, middle, packing, quality, quotes, sharding, suffixes, texts
+from docflow.session import write_once
 
 
 def op1_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +80,18 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
 
 
+def op12_seekable_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = write_once(middle.framed(texts.documents(spark, sf_dir).select("doc_id", "text")), "frames")
+    m = F.col("middle")
+    return middle.fill_in_middle(stored, middle.draws(F.col("doc_id"))).select(
+        "doc_id", m["n"].alias("n"), m["form"].alias("form"), m["prefix_chars"].alias("prefix_chars"), m["middle_chars"].alias("middle_chars"),
+        middle.digest(m["output"]).alias("output_sha256"), middle.digest(middle.restored(m["output"], m["form"])).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
+    "op12_seekable_fill_in_middle": op12_seekable_fill_in_middle,
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op2_segment_line_dedup": op2_segment_line_dedup,
     "op3_hierarchical_language_id": op3_hierarchical_language_id,
