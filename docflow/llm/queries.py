@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, jaccard, language, lines, middle, packing, quality, quotes, sharding, suffixes, texts
+from docflow.llm import anchors, decontamination, jaccard, language, lines, middle, packing, quality, quotes, repair, sharding, suffixes, texts
 from docflow.session import write_once
 
 
@@ -89,9 +89,23 @@ def op12_seekable_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = repair.damaged(given)
+    done = write_once(repair.repairs(rows), "repairs")
+    kept = write_once(repair.digests(repair.repaired(rows, done)), "digests")
+    a, b, c = given.select("conv_id").distinct().alias("a"), done.alias("b"), kept.alias("c")
+    all_of = a.join(b, F.col("conv_id").eqNullSafe(F.col("b.conv")), "left").join(c, F.col("conv_id").eqNullSafe(F.col("c.conv")), "left")
+    counts = [F.coalesce(f"b.{x}", F.lit(0)).cast("long").alias(x) for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return all_of.select(
+        "conv_id", *counts, F.coalesce("b.audit", F.lit("")).alias("audit"), F.coalesce("c.sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
 QUERIES = {
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
     "op12_seekable_fill_in_middle": op12_seekable_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
     "op1_best_fit_sharding": op1_best_fit_sharding,
     "op2_segment_line_dedup": op2_segment_line_dedup,
     "op3_hierarchical_language_id": op3_hierarchical_language_id,
