@@ -169,7 +169,97 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefi
 FROM p
 """
 
+# checksum of the ASCII string s: a byte at a time, a bit at a time
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, len(s) + 1), lambda i: ascii(s[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))
+  ), 4294967295)"""
+
+
+def _steps() -> str:
+    """Ways to use one row after up to two insertions: state (what was said last, ``-`` for nothing), letters, initial, next, cost."""
+    after = {"-": "u", "s": "u", "u": "a", "a": "u"}
+    rows = []
+    for state in after:
+        now, letters = state, ""
+        for _ in range(3):
+            ways = [("D", "", now, 3), ("R", "", after[now], 2), ("K", after[now], after[now], 0)]
+            if now == "-":
+                ways.append(("K", "s", "s", 0))
+            rows += [(state, letters + letter, initial, then, 2 * len(letters) + cost) for letter, initial, then, cost in ways]
+            now, letters = after[now], letters + "I"
+    return ", ".join(map(str, rows))
+
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations
+),
+hit AS (SELECT *, {_CRC32} % 20 AS h FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE h <> 0
+),
+placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial, rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM damaged
+),
+row AS (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS pair
+  FROM placed
+),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+         count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM row GROUP BY conv_id
+),
+step(state, letters, initial, next, cost) AS (VALUES {_steps()}),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS k, '-' AS state, 0::BIGINT AS cost, '' AS audit FROM counts
+  UNION ALL
+  SELECT conv_id, k, next, best.cost, best.audit FROM (
+    SELECT w.conv_id, w.k + 1 AS k, s.next,
+           min({{'cost': (w.cost + s.cost + CASE WHEN r.fault = 'truncated' AND right(s.letters, 1) <> 'D' THEN 1 ELSE 0 END)::BIGINT, 'audit': w.audit || s.letters}}) AS best
+    FROM walk w JOIN row r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.k = w.k + 1 JOIN step s ON s.state = w.state
+    WHERE s.initial IN ('', r.initial) AND (right(s.letters, 1) = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+    GROUP BY w.conv_id, w.k, s.next
+  )
+),
+best AS (
+  SELECT c.conv_id, min({{'cost': w.cost + CASE w.state WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END,
+                         'audit': w.audit || CASE w.state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END}}) AS b
+  FROM counts c JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.k = c.n GROUP BY c.conv_id
+),
+letter AS (
+  SELECT conv_id, i, l, sum(CASE WHEN l = 'I' THEN 0 ELSE 1 END) OVER w AS k, sum(CASE WHEN l = 'D' THEN 0 ELSE 1 END) OVER w AS e
+  FROM (SELECT conv_id, i, b.audit[i] AS l FROM (SELECT conv_id, b, unnest(range(1, len(b.audit) + 1)) AS i FROM best))
+  WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+),
+edit AS (
+  SELECT letter.*, row.role, row.text, max(CASE WHEN e = 1 AND l = 'K' AND row.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY letter.conv_id) AS off
+  FROM letter LEFT JOIN row ON row.conv_id IS NOT DISTINCT FROM letter.conv_id AND row.k = letter.k AND l <> 'I'
+),
+repaired AS (
+  SELECT conv_id, sha256(coalesce(string_agg(
+           CASE WHEN l = 'K' THEN role WHEN (e - 1 - off) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN l = 'I' THEN '' ELSE text END,
+           chr(10) ORDER BY i), '')) AS h
+  FROM edit WHERE l <> 'D' GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+       coalesce(b.audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE = {
+    "op13_conversation_repair": CONVERSATION_REPAIR,
     "op12_seekable_fill_in_middle": FILL_IN_MIDDLE,
     "op2_segment_line_dedup": SEGMENT_LINE_DEDUP,
     "op10_fixed_block_anchors": FIXED_BLOCK_ANCHORS,

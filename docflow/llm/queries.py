@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import anchors, decontamination, jaccard, language, lines, middle, packing, quality, quotes, repair, sharding, suffixes, texts
+from docflow.llm import additive, anchors, decontamination, jaccard, language, lines, middle, packing, quality, quotes, repair, sharding, suffixes, texts
 from docflow.session import write_once
 
 
@@ -80,6 +80,15 @@ def op10_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
 
 
+def op11_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts.documents(spark, sf_dir).select("doc_id", additive.held_out(F.col("doc_id")).alias("held_out"), F.xxhash64("text").alias("same"), "text")
+    seen = write_once(additive.describe(docs).drop("text"), "described")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = additive.fit(seen.filter("not held_out").join(labels, "doc_id"), "described", "quality", "same")
+    scored = additive.score(seen, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op12_seekable_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = write_once(middle.framed(texts.documents(spark, sf_dir).select("doc_id", "text")), "frames")
     m = F.col("middle")
@@ -104,6 +113,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op10_fixed_block_anchors": op10_fixed_block_anchors,
+    "op11_additive_quality": op11_additive_quality,
     "op12_seekable_fill_in_middle": op12_seekable_fill_in_middle,
     "op13_conversation_repair": op13_conversation_repair,
     "op1_best_fit_sharding": op1_best_fit_sharding,
