@@ -33,7 +33,7 @@ NEXT = (AFTER_USER, AFTER_USER, AFTER_ASSISTANT, AFTER_USER)
 KEPT = ({SYSTEM: AFTER_SYSTEM, USER: AFTER_USER}, {USER: AFTER_USER}, {ASSISTANT: AFTER_ASSISTANT}, {USER: AFTER_USER})
 #: Insertions that end a conversation from each state.
 CLOSING = ("", "II", "I", "")
-BLOCK = 64
+BLOCK = 16
 _REMEMBERED = 50_000
 
 COUNTS = ("n_rows", "blank", "duplicate", "truncated", "illegal", "first", "last", "least", "most", "turns", "first_turn", "last_turn")
@@ -61,12 +61,13 @@ def least_costs(codes: bytes) -> list[int]:
     return floor
 
 
-def search(codes: bytes, entry: int, leave: int | None) -> tuple[int, str] | None:
+def search(codes: bytes, entry: int, leave: int | None, most: int | None = None) -> tuple[int, str] | None:
     """Cost and letters of the cheapest edits, the ASCII-least of them, by iterative-deepening A*.
 
     With ``leave`` the edits end with the last row in that state; else they end legally, insertions after the last row included.
     Depth first in the order of the letters, under a bound that rises to the least cost that went beyond it. ``failed`` knows the
-    greatest budget with which a place and state have failed; it stays valid from bound to bound. None if there is no way.
+    greatest budget with which a place and state have failed; it stays valid from bound to bound. None if there is no way, or none
+    that costs ``most`` or less.
     """
     n, floor, failed, path = len(codes), least_costs(codes), {}, []
     closing = [INSERT_COST * len(x) for x in CLOSING]
@@ -97,7 +98,8 @@ def search(codes: bytes, entry: int, leave: int | None) -> tuple[int, str] | Non
         failed[i, state] = budget
         return False
 
-    bound, most = floor[0], DELETE_COST * n + 4 * INSERT_COST
+    bound = floor[0]
+    most = DELETE_COST * n + 4 * INSERT_COST if most is None else most
     while bound <= most:
         beyond = most + 1
         if visit(0, entry, bound, 0):
@@ -109,15 +111,35 @@ def search(codes: bytes, entry: int, leave: int | None) -> tuple[int, str] | Non
 Table = dict[tuple[int, int], tuple[int, str]]
 
 
+def table(codes: bytes) -> Table:
+    """Cost and letters of a block for each state of entry and leave that the cheapest edits of a conversation may take.
+
+    Whoever leaves before a user or assistant has spoken deletes every row, but for one row of the system. Of the two other states
+    one is searched first. The other is wanted only up to the cost of an insertion more, which turns the one into it.
+    """
+    n = len(codes)
+    out = {(e, e): (DELETE_COST * n, DELETE * n) for e in (START, AFTER_SYSTEM)}
+    kept = [(code >> 2 == TRUNCATED, -i) for i, code in enumerate(codes) if code & 3 == SYSTEM and code >> 2 in (SOUND, TRUNCATED)]
+    if kept:  # a later row gives the lesser letters
+        late, i = min(kept)
+        out[START, AFTER_SYSTEM] = (DELETE_COST * (n - 1) + late * TRUNCATED_COST, DELETE * -i + KEEP + DELETE * (n - 1 + i))
+    for entry in STATES:
+        most = None
+        for leave in (AFTER_ASSISTANT, AFTER_USER):
+            if (found := search(codes, entry, leave, most)) is not None:
+                out[entry, leave], most = found, found[0] + INSERT_COST
+    return out
+
+
 def tables(codes: bytes, known: dict[bytes, Table]) -> list[Table]:
-    """For each block of a piece: cost and letters for every state of entry and leave that can be."""
+    """The tables of the blocks of a piece; equal blocks are searched once."""
     out = []
     for at in range(0, len(codes), BLOCK):
         block = codes[at : at + BLOCK]
         if block not in known:
             if len(known) >= _REMEMBERED:
                 known.clear()
-            known[block] = {(e, x): found for e in STATES for x in STATES if (found := search(block, e, x)) is not None}
+            known[block] = table(block)
         out.append(known[block])
     return out
 
@@ -125,8 +147,8 @@ def tables(codes: bytes, known: dict[bytes, Table]) -> list[Table]:
 def togo(blocks: list[Table], end: list[int | None]) -> list[list[int | None]]:
     """What is left to pay from each state before each block, and after the last one; None where there is no way."""
     left = [end]
-    for table in reversed(blocks):
-        ways = [[cost + left[-1][x] for (e, x), (cost, _) in table.items() if e == entry and left[-1][x] is not None] for entry in STATES]
+    for block in reversed(blocks):
+        ways = [[cost + left[-1][x] for (e, x), (cost, _) in block.items() if e == entry and left[-1][x] is not None] for entry in STATES]
         left.append([min(w, default=None) for w in ways])
     return left[::-1]
 
@@ -137,8 +159,8 @@ def letters(blocks: list[Table], left: list[list[int | None]], entry: int) -> tu
     Ways through one block end with its last row, so none begins another, and the least is found block by block.
     """
     out, state = [], entry
-    for table, here, after in zip(blocks, left, left[1:]):
-        way, state = min((w, x) for (e, x), (cost, w) in table.items() if e == state and after[x] is not None and cost + after[x] == here[state])
+    for block, here, after in zip(blocks, left, left[1:]):
+        way, state = min((w, x) for (e, x), (cost, w) in block.items() if e == state and after[x] is not None and cost + after[x] == here[state])
         out.append(way)
     return state, "".join(out)
 
