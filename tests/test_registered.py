@@ -33,7 +33,7 @@ def test_query(spark, name):
 def test_names():
     assert set(SQL) <= set(QUERIES)
     text_operators = re.compile(r"op\d+_|pipeline$")  # they have tests of their own where SQL cannot say them
-    assert [q for q in set(QUERIES) - set(SQL) if not text_operators.match(q)] == []
+    assert [q for q in set(QUERIES) - set(SQL) if not text_operators.match(q)] == ["vector_index_topk"]  # its recall is tested
 
 
 def test_entry(spark):
