@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.pages import number_groups
-from docflow.session import drop_folder, subfolders
+from docflow.sources.snapshots import Part, Store, ranges, to_fold
 
 MERGE = "merge_seq"
 
@@ -49,39 +51,61 @@ def upload_report(results: DataFrame, keys: list[str], succeeded: str) -> DataFr
 def upsert_table(
     spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: str, merge: int | None = None
 ) -> None:
-    """Merge changes into a table that keeps every merge as a folder of its own.
+    """Merge changes into a table that keeps its merges in folders, which a manifest names (:mod:`docflow.sources.snapshots`).
 
-    Only the changes are written, in one pass; what is stored stays as it is. ``merge`` numbers the merge (by default
-    one above the highest stored): a merge that is repeated under its number replaces itself. :func:`read_table` gives
-    the merged rows, :func:`compact_table` folds the folders into one.
+    Only the changes are written, in one pass; merges of like size are then folded, and all becomes the table by one rename: a
+    stop before it changes nothing. ``merge`` numbers the merge (by default one above the highest stored). A merge that is
+    repeated under its number replaces itself; one that has been folded since is known and left as it is. :func:`read_table` gives the
+    merged rows from a logarithmic number of folders, :func:`compact_table` folds all into one.
     """
-    if merge is None:
-        merge = max(_merges(spark, path), default=-1) + 1
-    new = latest_fields(changes, keys, order)
-    new.write.mode("overwrite").parquet(f"{path}/{MERGE}={merge}")
+    store = Store(spark, path)
+    now = store.load()
+    number = now.last_write() + 1 if merge is None else merge
+    holder = next((p for p in now.parts if p.holds(number)), None)
+    if holder and holder.writes != [[number, number]]:
+        return
+    if any(p.writes[0][0] < number < p.writes[-1][1] for p in now.parts):
+        raise ValueError(f"merge {number} comes after later ones have been folded with earlier ones")
+    mine = _written(store, latest_fields(changes, keys, order), [[number, number]])
+    parts = sorted([p for p in now.parts if p is not holder] + [mine], key=lambda p: p.writes[0])
+    for start, stop in reversed(to_fold([p.size for p in parts])):
+        parts[start:stop] = [_folded(store, parts[start:stop], keys)]
+    store.commit(now, parts)
+    if mine not in parts:  # folded at once, so no manifest names it
+        store.drop(mine.folder)
+
+
+def _written(store: Store, rows: DataFrame, writes: list[list[int]]) -> Part:
+    folder = store.new_folder("data")
+    rows.write.parquet(store.where(folder))
+    return Part(folder, writes, store.size(folder))
+
 
+def _folded(store: Store, parts: list[Part], keys: list[str]) -> Part:
+    return _written(store, _merged(store, parts, keys), ranges(parts))
 
-def _merges(spark: SparkSession, path: str) -> list[int]:
-    return [int(n.split("=")[1]) for n in subfolders(spark, path) if n.startswith(f"{MERGE}=")]
+
+def _merged(store: Store, parts: list[Part], keys: list[str]) -> DataFrame:
+    """The rows of some parts. Keys are unique within a part, so a single one is read as it is."""
+    read = [store.spark.read.parquet(store.where(p.folder)) for p in parts]
+    if len(read) == 1:
+        return read[0].select(*keys, *[c for c in read[0].columns if c not in keys])
+    numbered = [df.withColumn(MERGE, F.lit(k)) for k, df in enumerate(read)]
+    return latest_fields(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered), keys, MERGE)
 
 
 def read_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The rows of :func:`upsert_table`: columns of all merges, of each field the value given last."""
-    stored = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
-    return latest_fields(stored, keys, MERGE)
+    store = Store(spark, path)
+    parts = store.load().parts
+    if not parts:
+        raise ValueError(f"nothing has been merged into {path}")
+    return _merged(store, parts, keys)
 
 
 def compact_table(spark: SparkSession, path: str, keys: list[str]) -> None:
-    """Fold all merges into the highest one, then drop the lower ones.
-
-    Reading in between, or after a stop in between, gives the same rows: what is folded outranks what it was made of.
-    """
-    merges = sorted(_merges(spark, path))
-    if len(merges) < 2:
-        return
-    folded = f"{path}-folded-{merges[-1]}"
-    read_table(spark, path, keys).write.mode("overwrite").parquet(folded)
-    spark.read.parquet(folded).write.mode("overwrite").parquet(f"{path}/{MERGE}={merges[-1]}")
-    for m in merges[:-1]:
-        drop_folder(spark, f"{path}/{MERGE}={m}")
-    drop_folder(spark, folded)
+    """Fold all merges into one. Whoever reads in between, or after a stop in between, gets the same rows."""
+    store = Store(spark, path)
+    now = store.load()
+    if len(now.parts) > 1:
+        store.commit(now, [_folded(store, now.parts, keys)])

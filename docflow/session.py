@@ -50,11 +50,6 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in files.listStatus(folder) if x.isDirectory()] if files.exists(folder) else []
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    folder, files = _file_system(spark, path)
-    files.delete(folder, True)
-
-
 def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +13,9 @@ from docflow.operators.chunks import build_chunks
 from docflow.operators.model import ClientFactory
 from docflow.operators.upsert import upsert_table
 from docflow.plans.reviews import as_json, complete, parse
-from docflow.session import subfolders
+
+PROVIDER, ROCKS_SETTING = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_chunks(
@@ -34,24 +39,38 @@ def stream_chunks(
     )
 
 
+@contextmanager
+def _keys_on_disk(spark: SparkSession) -> Iterator[None]:
+    """State of queries that start here is kept by RocksDB, beside the heap, unless the session names another provider."""
+    names = {PROVIDER: ROCKS, f"{ROCKS_SETTING}.changelogCheckpointing.enabled": "true"}
+    ours = spark.conf.get(PROVIDER).endswith("HDFSBackedStateStoreProvider")
+    before = {name: spark.conf.get(name, None) for name in names} if ours else {}
+    for name in before:
+        spark.conf.set(name, names[name])
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def stream_reviews(
     rows: DataFrame, key: str, comment: str, output: str, checkpoint: str, factory: ClientFactory
 ) -> StreamingQuery:
     """Complete arriving rows, each key once whenever it arrives, and keep answers and errors as JSON text.
 
-    A batch drops its own copies and the keys that earlier batches have stored, calls the model for the rest and
-    writes a folder of its number; one that is repeated replaces itself. Nothing depends on the time of a row or on how
-    many files a batch takes. :func:`read_answers` gives what is stored.
+    Keys that have arrived are held by Spark's state store, which is written with the offsets: no batch lists or reads what
+    earlier ones have answered, and a query that is started again goes on from both. Only the changes of a batch are
+    written, so its cost follows its rows, not those before. A batch calls the model for its new rows and writes a folder of its number;
+    one that is repeated meets the state as it was, and replaces itself. Nothing depends on the time of a row or on how many
+    files a batch takes; the state grows by a key each. A null key is a key. :func:`read_answers` gives what is stored.
     """
     def answer(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates([key])
-        if earlier := [n for n in subfolders(spark, output) if n.startswith("batch=") and int(n.split("=")[1]) < batch_id]:
-            known = spark.read.schema(batch.select(key).schema).parquet(*[f"{output}/{n}" for n in earlier])
-            new = new.join(known, key, "left_anti")
-        as_json(complete(new, factory, comment=comment)).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-
-    return rows.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        as_json(complete(batch, factory, comment=comment)).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+
+    new = rows.dropDuplicates([key])
+    with _keys_on_disk(rows.sparkSession):
+        return new.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_answers(spark: SparkSession, output: str) -> DataFrame:
