@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import schemas
 from docflow.functions.text import base64_text, base_name, data_url, mime_type
 from docflow.operators.skew import lookup, salt_of
-from docflow.session import for_folders, subfolders, write_once
+from docflow.session import subfolders, write_once
+from docflow.sources.keyed import read_keyed, write_keyed
 
 BAD = "_bad"
 
@@ -59,45 +59,17 @@ PAGE_TABLE = f"file_name string, extract_path string, {schemas.PAGE_EXTRACT}"
 
 
 def read_page_table(spark: SparkSession, path: str) -> DataFrame:
-    """Extracts as :func:`write_pages` keeps them: one object per line."""
-    return spark.read.schema(f"{PAGE_TABLE}, bucket int").json(path)
-
-
-def bucket_of(column: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+    """Extracts as :func:`write_pages` keeps them, with the bucket of their document."""
+    return read_keyed(spark, path, PAGE_TABLE)
 
 
 def write_pages(pages: DataFrame, path: str, buckets: int = 64) -> None:
-    """Keep page extracts in hash buckets of documents; a document that is written replaces what it had.
+    """Keep page extracts by document; a document that is written replaces what it had, and no stored file is written again.
 
-    Only buckets that are met get read and written. Buckets, not a folder per
-    document, keep the number of files in hand however many documents there are.
+    See :func:`docflow.sources.keyed.write_keyed`: new extracts are added, replaced ones are marked as deleted. Buckets, not a folder
+    per document, keep the number of files in hand however many documents there are.
     """
-    spark = pages.sparkSession
-    keyed = pages.withColumn("bucket", bucket_of("file_name", buckets))
-    names = write_once(keyed.select("file_name", "bucket").distinct(), "documents")
-    touched = [r["bucket"] for r in names.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
-        return
-    try:
-        old = read_page_table(spark, path).filter(F.col("bucket").isin(touched))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        kept = keyed  # nothing written yet
-    else:
-        replaced = names.select("file_name", F.lit(True).alias("_replaced"))
-        others = lookup(old, replaced, ["file_name"], salt_of(F.col("page_sequence_number"))).filter(
-            F.col("_replaced").isNull()
-        ).drop("_replaced")
-        kept = others.unionByName(keyed, allowMissingColumns=True)
-    (
-        for_folders(kept, "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .json(path)
-    )
+    write_keyed(pages, path, PAGE_TABLE, "file_name", buckets)
 
 
 def rewrite_changed(filled: DataFrame, path: str, buckets: int = 64) -> None:

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkRuntimeError
 
 from docflow.checks.stub import StubClient
 from docflow.operators import upsert as U
+from docflow.sources import keyed as K
 from docflow.sources import snapshots as S
 from docflow.streaming.flows import read_answers, read_stream, stream_reviews
 
@@ -97,3 +98,44 @@ def test_streams_go_on_from_their_state(spark, tmp_path):
     assert arrive([3, 4, 1, 5], other) == [4, 5]
     assert (tmp_path / "check" / "state").exists()
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def keyed(spark, path, rows, buckets=4):
+    df = spark.createDataFrame(rows, "k string, n int, text string").repartition(3)
+    K.write_keyed(df, path, "k string, n int, text string", "k", buckets)
+
+
+def test_replaced_rows_are_marked_and_stored_files_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rng, expected = random.Random(3), {}
+    read = lambda: sorted((r["k"] or "", r["n"], r["text"]) for r in K.read_keyed(spark, path, "k string, n int, text string").collect())
+    assert read() == []
+    before = {}
+    for turn in range(3):
+        keys = rng.sample([None, *map(str, range(30))], 31 if turn == 0 else 9)
+        rows = [(k, n, f"{turn}-{n}") for k in keys for n in range(rng.randint(1, 4))]
+        expected |= {k: [r for r in rows if r[0] == k] for k in keys}
+        keyed(spark, path, rows)
+        assert read() == sorted((k or "", n, t) for own in expected.values() for k, n, t in own)
+        stored = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "data").rglob("*") if p.is_file()}
+        assert all(stored[p] == at for p, at in before.items())
+        before = stored
+    parts = S.Store(spark, path).load().parts
+    assert len(parts) == 3 and len(parts[0].deletions) == 2 and parts[2].deletions == []
+    keyed(spark, path, [])
+    assert S.Store(spark, path).load().parts == parts
+    keyed(spark, path, [("new", 1, "x")])  # the fourth of a tier: all are folded, and marked rows are gone for good
+    (part,) = S.Store(spark, path).load().parts
+    assert part.deletions == [] and part.writes == [[0, 3]]
+    assert read() == sorted([("new", 1, "x")] + [(k or "", n, t) for own in expected.values() for k, n, t in own])
+    assert spark.read.parquet(str(tmp_path / "t" / part.folder)).count() == len(read())
+
+
+def test_many_rows_of_a_file_are_marked_block_by_block(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, n int, text string"
+    rows = spark.range(100_000).selectExpr("cast(id % 10 as string) as k", "cast(id as int) as n", "'t' as text").coalesce(1)
+    K.write_keyed(rows, path, schema, "k", 1)
+    K.write_keyed(rows.filter("k = '3' and n < 500"), path, schema, "k", 1)
+    K.write_keyed(rows.filter("k = '7' and n < 50"), path, schema, "k", 1)
+    found = {r["k"]: r["count"] for r in K.read_keyed(spark, path, schema).groupBy("k").count().collect()}
+    assert found == {str(k): 10_000 for k in range(10)} | {"3": 50, "7": 5}
