@@ -201,12 +201,12 @@ def chunk_vectors(spark, sf):
 def _uploaded(spark, sf):
     pages, index = write_once(extracts(spark, sf), "loaded"), fresh_path(spark, "index")
     listed = pages.select("file_path", "page_sequence_number")
-    sent = plan.upload(pages, listed, USER, IMAGES, embed_text(StubClient), StubClient, index, fresh_path(spark, "export"), fill=False)
+    sent = plan.upload(pages, listed, USER, IMAGES, embed_text(StubClient), StubClient, index, fresh_path(spark, "export"))
     return sent, read_table(spark, index, ["id"])
 
 
 def document_upload(spark, sf):
-    """Chunks with vectors in the index."""
+    """The flow from end to end: sections filled, chunks built, embedded, exported, merged into the index and sent."""
     _, index = _uploaded(spark, sf)
     return index.select("id", F.md5("text_content").alias("text_content"), *[_digits(F.col(v)).alias(v) for v in VECTORS.values()], "vector_errors")
 
@@ -390,6 +390,13 @@ chunks AS (
   FROM cleaned)"""
 
 
+# the same chunks after sections have been filled
+_FILLED_CHUNKS = f"""{_WALK},
+filled_items AS (
+  SELECT i.* REPLACE (f.section AS section_name, f.parent AS parent_section_name) FROM items i JOIN filled f USING (doc_id, page, j)),
+{_CHUNKS.replace("FROM items i JOIN", "FROM filled_items i JOIN")}"""
+
+
 def _vector(text: str) -> str:
     return (
         f"array_to_string([CAST('0x' || substr(md5({text}), 2 * i - 1, 2) AS INTEGER) for i in range(1, 9)], ',')"
@@ -455,11 +462,11 @@ SELECT id, CASE WHEN section <> '' THEN {_vector('section')} ELSE '' END AS sect
 SELECT id, file_name, page_number, image_flag, CASE WHEN again THEN md5('second') ELSE md5(text_content) END AS digest
 FROM (SELECT *, bool_or(length(file_name) % 2 = 0 AND page_sequence_number = 1) OVER (PARTITION BY file_name) AS again FROM chunks)
 WHERE NOT again OR page_sequence_number = 1""",
-    "document_upload": f"""WITH {PAGES}, {_CHUNKS}
+    "document_upload": f"""WITH RECURSIVE {PAGES}, {_FILLED_CHUNKS}
 SELECT id, md5(text_content) AS text_content, CASE WHEN section <> '' THEN {_vector('section')} ELSE '' END AS section_vector,
   CASE WHEN parent_section <> '' THEN {_vector('parent_section')} ELSE '' END AS parent_section_vector,
   {_vector('text_content')} AS text_content_vector, CAST(NULL AS VARCHAR) AS vector_errors FROM chunks""",
-    "upload_report": f"""WITH {PAGES}, {_CHUNKS}
+    "upload_report": f"""WITH RECURSIVE {PAGES}, {_FILLED_CHUNKS}
 SELECT file_name, count(CASE WHEN length(id) % 7 <> 0 THEN 1 END) AS succeeded, count(*) AS sent FROM chunks GROUP BY file_name""",
     "extract_scan": f"""WITH {PAGES}, sized AS (
   SELECT p.doc_id, p.page, p.document_title, count(i.j) AS n FROM page_rows p LEFT JOIN items i USING (doc_id, page)

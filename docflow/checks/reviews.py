@@ -43,6 +43,15 @@ def scan_delimited(spark, sf):
     )
 
 
+def scan_delimited_split(spark, sf):
+    """The form whose files Spark splits among tasks: no field spans lines."""
+    path = fresh_path(spark, "reviews-lines")
+    one_line = F.translate("comments", "\n\r", "  ")
+    rows = reviews(spark, sf).select(F.col("doc_id").cast("string").alias("review_date"), "hotel", "highlights", one_line.alias("comments"))
+    files.write_delimited(rows.filter(T.not_blank(F.col("comments"))), path)
+    return files.read_delimited(spark, path, schemas.REVIEW).select("review_date", "hotel", "highlights", F.md5("comments").alias("digest"))
+
+
 def table_overwrite(spark, sf):
     path = fresh_path(spark, "enriched")
     files.overwrite_table(reviews(spark, sf), path)
@@ -176,6 +185,7 @@ def image_describe(spark, sf):
 QUERIES = {
     "filter_nonblank": filter_nonblank,
     "scan_delimited": scan_delimited,
+    "scan_delimited_split": scan_delimited_split,
     "table_overwrite_roundtrip": table_overwrite,
     "messages_build": messages_build,
     "complete_rows": complete,
@@ -230,6 +240,8 @@ ORACLE = {
     "filter_nonblank": f"WITH {REVIEWS} SELECT doc_id, hotel, length(comments) AS n FROM kept",
     "scan_delimited": f"""WITH {REVIEWS}
 SELECT CAST(doc_id AS VARCHAR) AS review_date, hotel, highlights, md5(comments) AS digest FROM kept""",
+    "scan_delimited_split": f"""WITH {REVIEWS}
+SELECT CAST(doc_id AS VARCHAR) AS review_date, hotel, highlights, md5(translate(comments, chr(10) || chr(13), '  ')) AS digest FROM kept""",
     "table_overwrite_roundtrip": f"""WITH {ANSWERED}
 SELECT doc_id, hotel, md5({_MESSAGES_JSON}) AS digest, {_ERROR_JSON} AS error_json FROM written""",
     "messages_build": f"""WITH {REVIEWS}

@@ -62,6 +62,16 @@ def test_fields_not_sent_stay(spark):
     assert sorted(map(tuple, U.upsert(o, n, ["k"]).collect())) == [(1, "b", 2), (2, "c", None)]
 
 
+def test_rows_without_a_key_have_a_side(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 4 != 0, F.col("id").cast("string")).alias("k"), "id")
+    rows = S.split_exact(df, "k").collect()
+    assert {r["split"] for r in rows if r["k"] is None} == {"train"} and sum(r["k"] is None for r in rows) == 25
+    assert sum(r["split"] == "test" for r in rows) == 8 and sum(r["split"] == "validation" for r in rows) == 7  # of the 75 with a key
+    hashed = S.split_hash(df, "k").filter("k is null").select("split").distinct().collect()
+    assert [r["split"] for r in hashed] == ["train"]
+    assert S.split_exact(df.filter("k is null"), "k").filter("split <> 'train'").count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 7, 1000, 9001])
 @pytest.mark.parametrize("nested", [True, False])
 def test_split_sizes_and_order(spark, n, nested, monkeypatch):
