@@ -147,7 +147,8 @@ def fit(df: DataFrame, text: str, language: str, families: dict[str, str] = FAMI
 
     samples: dict[str, list[np.ndarray]] = {}
     each = rows.filter(drawn).groupBy("language", "same").agg(F.first("text").alias("text"))
-    for r in each.select("language", sparse.asNondeterministic()("text").alias("f")).collect():
+    taken = each.select("language", "same", sparse.asNondeterministic()("text").alias("f")).collect()
+    for r in sorted(taken, key=lambda r: (r["language"], r["same"])):  # the machines do not depend on how rows were dealt
         if r["f"]["at"]:
             x = np.zeros(WIDTH, np.float32)
             x[r["f"]["at"]] = r["f"]["value"]

@@ -30,7 +30,7 @@ def own_lines(lines: Column) -> Column:
 
 
 def passages(lines: Column) -> Column:
-    """Runs of lines of one level, ended by lines without words, and their single lines: level and words of each."""
+    """Runs of lines of one level, ended by lines without words, and their single lines: level and words of each, repeats included."""
     at = F.sequence(F.lit(0), F.size(lines) - 1)
     opens = lambda i: (
         (i == 0) | (F.get(lines, i)["level"] != F.get(lines, i - 1)["level"]) | (F.get(lines, i)["words"] == "") | (F.get(lines, i - 1)["words"] == "")
@@ -39,7 +39,7 @@ def passages(lines: Column) -> Column:
     run = lambda s, k: F.slice(lines, s + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - s)
     whole = F.transform(starts, lambda s, k: F.struct(F.get(lines, s)["level"].alias("level"), F.array_join(F.transform(run(s, k), lambda x: x["words"]), " ").alias("words")))
     single = F.transform(lines, lambda x: F.struct(x["level"].alias("level"), x["words"].alias("words")))
-    return F.array_distinct(F.filter(F.concat(whole, single), lambda p: p["words"] != ""))
+    return F.filter(F.concat(whole, single), lambda p: p["words"] != "")
 
 
 def linked(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -48,7 +48,7 @@ def linked(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", tex
     A line is quoted as deep as it has ``>`` marks before it. Quoted passages, and single quoted lines, are normalised (marks off, lower
     case, white space made one space), hashed, and joined to the earliest message of their conversation with the same passage
     at level 0; it must be earlier than the quoting one. The parent is the message with most characters among the
-    level 1 quotes, the latest of several; without any, the message of the turn before, if there is one. root_turn and
+    level 1 quotes, the latest of several; without any, the message of the last turn before that there is. root_turn and
     depth follow the parents up; position counts from 0 in the reply order of a root's messages, where each comes
     after the one it answers. body is the message without quotes and the lines that announce them.
 
@@ -78,8 +78,7 @@ def linked(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", tex
         F.count_distinct("origin").cast("long").alias("n_linked"),
     )
     nodes = messages.select("conv", "turn").distinct().filter("conv is not null and turn is not null")
-    before = nodes.select("conv", (F.col("turn") + 1).alias("turn"), F.col("turn").alias("previous"))
-    parents = nodes.join(known, ["conv", "turn"], "left").join(before, ["conv", "turn"], "left").select(
+    parents = previous(nodes).join(known, ["conv", "turn"], "left").select(
         "conv", "turn", F.coalesce("quoted_turn", "previous").alias("parent_turn"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked")
     )
     parents = write_once(parents, "parents")
@@ -90,6 +89,15 @@ def linked(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", tex
     return positions(placed)
 
 
+def previous(nodes: DataFrame, block: int = 4096) -> DataFrame:
+    """``previous``: the last turn of the conversation before each, from the turns of a block and the last one before the block."""
+    nodes = write_once(nodes.withColumn("block", F.floor(F.col("turn") / block)), "nodes")
+    ends = nodes.groupBy("conv", "block").agg(F.max("turn").alias("end"))
+    earlier = ends.withColumn("earlier", F.lag("end").over(Window.partitionBy("conv").orderBy("block"))).drop("end")
+    own = F.lag("turn").over(Window.partitionBy("conv", "block").orderBy("turn"))
+    return nodes.withColumn("own", own).join(earlier, ["conv", "block"]).select("conv", "turn", F.coalesce("own", "earlier").alias("previous"))
+
+
 def roots(above: DataFrame) -> DataFrame:
     """The root of every node and its distance, from the parent (``root_turn``, ``depth``) of those that are ``open``.
 

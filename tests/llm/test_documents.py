@@ -140,6 +140,51 @@ def test_longest_matches(spark):
     assert sorted((m["item_id"], m["doc_start"], m["item_start"], m["length"]) for m in row["contamination"]["matches"]) == [("1", 1, 0, 6), ("2", 3, 0, 5)]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_longest_match_at_each_place(seed):
+    import numpy as np
+
+    rng = random.Random(seed)
+    for _ in range(60):
+        doc, item = ([rng.randint(1, 3) for _ in range(rng.randint(1, 14))] for _ in range(2))
+        found = decontamination.longest(np.array(doc), np.array(item))
+
+        def match(i, k):
+            n = 0
+            while i + n < len(doc) and k + n < len(item) and doc[i + n] == item[k + n]:
+                n += 1
+            return n
+
+        best = [max(match(i, k) for k in range(len(item))) for i in range(len(doc))]
+        assert [(i, n) for i, _, n in found] == [(i, n) for i, n in enumerate(best) if n and (i == 0 or best[i - 1] <= n)]
+        assert all(match(i, k) == n for i, k, n in found)
+
+
+def test_equal_words_take_little_memory(spark):
+    """An item of 2,000 equal words and a document of 20,000: forty million pairs of places that are never laid out."""
+    import tracemalloc
+
+    import numpy as np
+
+    block = decontamination.ItemBlock([("a", "x " * 2000), ("b", "x " * 40 + "y")], 10)
+    tracemalloc.start()
+    ((_, found),) = block.search([np.array([block.code[b"x"]] * 20_000, np.int64)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and max(m["length"] for m in found) == 2000 and {m["item_id"] for m in found} == {"a", "b"}
+    bench = spark.createDataFrame([("a", "x " * 2000)], "item_id string, text string")
+    (row,) = decontamination.find_matches(frame(spark, [(1, "x " * 20_000)]), bench).collect()
+    assert row["contamination"]["n_hit"] == 20_000
+
+
+def test_clashing_names_pass(spark):
+    df = spark.createDataFrame([(1, "a b c", 5, 6, 7)], "doc_id long, text string, matches int, found_0 int, row int")
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    (row,) = decontamination.find_matches(df, bench).collect()
+    assert (row["matches"], row["found_0"], row["row"], row["contamination"]["n_hit"]) == (5, 6, 7, 3)
+    assert decontamination.clean_documents(df, bench.limit(0)).columns == df.columns
+
+
 def test_line_classes(spark):
     rng = random.Random(9)
     pool = ["".join(rng.choices("abcé ", k=rng.randint(8, 14))) for _ in range(25)]
@@ -404,3 +449,44 @@ def test_copies_are_sampled_once(spark, monkeypatch):
     language.fit(frame(spark, list(enumerate(texts))), "text", "language", per_language=110)
     rows = [x.tobytes() for x in drawn[0]["b"]]
     assert len(rows) == len(set(rows)) and 80 <= len(rows) <= 140
+
+
+def test_machines_do_not_depend_on_the_dealing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    scores = []
+    for partitions in ("8", "31"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            model = language.fit(docs.repartition(int(partitions)), "text", "lang")
+            found = language.identify(docs, model).select("doc_id", "language.prediction", "language.score").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        scores.append(sorted(map(tuple, found)))
+    assert scores[0] == scores[1]
+
+
+def test_votes_of_machines_set_by_hand():
+    """Families first, then the languages of the family that won: the same as asking every machine in turn."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    samples = {name: rng.random((6, language.WIDTH)).astype(np.float32) for name in ("en", "de", "fr", "es", "it", "xx")}
+    model = language.Hierarchy(samples, language.FAMILIES)
+    x = rng.random((40, language.WIDTH)).astype(np.float32)
+    names, scores = model.predict(x)
+
+    def winner(duel, row):
+        votes, chance = dict.fromkeys(duel.names, 0.0), dict.fromkeys(duel.names, 1.0)
+        for m in duel.machines:
+            p = 1 / (1 + np.exp(-np.clip(2 * (row @ m.weights + m.offset), -30, 30)))
+            votes[m.first] += (p >= 0.5) + p / 1e3
+            votes[m.second] += (p < 0.5) + (1 - p) / 1e3
+            chance[m.first], chance[m.second] = min(chance[m.first], p), min(chance[m.second], 1 - p)
+        best = max(duel.names, key=lambda n: (votes[n], [-k for k in range(1)]))
+        return best, chance[best]
+
+    for row, name, score in zip(x, names, scores):
+        family, c = winner(model.families, row)
+        own, d = winner(model.within[model.families.names.index(family)], row)
+        assert own == name and abs(c * d - score) < 1e-4

@@ -45,5 +45,24 @@ def test_gaps_nulls_repeats_and_a_long_chain(spark):
     chain = {r["turn"]: (r["depth"], r["root_turn"], r["position"]) for r in found if r["conv"] == 3}
     assert chain == {k: (k, 0, k) for k in range(300)}
     assert sorted(r["position"] for r in found if r["conv"] == 7) == [0, 1]
-    assert {r["parent_turn"] for r in found if r["conv"] in (4, 6, 7, None)} == {None}
+    assert {r["parent_turn"] for r in found if r["conv"] in (6, 7, None)} == {None}
+    assert {r["turn"]: r["parent_turn"] for r in found if r["conv"] == 4} == {0: None, 5: 0}
     assert quotes.linked(frame.limit(0)).count() == 0
+
+
+def test_the_turn_before_is_the_last_there_is(spark):
+    rows = [(1, t, "u", f"m {t}") for t in (1, 3, 4, 4095, 4096, 20_000)]
+    found = linked(spark, rows)
+    assert [found[1, t]["parent_turn"] for t in (1, 3, 4, 4095, 4096, 20_000)] == [None, 1, 3, 4, 4095, 4096]
+    assert {r["root_turn"] for r in found.values()} == {1}
+
+
+def test_messages_of_many_quoted_lines(spark):
+    lines = [f"line number {k % 3000}" for k in range(9000)]
+    found = linked(spark, [(1, 0, "u", "\n".join(lines)), (1, 1, "u", "\n".join(f"> {x}" for x in lines) + "\nyes")])
+    assert (found[1, 1]["parent_turn"], found[1, 1]["n_quoted"], found[1, 1]["n_linked"], found[1, 1]["body"]) == (0, 9000, 1, "yes")
+
+
+def test_clashing_columns_are_left_out(spark):
+    df = spark.createDataFrame([(1, 0, "u", "a", 1, 2, 3)], "conv_id long, turn long, role string, text string, conv int, block int, passages int")
+    assert quotes.linked(df).count() == 1
