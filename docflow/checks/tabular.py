@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docflow.checks.compare import TABLES
 from docflow.checks.shapes import table
+from docflow.checks.stub import FixedTextToSql
 from docflow.operators import automl as A
 from docflow.operators import registry as R
 from docflow.operators import split as S
@@ -214,16 +215,21 @@ STATEMENTS = (
     "select 1 -- drop it",
     "-- first\nselect 'it\\'s; -- here' from t",
     "select 'open",
+    "select '{name}; drop table part' as x, p_size from part where p_name = '{name}'",
+    "update part set p_name = '{name}'",
+    "SELECT java_method('java.lang.System', 'getProperty', '{name}')",
+    "select * from Text . `/data/{name}` where 1 = 1",
+    "select 'java_method(1)' as x, reflected (p_size) from part -- {name}",
 )
 REFUSALS = (
     None, "not one read-only statement", None, "not one read-only statement", "changes data", None, "changes data", "changes data",
-    None, None, None, None, "not one read-only statement",
+    None, None, None, None, "not one read-only statement", None, "not one read-only statement", "runs code", "reads files", None,
 )
 
 
 def sql_guard(spark, sf):
     choices = F.array(*[F.lit(s) for s in STATEMENTS])
-    statement = F.get(choices, (F.col("p_partkey") % len(STATEMENTS)).cast("int"))
+    statement = F.replace(F.get(choices, (F.col("p_partkey") % len(STATEMENTS)).cast("int")), F.lit("{name}"), F.col("p_name"))
     return table(spark, sf, "part").select("p_partkey", Q.guard(statement).alias("refused"))
 
 
@@ -248,7 +254,7 @@ def _answered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     nation = table(spark, sf, "nation")
     context = Q.context_text(Q.table_context(nation, "nation"), Q.samples(nation, "nation"))
     asked = spark.createDataFrame([(q,) for q in QUESTIONS], "question string")
-    return Q.answer_questions(spark, asked, Q.FixedTextToSql(QUESTIONS), fresh_path(spark, "answers"), context)
+    return Q.answer_questions(spark, asked, FixedTextToSql(QUESTIONS), fresh_path(spark, "answers"), context)
 
 
 def sql_answer(spark: SparkSession, sf: str) -> DataFrame:

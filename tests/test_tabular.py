@@ -9,6 +9,7 @@ from docflow.operators import automl as A
 from docflow.operators import registry as R
 from docflow.operators import split as S
 from docflow.operators import sqlqa as Q
+from docflow.checks.stub import FixedTextToSql
 from docflow.operators import upsert as U
 from docflow.plans import training
 from docflow.session import fresh_path
@@ -130,7 +131,47 @@ def test_guard(spark):
     }
     rows = spark.createDataFrame([(c,) for c in cases], "s string").select("s", Q.guard(F.col("s")).alias("g")).collect()
     assert {r["s"]: r["g"] for r in rows} == cases
-    assert {c for c in cases if Q.refusal(spark, c) is None} == {c for c, why in cases.items() if why is None}
+    assert {c for c in cases if Q.refusal(spark, c, frozenset({"t"})) is None} == {c for c, why in cases.items() if why is None}
+
+
+ALLOWED = (
+    "select id, upper(cast(id as string)) from numbers where id in (select id from numbers n where n.id > 3)",
+    "with a as (select id from numbers), b as (select * from a) select count(*), sum(id) over () from b group by id having count(*) > 0",
+    "select x from numbers lateral view explode(array(id, id + 1)) t as x", "select * from range(3)", "select * from numbers order by id limit 3",
+    "select transform(array(id), y -> y + 1) from NUMBERS union all select array(1)", "values (1), (2)", "select (select max(id) from numbers)",
+    "select * from numbers pivot (count(*) for id in (1, 2))", "select * from numbers n join lateral (select n.id + 1 as z)",
+)
+REFUSED = (
+    "select java_method('java.lang.System', 'getProperty', 'user.home')", "select reflect('java.util.UUID', 'randomUUID')",
+    "select id from numbers where id > length(try_reflect('java.util.UUID', 'randomUUID'))", "select * from text.`/etc/hostname`",
+    "select * from parquet.`/tmp/x`", "with a as (select * from csv.`/etc/passwd`) select * from a", "select (select max(value) from text.`/etc/hostname`)",
+    "select * from other", "select * from default.numbers", "select input_file_name() from numbers", "select current_user()", "select unknown_function(1)",
+    "select * from numbers where exists (select 1 from text.`/etc/hostname`)", "select transform(id) using 'cat' as (x) from numbers",
+    "select * from read_files('/etc')", "select max(reflect('java.util.UUID', 'randomUUID')) over () from numbers", "show tables", "describe numbers",
+    "select transform(array(1), y -> java_method('java.lang.System', 'getProperty', 'user.home'))", "with a as (select 1) select * from b", "set x = 1",
+    "select * from numbers lateral view explode(array(version())) t as x", "insert into numbers select 1", "select id from a.b.c",
+)
+
+
+def test_plans_decide_what_runs(spark):
+    spark.range(30).createOrReplaceTempView("numbers")
+    assert {s: Q.refusal(spark, s) for s in ALLOWED if Q.refusal(spark, s) is not None} == {}
+    assert [s for s in REFUSED if Q.refusal(spark, s) is None] == []
+    assert Q.refusal(spark, "select * from other", frozenset({"OTHER"})) is None
+    assert Q.refusal(spark, "select version()", functions=frozenset({"version"})) is None
+    for s in ALLOWED:
+        spark.sql(s).collect()  # what is allowed also runs
+
+
+def test_equal_statements_run_once(spark, tmp_path):
+    spark.range(30).createOrReplaceTempView("numbers")
+    known = {"a": "select id from numbers where id < 5", "b": "SELECT  n.id FROM numbers AS n WHERE n.id < 5 ;", "c": "select id as other from numbers where id < 5"}
+    asked = spark.createDataFrame([(q,) for q in known], "question string")
+    done, answers = Q.answer_questions(spark, asked, FixedTextToSql(known), str(tmp_path / "answers"))
+    assert {r["question"]: (r["n_rows"], r["error"]) for r in done.collect()} == {q: (5, None) for q in known}
+    assert {r["question"]: r["count"] for r in answers.groupBy("question").count().collect()} == {q: 5 for q in known}
+    assert {r["row_json"] for r in answers.filter("question = 'c'").collect()} == {f'{{"other":{i}}}' for i in range(5)}
+    assert len([p for p in (tmp_path / "answers").iterdir() if p.name.startswith("statement=")]) == 2
 
 
 def test_answers_keep_errors(spark):
@@ -140,7 +181,7 @@ def test_answers_keep_errors(spark):
         "drop": "drop view numbers",
     }
     asked = spark.createDataFrame([(q,) for q in [*known, "unknown"]], "question string")
-    done, answers = Q.answer_questions(spark, asked, Q.FixedTextToSql(known), fresh_path(spark, "answers"))
+    done, answers = Q.answer_questions(spark, asked, FixedTextToSql(known), fresh_path(spark, "answers"))
     out = {r["question"]: r for r in done.collect()}
     rows = answers.filter("question = 'all'").orderBy("position").collect()
     assert [r["row_json"] for r in rows] == [f'{{"id":{i}}}' for i in range(30)] and out["all"]["n_rows"] == 30
