@@ -147,12 +147,16 @@ def fit(df: DataFrame, text: str, language: str, families: dict[str, str] = FAMI
 
     samples: dict[str, list[np.ndarray]] = {}
     each = rows.filter(drawn).groupBy("language", "same").agg(F.first("text").alias("text"))
-    taken = each.select("language", "same", sparse.asNondeterministic()("text").alias("f")).collect()
-    for r in sorted(taken, key=lambda r: (r["language"], r["same"])):  # the machines do not depend on how rows were dealt
-        if r["f"]["at"]:
-            x = np.zeros(WIDTH, np.float32)
-            x[r["f"]["at"]] = r["f"]["value"]
-            samples.setdefault(r["language"], []).append(x)
+    f = sparse.asNondeterministic()("text").alias("f")
+    taken = each.select("language", "same", f).select("language", "same", "f.at", "f.value").toArrow()
+    # sorted, so that the machines do not depend on how rows were dealt; a row at a time leaves Arrow
+    for row in taken.sort_by([("language", "ascending"), ("same", "ascending")]).to_batches(max_chunksize=64):
+        for name, at, value in zip(row.column("language").to_pylist(), row.column("at"), row.column("value")):
+            if len(at.values):
+                x = np.zeros(WIDTH, np.float32)
+                x[at.values.to_numpy()] = value.values.to_numpy()
+                samples.setdefault(name, []).append(x)
+    del taken
     return Hierarchy({k: np.stack(v) for k, v in samples.items()}, families) if samples else None
 
 
