@@ -142,9 +142,9 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width
         )
 
     one = chunks.ask("part int, chunk long, windows binary, blocks binary", ask_blocks)
-    hit = write_once(ex.answered(one, answer_blocks), "blocks")
+    hit = write_once(ex.answered(one, answer_blocks, chunks.parts), "blocks")
     two = chunks.ask("part int, chunk long, hashes binary, checks binary", ask_windows, hit)
-    same = write_once(ex.answered(two, answer_windows), "windows")
+    same = write_once(ex.answered(two, answer_windows, chunks.parts), "windows")
     out = f"doc_id {chunks.key_type}, n_words long, n_removed long, spans array<struct<start:bigint,words:bigint>>, kept_text string"
     return chunks.ask(out, finish, hit.unionByName(same))
 

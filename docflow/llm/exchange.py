@@ -23,6 +23,8 @@ from docflow.session import fresh_path
 CHUNK_BYTES = 4 << 20
 PART_BYTES = 8 << 20
 LEAST_PARTS = 64
+PARTS_PER_TASK = 4
+MOST_BUCKETS = 100_000  # what a bucketed table may have; chunks share buckets beyond it
 ANSWER = "chunk long, part int, kind int, bits binary"
 
 _GOLD, _ODD, _LOW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFFFFFFFF)
@@ -91,7 +93,7 @@ def write_chunks(df: DataFrame, key: str, text: str) -> Chunks:
             yield blob()
 
     path, name = fresh_path(spark, "chunks"), f"docflow_chunks_{uuid.uuid4().hex}"
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // (4 * CHUNK_BYTES)))
+    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // (4 * CHUNK_BYTES))))
     source.mapInArrow(run, "chunk long, blob binary").write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(name)
     return Chunks(spark.table(name), parts, source.schema["key"].dataType.simpleString())
 
@@ -107,13 +109,14 @@ def unpack(blob: pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
-def answered(asks: DataFrame, rows: Callable[[pa.Table], pa.Table], schema: str = ANSWER) -> DataFrame:
-    """``rows`` of all that falls into a part; a part is about ``PART_BYTES`` of hashes."""
+def answered(asks: DataFrame, rows: Callable[[pa.Table], pa.Table], parts: int, schema: str = ANSWER) -> DataFrame:
+    """``rows`` of all that falls into a part; a part is about ``PART_BYTES`` of hashes, and a task's share is a few parts at any size."""
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
         return rows(table)
 
-    return asks.groupBy("part").applyInArrow(run, schema)
+    tasks = max(-(-parts // PARTS_PER_TASK), int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return asks.repartition(tasks, "part").groupBy("part").applyInArrow(run, schema)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -116,7 +116,7 @@ def find_sets(df: DataFrame, key: str, text: str, width: int, percent: int) -> D
 
     names = [x.split()[0] for x in SETS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.float64(), pa.float64()]
-    counts = write_once(ex.answered(chunks.ask("part int, chunk long, tails binary, times binary", ask), answer_counts), "counts")
+    counts = write_once(ex.answered(chunks.ask("part int, chunk long, tails binary, times binary", ask), answer_counts, chunks.parts), "counts")
     return write_once(chunks.ask(SETS, finish, counts), "sets")
 
 

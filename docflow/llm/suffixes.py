@@ -285,8 +285,8 @@ def earlier_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width:
             names=["doc_id", "n_bytes", "n_removed", "spans", "kept"],
         )
 
-    shared = write_once(ex.answered(chunks.ask("part int, chunk long, anchors binary", ask_anchors), answer_anchors), "anchors")
-    windows = write_once(ex.answered(chunks.ask(CONTEXTS, ask_contexts, shared), answer_contexts), "windows")
+    shared = write_once(ex.answered(chunks.ask("part int, chunk long, anchors binary", ask_anchors), answer_anchors, chunks.parts), "anchors")
+    windows = write_once(ex.answered(chunks.ask(CONTEXTS, ask_contexts, shared), answer_contexts, chunks.parts), "windows")
     out = f"doc_id {chunks.key_type}, n_bytes long, n_removed long, spans array<struct<start:bigint,bytes:bigint>>, kept binary"
     return chunks.ask(out, finish, shared.unionByName(windows))
 
