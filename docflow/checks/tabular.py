@@ -12,6 +12,7 @@ from docflow.checks.shapes import table
 from docflow.checks.stub import FixedTextToSql
 from docflow.operators import automl as A
 from docflow.operators import registry as R
+from docflow.operators import sketches as K
 from docflow.operators import split as S
 from docflow.operators import sqlqa as Q
 from docflow.operators import upsert as U
@@ -196,9 +197,51 @@ def run_id_extract(spark, sf):
 # ---------------------------------------------------------------- questions
 
 
+def _exact_distinct(df: DataFrame) -> DataFrame:
+    counts = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("exact")) for c in df.columns])).alias("e")).select("e.*")
+
+
+def _close(found, exact):
+    return F.abs(found - exact) <= F.greatest(F.lit(1.0), exact * 0.06)
+
+
+def _ends() -> list:
+    """Least and greatest value as text; doubles are written in more than one way, and are left to the tests."""
+    return [F.when(F.col("column_type") != "double", F.col(c)).alias(c) for c in ("least", "greatest")]
+
+
 def schema_context(spark, sf):
-    parts = [Q.table_context(table(spark, sf, t), t, distinct=False) for t in TABLES]
-    return reduce(DataFrame.unionByName, parts)
+    """Every column of every table from one pass of sketches; distinct counts are held against exact ones, samples are counted."""
+    def one(name: str) -> DataFrame:
+        df = table(spark, sf, name)
+        found = K.table_sketch(df, name).join(_exact_distinct(df), "column_name")
+        return found.select(
+            "table_name", "column_name", "column_type", "n_rows", "n_nulls", *_ends(), F.col("exact").alias("n_distinct"),
+            _close(F.col("n_distinct"), F.col("exact")).alias("close"), F.coalesce(F.size("samples"), F.lit(0)).cast("bigint").alias("n_samples"),
+        )
+
+    return reduce(DataFrame.unionByName, [one(t) for t in TABLES])
+
+
+def column_sketches(spark, sf):
+    """Orders arrive in three parts; each time only the new files are sketched, and the union of all speaks for the table."""
+    path, store = fresh_path(spark, "arriving"), fresh_path(spark, "sketches")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    files_seen = []
+    for part in range(3):
+        orders.filter(F.col("o_orderkey") % 3 == part).repartition(2).write.mode("append").parquet(path)
+        files_seen.append(K.update(spark, spark.read.parquet(path), store))
+    files_seen.append(K.update(spark, spark.read.parquet(path), store))
+    found = K.estimates(K.merged(spark.read.schema(K.SCHEMA).parquet(store)), (0.5,)).join(_exact_distinct(orders), "column_name")
+    median = {r["column_name"]: r["quantiles"][0] for r in found.filter("quantiles is not null").select("column_name", "quantiles").collect()}
+    ranks = orders.agg(*[F.avg((F.col(c) <= v).cast("int")).alias(c) for c, v in median.items()])
+    ranked = ranks.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("rank")) for c in median])).alias("r")).select("r.*")
+    return found.join(ranked, "column_name", "left").select(
+        "column_name", "n_rows", "n_nulls", *_ends(), F.col("exact").alias("n_distinct"), _close(F.col("n_distinct"), F.col("exact")).alias("close"),
+        (F.abs(F.col("rank") - 0.5) < 0.03).alias("median_close"), F.when(F.col("exact") < 100, F.get("frequent", F.lit(0))["item"]).alias("most_frequent"),
+        F.lit(",".join(map(str, files_seen))).alias("files"),
+    )
 
 
 STATEMENTS = (
@@ -337,7 +380,7 @@ QUERIES = {
     for f in (
         chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, split_exact, split_exact_shares, split_hash,
         split_counts, split_disjoint, split_sink, manifest_scan, manifest_rewrite, asset_register_new, model_register,
-        model_latest, run_id_extract, schema_context, sql_guard, sql_answer, automl_trials, automl_best_trial,
+        model_latest, run_id_extract, schema_context, column_sketches, sql_guard, sql_answer, automl_trials, automl_best_trial,
         batch_score, score_append, regression_r2, column_profile,
     )
 }
@@ -381,15 +424,23 @@ COLUMNS = {
 }
 
 
+KINDS = dict(c.split(" ", 1) for columns in COLUMNS.values() for c in columns.split(", "))
+
+
+def _end(f: str, column: str, kind: str) -> str:
+    """Least or greatest value as text; none of lists and doubles."""
+    return "CAST(NULL AS VARCHAR)" if "<" in kind or kind == "double" else f"CAST({f}({column}) AS VARCHAR)"
+
+
 def _context_sql() -> str:
     rows = []
     for name, columns in COLUMNS.items():
         for column, kind in (c.split(" ", 1) for c in columns.split(", ")):
-            simple = kind in ("int", "bigint", "string")
-            ends = [f"CAST({f}({column}) AS VARCHAR)" if simple else "CAST(NULL AS VARCHAR)" for f in ("min", "max")]
+            ends = [_end(f, column, kind) for f in ("min", "max")]
             rows.append(
                 f"SELECT '{name}' AS table_name, '{column}' AS column_name, '{kind}' AS column_type, count(*) AS n_rows, "
-                f"count(*) - count({column}) AS n_nulls, {ends[0]} AS least, {ends[1]} AS greatest FROM {name}"
+                f"count(*) - count({column}) AS n_nulls, {ends[0]} AS least, {ends[1]} AS greatest, count(DISTINCT {column}) AS n_distinct, "
+                f"true AS close, least(3, count(DISTINCT {column})) AS n_samples FROM {name}"
             )
     return "\nUNION ALL ".join(rows)
 
@@ -470,6 +521,12 @@ SELECT name, version, run_id, path FROM (SELECT *, row_number() OVER (PARTITION
     "run_id_extract": """WITH r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN 'run-' || s_suppkey ELSE 'early' END AS run_id FROM supplier)
 SELECT s_suppkey, run_id, 'runs:/' || run_id || '/outputs/mlflow-model' AS uri FROM r""",
     "schema_context": _context_sql(),
+    "column_sketches": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, {_end('min', c, KINDS[c])} AS least, {_end('max', c, KINDS[c])} AS greatest, "
+        f"count(DISTINCT {c}) AS n_distinct, true AS close, {'NULL' if c == 'o_orderstatus' else 'true'} AS median_close, "
+        f"{'mode(o_orderstatus)' if c == 'o_orderstatus' else 'CAST(NULL AS VARCHAR)'} AS most_frequent, '2,2,2,0' AS files FROM orders"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    ),
     "sql_guard": f"SELECT p_partkey, CASE p_partkey % {len(STATEMENTS)} {_REFUSED} END AS refused FROM part",
     "sql_answer": _answer_sql(),
     "automl_trials": " UNION ALL ".join(f"SELECT '{t}' AS name, true AS learnt, 'finished' AS status" for t in _TRIALS),
