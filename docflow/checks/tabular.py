@@ -11,6 +11,7 @@ from docflow.checks.compare import TABLES
 from docflow.checks.shapes import table
 from docflow.checks.stub import FixedTextToSql
 from docflow.operators import automl as A
+from docflow.operators import encoding as E
 from docflow.operators import registry as R
 from docflow.operators import sketches as K
 from docflow.operators import split as S
@@ -343,6 +344,39 @@ def automl_best_trial(spark, sf):
     return test.select(F.lit(best.name).alias("name"), F.round(F.lit(best.r2), 3).alias("r2"), F.round("r2", 3).alias("test_r2"), "n_rows")
 
 
+def target_encode(spark, sf):
+    """Parts and suppliers of line items by the mean price among the other folds; a third of the items have one supplier, some have none."""
+    n = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    supplier = F.when(n % 3 == 0, 1).when(n % 7 != 1, F.col("l_suppkey"))
+    items = table(spark, sf, "lineitem").select(
+        F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("key"), "l_partkey", supplier.alias("supplier"),
+        F.when(n % 11 != 0, F.col("l_extendedprice")).alias("price"),
+    )
+    columns = ["l_partkey", "supplier"]
+    sums = E.target_sums(items, columns, "price", "key")
+    return E.encode(items, sums, columns, "key", learnt=True).select("key", *[F.round(f"{c}__mean", 3).alias(c) for c in columns])
+
+
+def _waves(spark, sf):
+    """A target that is no sum of its columns, with noise from a hash of the key."""
+    flag = F.when((F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.04), 60).otherwise(0)
+    noise = F.conv(F.substring(F.md5("row_key"), 1, 4), 16, 10).cast("double") / 65536 * 20
+    bent = (F.col("l_quantity") - 25) * (F.col("l_quantity") - 25) / 5
+    return write_once(S.split_hash(_items(spark, sf).withColumn("price", (bent + flag + noise).cast("double")), "row_key"), "splits")
+
+
+def halving_trials(spark, sf):
+    """Rungs of successive halving, run twice over one trial table: the second time fits nothing. A straight line cannot win here."""
+    prepared, path = _waves(spark, sf).drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p_name"), fresh_path(spark, "trials")
+    parts = [prepared.filter(F.col("split") == s).drop("split") for s in ("train", "validation")]
+    trials, best = A.halving_trials(*parts, "price", "row_key", path)
+    again, same = A.halving_trials(*parts, "price", "row_key", path)
+    return again.groupBy("rung").agg(
+        F.count("*").alias("n_trials"), F.max("n_rows").alias("n_rows"), (F.max("r2") > 0.8).alias("learnt"),
+        F.lit("linear" not in best.name and same.name == best.name and abs(same.r2 - best.r2) < 1e-9).alias("bent_wins"),
+    )
+
+
 def _scored(spark, sf):
     prepared = _split_items(spark, sf)
     _, best = training.train(prepared, _TARGET, _DROP)
@@ -380,7 +414,7 @@ QUERIES = {
     for f in (
         chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, split_exact, split_exact_shares, split_hash,
         split_counts, split_disjoint, split_sink, manifest_scan, manifest_rewrite, asset_register_new, model_register,
-        model_latest, run_id_extract, schema_context, column_sketches, sql_guard, sql_answer, automl_trials, automl_best_trial,
+        model_latest, run_id_extract, schema_context, column_sketches, sql_guard, sql_answer, automl_trials, automl_best_trial, target_encode, halving_trials,
         batch_score, score_append, regression_r2, column_profile,
     )
 }
@@ -532,6 +566,27 @@ SELECT s_suppkey, run_id, 'runs:/' || run_id || '/outputs/mlflow-model' AS uri F
     "automl_trials": " UNION ALL ".join(f"SELECT '{t}' AS name, true AS learnt, 'finished' AS status" for t in _TRIALS),
     "automl_best_trial": f"""WITH {_ITEMS}
 SELECT 'linear' AS name, CAST(1 AS DOUBLE) AS r2, CAST(1 AS DOUBLE) AS test_r2, count(*) AS n_rows FROM test""",
+    "target_encode": """WITH items AS (
+  SELECT l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || l_quantity AS key, l_partkey,
+    CASE WHEN n % 3 = 0 THEN 1 WHEN n % 7 <> 1 THEN l_suppkey END AS supplier, CASE WHEN n % 11 <> 0 THEN l_extendedprice END AS price
+  FROM (SELECT *, l_orderkey * 10 + l_linenumber AS n FROM lineitem)),
+folded AS (SELECT *, ('0x' || substr(md5('42_' || key), 1, 8))::BIGINT % 5 AS fold FROM items),
+f AS (SELECT unnest(range(5)) AS fold),
+whole AS (SELECT f.fold, avg(price) AS m FROM f JOIN folded x ON x.fold <> f.fold GROUP BY f.fold),
+p AS (SELECT l_partkey, fold, sum(price) AS s, count(price) AS n FROM folded GROUP BY ALL),
+pt AS (SELECT l_partkey, sum(s) AS s, sum(n) AS n FROM p GROUP BY ALL),
+s AS (SELECT supplier, fold, sum(price) AS s, count(price) AS n FROM folded GROUP BY ALL),
+st AS (SELECT supplier, sum(s) AS s, sum(n) AS n FROM s GROUP BY ALL)
+SELECT key, round((coalesce(pt.s, 0) - coalesce(p.s, 0) + 10 * m) / (pt.n - p.n + 10), 3) AS l_partkey,
+  round((coalesce(st.s, 0) - coalesce(s.s, 0) + 10 * m) / (st.n - s.n + 10), 3) AS supplier
+FROM folded x JOIN whole USING (fold) JOIN p ON p.l_partkey = x.l_partkey AND p.fold = x.fold JOIN pt ON pt.l_partkey = x.l_partkey
+JOIN s ON s.supplier IS NOT DISTINCT FROM x.supplier AND s.fold = x.fold JOIN st ON st.supplier IS NOT DISTINCT FROM x.supplier""",
+    "halving_trials": """WITH t AS (
+  SELECT ('0x' || substr(md5('sample_42_' || row_key), 1, 8))::BIGINT AS place FROM (
+    SELECT l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || l_quantity AS row_key FROM lineitem JOIN part ON l_partkey = p_partkey)
+  WHERE ('0x' || substr(md5('42_' || row_key), 1, 8))::BIGINT < 3435973836),
+r(rung, n_trials, least) AS (VALUES (0, 5, 4294967296 // 9), (1, 2, 4294967296 // 3), (2, 1, 4294967296))
+SELECT rung, n_trials::BIGINT AS n_trials, (SELECT count(*) FROM t WHERE place < least) AS n_rows, true AS learnt, true AS bent_wins FROM r""",
     "batch_score": f"WITH {_ITEMS} SELECT row_key, price, round(price, 2) AS prediction FROM test",
     "score_append": f"WITH {_ITEMS} SELECT 2 * count(*) AS n_rows, count(DISTINCT row_key) AS n_keys FROM test",
     "regression_r2": """WITH g AS (SELECT l_extendedprice AS y, l_quantity * 2000 AS p FROM lineitem)
