@@ -36,7 +36,11 @@ def test_means_of_the_other_folds(spark):
 def test_a_rows_own_target_does_not_reach_it(spark):
     rows = [(f"k{i}", f"v{i % 40}", float(i % 17)) for i in range(200)]
     schema = "key string, c string, y double"
-    means = lambda rs: {r["key"]: r["c__mean"] for r in E.encode(df := spark.createDataFrame(rs, schema), E.target_sums(df, ["c"], "y", "key"), ["c"], "key", learnt=True).collect()}
+
+    def means(given):
+        df = spark.createDataFrame(given, schema)
+        return {r["key"]: r["c__mean"] for r in E.encode(df, E.target_sums(df, ["c"], "y", "key"), ["c"], "key", learnt=True).collect()}
+
     changed = [(k, c, 1e6 if k == "k7" else y) for k, c, y in rows]
     assert means(rows)["k7"] == means(changed)["k7"]
 
