@@ -115,6 +115,16 @@ def split_sink(spark, sf):
     ).csv(path)
 
 
+def split_manifests(spark, sf):
+    """Splits with a manifest beside the data of each, read again by way of the manifests."""
+    path, given = fresh_path(spark, "splits"), fresh_path(spark, "given")
+    paths = F.array(F.struct(F.lit("./orders.csv").alias("file")))
+    spark.range(1).select(F.lit("orders").alias("name"), paths.alias("paths")).write.json(given)
+    files.write_splits(S.split_exact(_orders(spark, sf), "o_orderkey", nested=True), path, files.read_manifest(spark, given))
+    shape = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    return reduce(DataFrame.unionByName, [files.read_split(spark, path, s, shape).withColumn("split", F.lit(s)) for s in files.SPLITS])
+
+
 def manifest_scan(spark, sf):
     """A table as CSV, found through its manifest."""
     base = fresh_path(spark, "training")
@@ -422,7 +432,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         chunk_upsert, chunk_upsert_table, chunk_upsert_fields, upload_batches, split_exact, split_exact_shares, split_hash,
-        split_counts, split_disjoint, split_sink, manifest_scan, manifest_rewrite, asset_register_new, model_register,
+        split_counts, split_disjoint, split_sink, split_manifests, manifest_scan, manifest_rewrite, asset_register_new, model_register,
         model_latest, run_id_extract, schema_context, column_sketches, sql_guard, sql_answer, automl_trials, automl_best_trial, target_encode, halving_trials,
         batch_score, score_append, regression_r2, column_profile,
     )
@@ -553,6 +563,7 @@ SELECT o_orderkey, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation'
 SELECT 'shared' AS what, (SELECT count(*) FROM (SELECT o_orderkey FROM cut GROUP BY o_orderkey HAVING count(DISTINCT split) > 1)) AS n
 UNION ALL SELECT 'lost', (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM cut))""",
     "split_sink": f"WITH {_NESTED} SELECT o_orderkey, o_custkey, o_totalprice, split FROM cut",
+    "split_manifests": f"WITH {_NESTED} SELECT o_orderkey, o_custkey, o_totalprice, split FROM cut",
     "manifest_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "manifest_rewrite": """SELECT p_partkey, p_name AS name, './' || p_partkey || '_train.csv,./more.csv' AS files, 'mltable' AS type FROM part""",
     "asset_register_new": """WITH offered AS (SELECT p_name AS name, CAST(p_size AS VARCHAR) AS version, 'part/' || p_partkey AS path, p_partkey FROM part)

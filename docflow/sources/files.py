@@ -130,9 +130,25 @@ def rewrite_manifest(manifest: DataFrame, file) -> DataFrame:
     )
 
 
-def write_splits(df: DataFrame, path: str) -> None:
-    """All splits in one pass, a folder each, with header."""
+SPLITS = ("train", "validation", "test")
+BESIDE = "_manifest"  # readers of a folder's data leave out names that begin so
+
+
+def write_splits(df: DataFrame, path: str, manifest: DataFrame | None = None) -> None:
+    """All splits in one pass, a folder each, with header; with ``manifest``, one of its own beside the data of each.
+
+    A split's manifest is the given one with its first path moved to the folder it lies in. All three are there even if a split
+    has no rows.
+    """
     df.write.mode("overwrite").option("header", True).partitionBy("split").csv(path)
+    for split in SPLITS if manifest is not None else ():
+        rewrite_manifest(manifest, "./").coalesce(1).write.mode("overwrite").json(f"{path}/split={split}/{BESIDE}")
+
+
+def read_split(spark: SparkSession, path: str, split: str, schema: str) -> DataFrame:
+    """A split of :func:`write_splits` by way of the manifest beside its data."""
+    base = f"{path}/split={split}"
+    return read_manifest_data(spark, read_manifest(spark, f"{base}/{BESIDE}"), base, schema)
 
 
 def append_predictions(df: DataFrame, path: str) -> None:
