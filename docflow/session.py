@@ -35,6 +35,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Drop all that this application has written to its share of the shared folder, and the tables that lie there.
+
+    For the end of a job, when its results are stored elsewhere: tables of :func:`write_once` are read until then.
+    """
+    mine = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    for found in spark.catalog.listTables():
+        if found.tableType == "EXTERNAL":
+            detail = spark.sql(f"DESCRIBE EXTENDED `{found.name}`").filter("col_name = 'Location'").first()
+            if detail and f"/{spark.sparkContext.applicationId}/" in detail["data_type"]:
+                spark.sql(f"DROP TABLE `{found.name}`")
+    folder, files = _file_system(spark, mine)
+    files.delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out anew where the input comes in fewer splits than there are cores.
 

@@ -139,3 +139,16 @@ def test_many_rows_of_a_file_are_marked_block_by_block(spark, tmp_path):
     K.write_keyed(rows.filter("k = '7' and n < 50"), path, schema, "k", 1)
     found = {r["k"]: r["count"] for r in K.read_keyed(spark, path, schema).groupBy("k").count().collect()}
     assert found == {str(k): 10_000 for k in range(10)} | {"3": 50, "7": 5}
+
+
+def test_what_a_job_wrote_can_be_dropped(spark, tmp_path, monkeypatch):
+    from docflow import session
+
+    monkeypatch.setattr(session, "_test_dir", str(tmp_path))
+    session.write_once(spark.range(3), "stage")
+    spark.range(3).write.option("path", session.fresh_path(spark, "table")).saveAsTable("docflow_test_dropped")
+    spark.range(3).write.option("path", str(tmp_path / "kept")).saveAsTable("docflow_test_kept")
+    session.drop_written(spark)
+    assert not list(tmp_path.glob("*/stage-*")) and not spark.catalog.tableExists("docflow_test_dropped")
+    assert spark.table("docflow_test_kept").count() == 3
+    spark.sql("DROP TABLE docflow_test_kept")
