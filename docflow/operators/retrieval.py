@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.session import write_once
+from docflow.session import Shared, write_once
 
 #: Similarities are rounded to so many places before they are compared, so that equal ones tie whatever block they come from.
 PLACES = 9
@@ -218,11 +218,12 @@ def train(corpus: DataFrame, key: str, vector: str, cells: int | None = None, pa
 
 def index(corpus: DataFrame, key: str, vector: str, quantizer: Quantizer) -> DataFrame:
     """cell, key and code of every usable row, written once; codes are a byte a part."""
-    shared = corpus.sparkSession.sparkContext.broadcast(quantizer)  # 4096 cells and 256 codes a part at most
+    shared = Shared(corpus.sparkSession, quantizer)  # 4096 cells and 256 codes a part at most
 
     @F.arrow_udf("struct<cell:int,code:binary>")
     def encode(column: pa.Array) -> pa.Array:
-        cell, code = shared.value.encode(unit_rows(column, shared.value.width))
+        fitted: Quantizer = shared.value
+        cell, code = fitted.encode(unit_rows(column, fitted.width))
         codes = pa.array([r.tobytes() for r in code], pa.binary())
         return pa.StructArray.from_arrays([pa.array(cell.astype(np.int32)), codes], names=["cell", "code"])
 
@@ -240,13 +241,14 @@ def index_topk(
     missing. Cells with more than ``part_rows`` rows are split, and each part of a cell meets its queries in one task, which holds the
     codes of the part and a batch of queries. Keys of the corpus and of the queries are unique.
     """
-    shared = queries.sparkSession.sparkContext.broadcast(quantizer)
+    shared = Shared(queries.sparkSession, quantizer)
     q = usable(queries, key, vector, quantizer.width)
 
     @F.arrow_udf("array<int>")
     def probed(column: pa.Array) -> pa.Array:
-        x = unit_rows(column, shared.value.width)
-        best = np.argsort(-(x @ shared.value.cells.T), axis=1, kind="stable")[:, :probes]
+        fitted: Quantizer = shared.value
+        x = unit_rows(column, fitted.width)
+        best = np.argsort(-(x @ fitted.cells.T), axis=1, kind="stable")[:, :probes]
         return pa.array(list(best.astype(np.int32)), pa.list_(pa.int32()))
 
     sizes = indexed.groupBy("cell").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))  # a row per cell

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+class Shared:
+    """A value of bounded size for all tasks; its classes travel with it, so executors need not have the package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        """The value, opened anew at each call."""
+        return pickle.loads(self._sent.value)
+
+
 def drop_written(spark: SparkSession) -> None:
     """Drop all that this application has written to its share of the shared folder, and the tables that lie there.
 
