@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.session import Shared
+
 #: What a text is described by, in order.
 FEATURES = (
     "words", "word_length", "longest_word", "upper", "symbols", "shouts", "bars", "digits", "stops", "repeated_next", "distinct", "repeated_lines",
@@ -205,7 +207,7 @@ def fit(rows: DataFrame, features: str, label: str, same: str, max_rows: int = M
 
 def score(df: DataFrame, model: Model, features: str = "described", result: str = "score") -> DataFrame:
     """``df`` with a double ``result`` from 0 to 1, higher where label 1 is likelier; equal rows get equal scores."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # tables over bins: some hundred KB at most
+    shared = Shared(df.sparkSession, model)  # tables over bins: some hundred KB at most
 
     @F.arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:

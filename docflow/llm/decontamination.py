@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm import texts
+from docflow.session import Shared
 
 #: A-Z become a-z; every other ASCII byte but 0-9 and a-z separates words.
 _FOLD = bytes(
@@ -208,11 +208,11 @@ def find_matches(
     equal items count by id, a null id as the empty string. Other columns pass unchanged; one named ``result``
     is replaced. Empty tables on either side give no matches.
     """
-    context, given = df.sparkSession.sparkContext, df.columns
+    given = df.columns
     found = []
     df = df.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("row"), F.col(f"`{text}`").alias("text"))
     for k, block in enumerate(blocks_of(items, item_id, item_text, block_bytes)):
-        shared = context.broadcast(pickle.dumps(ItemBlock(block, width)))
+        shared = Shared(df.sparkSession, ItemBlock(block, width))
         df = df.withColumn(f"found_{k}", _search(shared)(F.col("text")))
         found.append(f"found_{k}")
     matches = F.concat(*[F.col(f"{c}.matches") for c in found])
@@ -236,7 +236,7 @@ def _search(shared):
 
     @F.arrow_udf(f"struct<n_words:bigint,matches:array<struct<{MATCH}>>>")
     def search(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tests: ItemBlock = pickle.loads(shared.value)
+        tests: ItemBlock = shared.value
         code = tests.code.get
         for column in columns:
             matches: list[list[dict]] = [[] for _ in range(len(column))]

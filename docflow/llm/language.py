@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm import texts
+from docflow.session import Shared
 
 #: Families of languages by their codes (fixed values); a language that is not listed is a family of its own.
 FAMILIES = {
@@ -168,7 +169,7 @@ def identify(df: DataFrame, model: Hierarchy | None, text: str = "text", result:
     used, whatever their length. Equal texts get equal results. Other columns pass unchanged; one named
     ``result`` is replaced. An empty table gives an empty one.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df.sparkSession, model)
 
     @F.arrow_udf("struct<prediction:string,score:double>")
     def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,9 +73,8 @@ def is_boilerplate(lower: str, n_words: int, rules: Rules, phrases: list[str]) -
     return 100 * len(covered) >= rules.boilerplate_percent * len(texts.without_white(lower))
 
 
-@cache
 def _whole(phrase: str) -> re.Pattern:
-    """The phrase where no word goes on beyond its ends."""
+    """The phrase where no word goes on beyond its ends; ``re`` keeps what it has compiled."""
     return re.compile(rf"(?:(?<!\w)|(?!\w)){re.escape(phrase)}(?:(?!\w)|(?<!\w))")
 
 
