@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators import automl as A
 from docflow.operators import encoding as E
+from docflow.session import fresh_path
 
 
 def test_means_of_the_other_folds(spark):
@@ -72,3 +73,23 @@ def test_a_stopped_run_ends_with_the_same_choice(spark, tmp_path, monkeypatch):
     assert len(fitted) == 4 + 5 and again.count() == 8  # the three that were there are not fitted again
     assert same.name == best.name and abs(same.r2 - best.r2) < 1e-9
     assert A.r2 is stopping and {"prediction"} <= set(same.model.transform(check).columns)
+
+
+def test_a_task_of_a_fit_has_bounded_rows(spark, monkeypatch):
+    """Features that are small on disk are many bytes in a fit, so rows are counted and not what a file takes."""
+    parts = []
+
+    class Seen:
+        def fit(self, ready):
+            parts.append(ready.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+            raise ValueError("seen")
+
+    monkeypatch.setattr(A, "candidates", lambda *_: [("seen", Seen())])
+    monkeypatch.setattr(A, "FILE_BYTES", 100 * 1032, raising=False)  # two numbers are a vector
+    rows = spark.range(1000).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"), (F.col("id") * 1.0).alias("y"), "id")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    assert A.run_trials(rows.drop("id"), rows.drop("id"), "y")[0].status == "failed: ValueError"
+    with pytest.raises(RuntimeError):
+        A.halving_trials(rows, rows, "y", "id", fresh_path(spark, "trials"))
+    assert [sum(p) for p in parts] == [1000, 1000] and max(max(p) for p in parts) <= 100
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
