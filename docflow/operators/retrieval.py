@@ -38,6 +38,10 @@ def width_of(df: DataFrame, vector: str) -> int | None:
     return None if first is None else first["n"]
 
 
+#: Queries and keys whose scores are held at once.
+QUERY_BLOCK, KEY_BLOCK = 512, 2048
+
+
 class Best:
     """The k best neighbours of each query so far: a bounded heap per query, held as sorted rows and merged all at once."""
 
@@ -47,8 +51,14 @@ class Best:
         self.key = np.full((queries, k), np.iinfo(np.int64).max)
 
     def add(self, scores: np.ndarray, keys: np.ndarray) -> None:
-        """Merge a block of scores, a row per query and a column per key; of equal scores the smaller key is better."""
-        row, column = np.nonzero((scores >= self.score[:, -1:]) & np.isfinite(scores))
+        """Merge a block of scores, a row per query and a column per key; of equal scores the smaller key is better.
+
+        What is below the k-th of its own block is left out first, so few of a block are sorted.
+        """
+        least = self.score[:, -1:]
+        if scores.shape[1] > self.k:
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k, None])
+        row, column = np.nonzero((scores >= least) & np.isfinite(scores))
         if not len(row):
             return
         touched = np.unique(row)
@@ -117,7 +127,7 @@ def exact_topk(
             for a, b in runs([stripe, column, side]):
                 if (stripe[a], column[a]) != cell:
                     if best is not None:
-                        yield best.rows(names)
+                        yield from found(names, best)
                     cell, names, held, best = (stripe[a], column[a]), [], [], None
                 if side[a] == 0:
                     names.append(keys[a:b])
@@ -125,15 +135,20 @@ def exact_topk(
                 elif len(names):
                     if best is None:
                         names, held = np.concatenate(names), np.concatenate(held)
-                        best = Best(len(names), k)
-                    for i in range(a, b, 2048):
-                        j = min(i + 2048, b)
-                        scores = np.round(held @ x[i:j].T, PLACES)
-                        if not among_self:
-                            scores[names[:, None] == keys[i:j]] = -np.inf
-                        best.add(scores, keys[i:j])
+                        best = [Best(min(QUERY_BLOCK, len(names) - q), k) for q in range(0, len(names), QUERY_BLOCK)]
+                    for i in range(a, b, KEY_BLOCK):
+                        j = min(i + KEY_BLOCK, b)
+                        for q, mine in zip(range(0, len(names), QUERY_BLOCK), best):
+                            scores = np.round(held[q : q + QUERY_BLOCK] @ x[i:j].T, PLACES)
+                            if not among_self:
+                                scores[names[q : q + QUERY_BLOCK, None] == keys[i:j]] = -np.inf
+                            mine.add(scores, keys[i:j])
         if best is not None:
-            yield best.rows(names)
+            yield from found(names, best)
+
+    def found(names: np.ndarray, best: list[Best]) -> Iterator[pa.RecordBatch]:
+        for q, mine in zip(range(0, len(names), QUERY_BLOCK), best):
+            yield mine.rows(names[q : q + QUERY_BLOCK])
 
     order = "stripe", "column", "side"
     dealt = asks.unionByName(rows).repartition(stripes * columns, "stripe", "column").sortWithinPartitions(*order)
@@ -233,60 +248,77 @@ def index(corpus: DataFrame, key: str, vector: str, quantizer: Quantizer) -> Dat
 
 def index_topk(
     queries: DataFrame, corpus: DataFrame, indexed: DataFrame, quantizer: Quantizer, key: str, vector: str, k: int = 10, probes: int = 8,
-    again: int = 100, among_self: bool = False, part_rows: int = 200_000,
+    again: int = 100, among_self: bool = False, part_rows: int = 200_000, query_rows: int = 4096, corpus_rows: int = 1_000_000,
 ) -> DataFrame:
     """As :func:`exact_topk`, but only rows of the ``probes`` nearest cells of a query are looked at.
 
     Codes rank them, and the ``again`` best by codes are compared by their vectors, so scores are exact and only rows may be
-    missing. Cells with more than ``part_rows`` rows are split, and each part of a cell meets its queries in one task, which holds the
-    codes of the part and a batch of queries. Keys of the corpus and of the queries are unique.
+    missing. As there, queries are dealt into stripes of about ``query_rows`` and the codes, by cell, into columns of about ``corpus_rows``; a
+    task holds a stripe, its probes and its best while the codes stream by, so a query leaves ``again`` rows a column however many cells
+    it probes. Cells with more than ``part_rows`` rows are split. Keys of the corpus and of the queries are unique.
     """
     shared = Shared(queries.sparkSession, quantizer)
     q = usable(queries, key, vector, quantizer.width)
-
-    @F.arrow_udf("array<int>")
-    def probed(column: pa.Array) -> pa.Array:
-        fitted: Quantizer = shared.value
-        x = unit_rows(column, fitted.width)
-        best = np.argsort(-(x @ fitted.cells.T), axis=1, kind="stable")[:, :probes]
-        return pa.array(list(best.astype(np.int32)), pa.list_(pa.int32()))
-
+    stripes = math.ceil(q.count() / query_rows) or 1
+    columns = max(math.ceil(indexed.count() / corpus_rows), math.ceil(q.sparkSession.sparkContext.defaultParallelism / stripes))
     sizes = indexed.groupBy("cell").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))  # a row per cell
-    codes = indexed.join(sizes, "cell").select(
-        "cell", F.pmod(F.xxhash64("key", "code"), "parts").cast("int").alias("part"), F.lit(0).alias("side"), "key", "code", F.lit(None).cast("array<float>").alias("v")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = F.pmod(F.xxhash64("key", "code"), "parts")
+    codes = indexed.join(F.broadcast(sizes), "cell").select(
+        every(stripes).alias("stripe"), F.pmod(F.xxhash64("cell", part), F.lit(columns)).cast("int").alias("column"), F.lit(1).alias("side"), "cell", "key", "code",
+        F.lit(None).cast("array<float>").alias("v"),
     )
-    asks = q.select("key", "v", F.explode(probed.asNondeterministic()("v")).alias("cell")).join(sizes, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("side"), "key", F.lit(None).cast("binary").alias("code"), "v"
+    asks = q.select(
+        F.pmod(F.xxhash64("key", "v"), F.lit(stripes)).cast("int").alias("stripe"), every(columns).alias("column"), F.lit(0).alias("side"), F.lit(-1).alias("cell"), "key",
+        F.lit(None).cast("binary").alias("code"), "v",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: Quantizer = shared.value
         parts = len(fitted.books)
-        place, names, held, whole = None, [], [], None
+        place, names, held, best = None, [], [], None
         for batch in batches:
-            cell, part, side, keys = (batch.column(i).to_numpy() for i in range(4))
-            for a, b in runs([cell, part, side]):
-                if (cell[a], part[a]) != place:
-                    place, names, held, whole = (cell[a], part[a]), [], [], None
+            stripe, column, side, cell, keys = (batch.column(i).to_numpy() for i in range(5))
+            for a, b in runs([stripe, column, side, cell]):
+                if (stripe[a], column[a]) != place:
+                    if best is not None:
+                        yield from found(names, best)
+                    place, names, held, best = (stripe[a], column[a]), [], [], None
                 if side[a] == 0:
                     names.append(keys[a:b])
-                    held.append(np.frombuffer(b"".join(batch.column(4).slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, parts))
+                    held.append(unit_rows(batch.column(6).slice(a, b - a), fitted.width))
                 elif len(names):
-                    if whole is None:
-                        names, whole = np.concatenate(names), np.concatenate(held)
-                    x = unit_rows(batch.column(5).slice(a, b - a), fitted.width)
-                    for i in range(0, len(x), 1024):
-                        best = Best(min(1024, len(x) - i), again)
-                        mine = keys[a + i : a + i + len(best.score)]
-                        for j in range(0, len(whole), 4096):
-                            scores = x[i : i + 1024] @ fitted.decode(cell[a], whole[j : j + 4096]).T
+                    if best is None:
+                        names, held = np.concatenate(names), np.concatenate(held)
+                        probed = probes_of(fitted, held)
+                        best = [Best(min(QUERY_BLOCK, len(names) - q), again) for q in range(0, len(names), QUERY_BLOCK)]
+                    code = np.frombuffer(b"".join(batch.column(5).slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, parts)
+                    for i in range(a, b, KEY_BLOCK):
+                        j = min(i + KEY_BLOCK, b)
+                        x = fitted.decode(cell[a], code[i - a : j - a]).T
+                        for q, mine in zip(range(0, len(names), QUERY_BLOCK), best):
+                            scores = np.round(held[q : q + QUERY_BLOCK] @ x, PLACES)
+                            scores[~probed[q : q + QUERY_BLOCK, cell[a]]] = -np.inf
                             if not among_self:
-                                scores[mine[:, None] == names[j : j + 4096]] = -np.inf
-                            best.add(scores, names[j : j + 4096])
-                        yield best.rows(mine)
-
-    order = "cell", "part", "side"
-    met = codes.unionByName(asks).repartition("cell", "part").sortWithinPartitions(*order).mapInArrow(run, "query long, key long, score double")
+                                scores[names[q : q + QUERY_BLOCK, None] == keys[i:j]] = -np.inf
+                            mine.add(scores, keys[i:j])
+        if best is not None:
+            yield from found(names, best)
+
+    def probes_of(fitted: Quantizer, x: np.ndarray) -> np.ndarray:
+        """A row per query and a column per cell: whether it is one of the ``probes`` nearest."""
+        out = np.zeros((len(x), len(fitted.cells)), bool)
+        for i in range(0, len(x), QUERY_BLOCK):
+            near = np.argsort(-(x[i : i + QUERY_BLOCK] @ fitted.cells.T), axis=1, kind="stable")[:, :probes]
+            np.put_along_axis(out[i : i + QUERY_BLOCK], near, True, axis=1)
+        return out
+
+    def found(names: np.ndarray, best: list[Best]) -> Iterator[pa.RecordBatch]:
+        for q, mine in zip(range(0, len(names), QUERY_BLOCK), best):
+            yield mine.rows(names[q : q + QUERY_BLOCK])
+
+    order = "stripe", "column", "side", "cell"
+    met = codes.unionByName(asks).repartition(stripes * columns, "stripe", "column").sortWithinPartitions(*order).mapInArrow(run, "query long, key long, score double")
     wanted = top(met, again).select("query", "key")
     c = usable(corpus, key, vector, quantizer.width)
     both = wanted.join(c.select("key", F.col("v").alias("x")), "key").join(q.select(F.col("key").alias("query"), F.col("v").alias("y")), "query")

@@ -92,3 +92,37 @@ def test_empty_clusters_are_filled():
 
     x = np.array([[1.0, 0]] * 50 + [[0.0, 1]] + [[0.5, 0.5]])
     assert len(np.unique(retrieval.centres(x, 3), axis=0)) == 3
+
+
+def test_scores_held_at_once_are_bounded(monkeypatch, spark):
+    """A stripe of all queries met a block of the corpus in one matrix before."""
+    real, seen = retrieval.Best.add, spark.sparkContext.accumulator(0)
+
+    def add(self, scores, keys):
+        seen.add(int(scores.size > 8 * 16))
+        return real(self, scores, keys)
+
+    monkeypatch.setattr(retrieval.Best, "add", add)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 8, raising=False)
+    monkeypatch.setattr(retrieval, "KEY_BLOCK", 16, raising=False)
+    rows = made()[:-1]  # without the key that two rows have
+    found = retrieval.exact_topk(frame(spark, rows), frame(spark, rows), "id", "e", 5)
+    assert sorted((*r[:3], round(r[3], 9)) for r in map(tuple, found.collect())) == brute(rows, rows, 5) and seen.value == 0
+
+
+def test_a_query_leaves_bounded_candidates_however_many_cells_it_probes(spark, monkeypatch):
+    """Each cell left its best of each query before, all of which were shuffled and ordered."""
+    seen, real = spark.sparkContext.accumulator(0), retrieval.Best.rows
+
+    def rows_of(self, queries):
+        out = real(self, queries)
+        seen.add(out.num_rows)
+        return out
+
+    monkeypatch.setattr(retrieval.Best, "rows", rows_of)
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet")
+    quantizer = retrieval.train(rows, "vec_id", "embedding", cells=40, parts=32)
+    indexed = retrieval.index(rows, "vec_id", "embedding", quantizer)
+    asked = rows.filter("vec_id % 20 = 0")
+    assert retrieval.index_topk(asked, rows, indexed, quantizer, "vec_id", "embedding", 3, probes=40, again=6).count() == 3 * asked.count()
+    assert seen.value <= asked.count() * 6 * spark.sparkContext.defaultParallelism
