@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.operators.skew import lookup, salt_of
+from docflow.operators.skew import HOT, lookup, salt_of
 from docflow.operators.split import split_hash_of
 from docflow.session import write_once
 
@@ -33,7 +33,8 @@ def encode(df: DataFrame, sums: DataFrame, columns: list[str], key: str, learnt:
 
     With ``learnt`` the rows are those that ``sums`` were made from: a row then sees the sums of all folds but its own, so nothing of its
     target reaches it. Other rows see all folds. A mean of n rows is drawn to the mean of all rows seen by ``shrinkage`` / (n + ``shrinkage``);
-    an unknown value has just that mean. Values meet their rows by value and salt, so a frequent one is spread.
+    an unknown value has just that mean. Values meet their rows by value, frequent ones by value and salt, so that they are
+    spread; with ``learnt`` the sums tell which these are.
     """
     out = df.withColumn("_fold", fold_of(F.col(key), folds, seed) if learnt else F.lit(-1))
     numbers = F.array(*[F.lit(k) for k in range(folds)] if learnt else [F.lit(-1)])
@@ -45,7 +46,8 @@ def encode(df: DataFrame, sums: DataFrame, columns: list[str], key: str, learnt:
         means = seen.groupBy("value", "_fold").agg(F.sum("total").alias("_total"), F.sum("n").alias("_n"))
         named = means.select(_known("value").alias("_known"), F.col("value").alias("_value"), "_fold", "_total", "_n").withColumn("_value", F.coalesce("_value", F.lit("")))
         keyed = out.withColumns({"_known": _known(column), "_value": F.coalesce(F.col(column).cast("string"), F.lit(""))})
-        met = lookup(keyed, named, ["_known", "_value", "_fold"], salt_of(F.col(key))).join(F.broadcast(whole), "_fold", "left")
+        often = mine.filter(F.col("n") > HOT).select(_known("value").alias("_known"), F.coalesce("value", F.lit("")).alias("_value"), F.col("fold").alias("_fold"))
+        met = lookup(keyed, named, ["_known", "_value", "_fold"], salt_of(F.col(key)), often=often if learnt else None).join(F.broadcast(whole), "_fold", "left")
         value = (F.coalesce("_total", F.lit(0.0)) + shrinkage * F.col("_all")) / (F.coalesce("_n", F.lit(0)) + shrinkage)
         out = met.withColumn(f"{column}__mean", value).drop("_known", "_value", "_total", "_n", "_all")
     return out.drop("_fold")

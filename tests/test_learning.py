@@ -93,3 +93,14 @@ def test_a_task_of_a_fit_has_bounded_rows(spark, monkeypatch):
         A.halving_trials(rows, rows, "y", "id", fresh_path(spark, "trials"))
     assert [sum(p) for p in parts] == [1000, 1000] and max(max(p) for p in parts) <= 100
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_hot_values_are_known_from_sums(spark, monkeypatch):
+    """Means are the same whether values are spread or not, and only the others' rows and those of hot values meet copies."""
+    rows = spark.range(400).select(F.col("id").cast("string").alias("key"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, (F.col("id") % 50).cast("string")).alias("c"), (F.col("id") % 11 * 1.0).alias("y"))
+    sums = E.target_sums(rows, ["c"], "y", "key")
+    means = lambda: {r["key"]: r["c__mean"] for r in E.encode(rows, sums, ["c"], "key", learnt=True).collect()}
+    plain = means()
+    monkeypatch.setattr(E, "HOT", 10)
+    spread = means()
+    assert plain.keys() == spread.keys() and len(plain) == 400 and all(abs(plain[k] - spread[k]) < 1e-9 for k in plain)

@@ -66,6 +66,32 @@ def test_lookup_keeps_rows(spark):
     assert out.filter("k < 30 and d is null").count() == 0
 
 
+def test_lookup_spreads_hot_keys_only(spark):
+    facts = spark.createDataFrame([*[(1, p) for p in range(300)], *[(2 + p % 40, p) for p in range(80)], (None, 1), (1, None), (2, None)], "k int, pos bigint")
+    dims = spark.createDataFrame([(k, f"d{k}") for k in range(0, 30)], "k int, d string")
+    found = lookup(facts, dims, ["k"], F.floor(F.col("pos") / 10), hot=50)
+    expected = [(k, p, f"d{k}" if k is not None and p is not None and k < 30 else None) for k, p in map(tuple, facts.collect())]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    inner = lookup(facts, dims, ["k"], F.floor(F.col("pos") / 10), "inner", hot=50)
+    assert sorted(map(tuple, inner.collect())) == sorted(r for r in expected if r[2])
+
+
+def test_lookup_does_not_copy_what_is_not_hot(spark):
+    """Pairs of key and salt were made for every key before, as many as there are rows."""
+    facts, dims = spark.range(2000).select((F.col("id") % 500).alias("k"), "id"), spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("d"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def count(d):
+        seen.add(1)
+        return d
+
+    copied = dims.select("k", count.asNondeterministic()("d").alias("d"))
+    assert lookup(facts, copied, ["k"], salt_of(F.col("id"))).filter("d = 1").count() == 2000
+    pairs = lookup(facts, dims, ["k"], salt_of(F.col("id")), hot=3).filter("d = 1").count()
+    assert pairs == 2000 and seen.value <= 1000
+
+
 def test_values_are_computed_once(spark):
     facts = spark.createDataFrame([(r[2], r[1]) for r in hot_rows()], "t string, pos bigint")
     out = once_per_value(facts, "t", "u", F.upper, salt_of(F.col("pos"), salts=3))
