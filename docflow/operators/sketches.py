@@ -60,7 +60,7 @@ def sketch_files(files: DataFrame, columns: dict[str, str], weight: Column | Non
     counted = named.groupBy("file").agg(*aggs).select("file", F.explode(F.array(*rows)).alias("s")).select("file", "s.*")
     values = F.array(*[F.struct(F.lit(n).alias("column_name"), _said(F.col(f"`{n}`"), k).alias("value")) for n, k in columns.items()])
     each = named.select("file", "_w", F.explode(values).alias("v")).select("file", "v.*", "_w").filter("value is not null")
-    drawn = drawn_values(each.withColumn("rank", weighted_rank(F.col("value"), F.col("_w"), seed)), ["file", "column_name"], sample)
+    drawn = drawn_values(likely(each.withColumn("rank", weighted_rank(F.col("value"), F.col("_w"), seed)), ["file", "column_name"], sample), ["file", "column_name"], sample)
     return counted.join(drawn, ["file", "column_name"], "left").select(*[c.split()[0] for c in _fields()])
 
 
@@ -68,6 +68,18 @@ def _fields() -> list[str]:
     return ["file", "column_name", "column_type", "n_rows", "n_nulls", "least", "greatest", "hll", "kll", "often", "sample"]
 
 
+def likely(each: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The rows of ``each`` that can be drawn: those down to the first level of ranks that alone has ``n`` different values.
+
+    A level halves what is above it, so some hundred values of a key are left, however many it has, and no task holds them all. Counts
+    of values are estimates, so twice ``n`` are asked for.
+    """
+    level = F.floor(F.log2(-F.col("rank")))
+    levels = each.groupBy(*keys, level.alias("level")).agg(F.approx_count_distinct("value").alias("found"))
+    last = levels.groupBy(*keys).agg(F.min(F.when(F.col("found") >= 2 * n, F.col("level"))).alias("last"))  # a row per key
+    return each.join(F.broadcast(last), keys).filter(F.col("last").isNull() | (level <= F.col("last"))).drop("last")
+
+
 def drawn_values(each: DataFrame, keys: list[str], n: int) -> DataFrame:
     """keys and sample: the ``n`` different values of greatest rank, tied ones by value; only ``n`` of a key leave a task."""
     from pyspark.sql import Window

@@ -77,3 +77,17 @@ def test_empty_tables(spark, tmp_path):
     path = str(tmp_path / "none")
     spark.range(0).write.parquet(path)
     assert K.table_sketch(spark.read.parquet(path), "t").count() == 0
+
+
+def test_few_values_are_left_to_draw_from(spark):
+    """A column of many values was grouped and ordered whole to draw some."""
+    each = spark.range(40_000).select(F.lit("f").alias("file"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("column_name"), (F.col("id") % 9000).cast("string").alias("value"))
+    each = each.withColumn("rank", K.weighted_rank(F.col("value"), F.lit(1.0), 7))
+    left = K.likely(each, ["file", "column_name"], 20)
+    assert left.select("column_name", "value").distinct().count() < 800
+    key = ["file", "column_name"]
+    assert sorted(K.drawn_values(left, key, 20).collect()) == sorted(K.drawn_values(each, key, 20).collect())
+    heavy = each.withColumn("rank", K.weighted_rank(F.col("value"), F.when(F.col("value") < "5", 1e6).otherwise(F.rand(3)), 7)).localCheckpoint()
+    assert sorted(K.drawn_values(K.likely(heavy, key, 20), key, 20).collect()) == sorted(K.drawn_values(heavy, key, 20).collect())
+    few = each.filter("value < '10'")
+    assert sorted(K.drawn_values(K.likely(few, key, 20), key, 20).collect()) == sorted(K.drawn_values(few, key, 20).collect())
