@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkRuntimeError
+from pyspark.sql import functions as F
 
 from docflow.checks.stub import StubClient
 from docflow.operators import upsert as U
@@ -152,3 +153,19 @@ def test_what_a_job_wrote_can_be_dropped(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.glob("*/stage-*")) and not spark.catalog.tableExists("docflow_test_dropped")
     assert spark.table("docflow_test_kept").count() == 3
     spark.sql("DROP TABLE docflow_test_kept")
+
+
+def test_state_has_as_many_parts_as_cores_can_use(spark, tmp_path):
+    """Every batch opens every part: the session's number of shuffle partitions made most of the time of a batch."""
+    source, checkpoint, name = str(tmp_path / "in"), tmp_path / "offsets", "spark.sql.shuffle.partitions"
+    spark.range(20).select(F.col("id").alias("event_id"), F.lit("fine").alias("comments")).write.parquet(source)
+    before = spark.conf.get(name)
+    spark.conf.set(name, "40")
+    try:
+        rows = read_stream(spark, source, "*.parquet", "event_id long, comments string")
+        stream_reviews(rows, "event_id", "comments", str(tmp_path / "out"), str(checkpoint), StubClient).awaitTermination()
+        assert spark.conf.get(name) == "40"
+    finally:
+        spark.conf.set(name, before)
+    parts = [p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]
+    assert 0 < len(parts) <= 2 * spark.sparkContext.defaultParallelism and read_answers(spark, str(tmp_path / "out")).count() == 20
