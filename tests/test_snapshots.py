@@ -169,3 +169,16 @@ def test_state_has_as_many_parts_as_cores_can_use(spark, tmp_path):
         spark.conf.set(name, before)
     parts = [p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]
     assert 0 < len(parts) <= 2 * spark.sparkContext.defaultParallelism and read_answers(spark, str(tmp_path / "out")).count() == 20
+
+
+def test_reading_merges_shuffles_no_hash(spark, tmp_path):
+    """Keys are unique within a part, so the number of the merge alone ranks rows; a hash beside every field was shuffled before."""
+    path = str(tmp_path / "table")
+    rows = spark.range(60).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("old").alias("x"), F.lit(0).alias("at"))
+    U.upsert_table(spark, path, rows, ["k"], "at", merge=0)
+    U.upsert_table(spark, path, rows.filter("k is null or k < 10").withColumn("x", F.when(F.col("k").isNull() | (F.col("k") < 5), "new")), ["k"], "at", merge=1)
+    found = U._merged(U.Store(spark, path), U.Store(spark, path).load().parts, ["k"])
+    assert sorted((r["k"] or 0, r["x"]) for r in found.collect()) == [(k, "new" if k < 5 else "old") for k in range(60)]
+    parts = [U._written(U.Store(spark, path), rows.drop("at").withColumn("x", F.lit(v)), [[n, n]]) for n, v in enumerate("ab")]
+    both = U._merged(U.Store(spark, path), parts, ["k"])
+    assert {r["x"] for r in both.collect()} == {"b"} and "xxhash64" not in both._jdf.queryExecution().optimizedPlan().toString()
