@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from struct import pack as pack_ids
 
@@ -28,6 +28,23 @@ class Limits:
     max_gap: int = 32
 
 
+class Kept(dict):
+    """Values made once for each key. When ``most`` are there they become the older ones, of which those met again stay: twice ``most`` at most."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordTokenizer:
     """Ids of a BPE with word ends and lower case, from the file at ``path``, without special tokens.
 
@@ -42,48 +59,43 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.path = path
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = Kept(self._word, self.CACHE)
+        self.parts = Kept(self._part, self.CACHE)
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in printable]
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
+    @classmethod
+    def opened(cls, path: str) -> WordTokenizer:
+        """The tokenizer that this Python worker has opened last, if it is that of ``path``: the tasks of a worker share its words."""
+        last = getattr(cls, "_last", None)
+        if last is None or last.path != path:
+            last = cls._last = cls(path)
+        return last
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = text.replace("\n", " ").split(" ")
-        known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > self.CACHE:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self._word(w)
-            return b"".join([known[w] for w in words])
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
     def _word(self, word: str) -> bytes:
         low = word.lower()
         if low.isascii() or word.isprintable() and _in_latin_1(word):
             if low.isalpha():
-                return self._part(low)
+                return self.parts[low]
             if low[:-1].isalpha() and low[-1] in ".,|!?":
-                return self._part(low[:-1]) + self._part(low[-1])
+                return self.parts[low[:-1]] + self.parts[low[-1]]
             if word.isprintable() and "<|" not in word:
-                return b"".join([self._part(p) for p in self.PARTS.findall(low)])
+                return b"".join([self.parts[p] for p in self.PARTS.findall(low)])
         ids = self.whole.encode(word, add_special_tokens=False).ids
         return pack_ids(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
-        if (ids := self.parts.get(part)) is None:
-            if len(self.parts) > self.CACHE:
-                self.parts.clear()
-            spelt = part if part.isascii() else "".join([self.letter[b] for b in part.encode()])
-            found = [t.id for t in self.model.tokenize(spelt)]
-            ids = self.parts[part] = pack_ids(f"<{len(found)}I", *found)
-        return ids
+        spelt = part if part.isascii() else "".join([self.letter[b] for b in part.encode()])
+        found = [t.id for t in self.model.tokenize(spelt)]
+        return pack_ids(f"<{len(found)}I", *found)
 
 
 def _in_latin_1(word: str) -> bool:
@@ -152,16 +164,17 @@ class Packer:
         self.made += 1
 
     def _fill(self, leave: int) -> None:
+        need = np.array([e.demand() for e in self.pool], dtype=np.float64).reshape(-1, 3)
         while len(self.pool) > leave:
-            need = np.array([e.demand() for e in self.pool], dtype=np.float64)
+            share = need / self.full
             alive = np.ones(len(self.pool), dtype=bool)
             weight = need.mean(axis=0) / self.full
             left, pieces = self.full.copy(), []
             while True:
-                fits = alive & (need <= left).all(axis=1)
-                if fits.any():
-                    score = np.where(fits, (need / self.full) @ (weight * left / self.full), -1.0)
-                    k = int(score.argmax())
+                fits = alive & (need[:, 0] <= left[0]) & (need[:, 1] <= left[1]) & (need[:, 2] <= left[2])
+                score = np.where(fits, share @ (weight * left / self.full), -1.0)
+                k = int(score.argmax())
+                if fits[k]:
                     piece = self.pool[k]
                     alive[k] = False
                 else:
@@ -172,9 +185,10 @@ class Packer:
                     k = int(long[need[long, 0].argmin()])
                     piece, self.pool[k] = self.pool[k].cut(gap)
                     need[k] = self.pool[k].demand()
+                    share[k] = need[k] / self.full
                 left -= piece.demand()
                 pieces.append(piece)
-            self.pool = [e for e, a in zip(self.pool, alive) if a]
+            self.pool, need = [e for e, a in zip(self.pool, alive) if a], need[alive]
             self._emit(pieces)
 
 
@@ -199,7 +213,7 @@ def pack(
     kind = source.schema["key"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = WordTokenizer.opened(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
 
