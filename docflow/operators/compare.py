@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,16 +105,49 @@ def heaviest(i: list[int], j: list[int], weight: list[int]) -> list[int]:
 
 
 def ordered(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """keys, i, j of the pairs that keep their order, by :func:`heaviest` within each segment."""
-    parts = segments(pairs, keys, block)
-    out = parts.select(*keys, "i", "j").schema
+    """keys, i, j of the pairs that keep their order, by :func:`heaviest` within each segment.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)).sort_by([("i", "ascending"), ("j", "ascending")])
-        chain = heaviest(*(table.column(c).to_pylist() for c in ("i", "j", "weight")))
-        yield from table.select([*keys, "i", "j"]).take(chain).to_batches()
+    Segments are many and mostly of one pair, which is its own chain: so they do not become a group of Python each, but stream through
+    a task in order, which holds one segment and one batch of rows at most.
+    """
+    parts = segments(pairs, keys, block).select(*keys, "segment", "i", "j", "weight")
+    group = [*keys, "segment"]
 
-    return parts.groupBy(*keys, "segment").applyInArrow(run, out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # the segment that may go on in the next batch
+
+        def chains(table: pa.Table, starts: list[int]) -> list[pa.RecordBatch]:
+            i, j, weight = (table.column(c).to_numpy() for c in ("i", "j", "weight"))
+            kept: list[int] = []
+            for start, stop in zip(starts, [*starts[1:], table.num_rows]):
+                if stop == start + 1:
+                    kept.append(start)
+                else:
+                    kept += [start + p for p in heaviest(i[start:stop].tolist(), j[start:stop].tolist(), weight[start:stop].tolist())]
+            return table.select([*keys, "i", "j"]).take(kept).combine_chunks().to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            if held and all(held[0].column(c)[0] == new.column(c)[0] == new.column(c)[-1] for c in group):
+                held.append(new)
+                continue
+            table = pa.concat_tables([*held, new])
+            first = np.zeros(table.num_rows, dtype=bool)
+            first[0] = True
+            for c in group:
+                column = table.column(c).combine_chunks()
+                first[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(first).tolist()
+            held = [table.slice(starts[-1])]
+            if len(starts) > 1:
+                yield from chains(table.slice(0, starts[-1]), starts[:-1])
+        if held:
+            yield from chains(pa.concat_tables(held), [0])
+
+    together = parts.repartition(*group).sortWithinPartitions(*group, "i", "j")
+    return together.mapInArrow(run, parts.select(*keys, "i", "j").schema)
 
 
 def compare_sections(

@@ -118,3 +118,30 @@ def test_equal_sections_make_as_many_pairs_as_there_are(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     found = compare.compare_sections(df, df.filter("position < 2500"), ["doc"])
     assert {r["change"]: r["count"] for r in found.groupBy("change").count().collect()} == {"same": 2500, "removed": 500}
+
+
+def test_segments_stream_through_tasks(spark):
+    """Segments of one and of many pairs, cut by batches of 3 rows, without a group of Python for each."""
+    rng, rows, want = random.Random(5), [], set()
+    for doc in ("a", "b"):
+        at = 0
+        for n in (1, 1, 7, 1, 2, 11, 1, 3, 6, 1):
+            js = rng.sample(range(n), n)
+            if n > 1:  # the first and the last pair cross all others, so they tie the segment
+                js = [n - 1, *[j for j in js if j not in (0, n - 1)], 0]
+            listed = [(at + i, at + j, rng.choice([500, 700, 1000])) for i, j in enumerate(js)]
+            rows += [(doc, *p) for p in listed]
+            want |= {(doc, *listed[p][:2]) for p in compare.heaviest(*map(list, zip(*listed)))}
+            at += n
+    rng.shuffle(rows)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 3)
+    try:
+        found = compare.ordered(spark.createDataFrame(rows, "doc string, i long, j long, weight long"), ["doc"], 4)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+        assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+        none = compare.ordered(spark.createDataFrame([], "doc string, i long, j long, weight long"), ["doc"], 4)
+        assert none.columns == ["doc", "i", "j"] and none.count() == 0
+    finally:
+        spark.conf.set(name, before)
