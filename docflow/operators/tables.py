@@ -16,7 +16,8 @@ def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None =
     A head is opened if row 0 is a header row and closed before the first row that
     is none, or at the end. Cells become rows, rows blocks of rows, blocks a table;
     a block is kept in two halves, above and from its first row that is no header,
-    so that the table can put the close where it belongs.
+    so that the table can put the close where it belongs. Without ``row_counts`` cells are dealt by
+    block once: rows and blocks are then made where they lie, and cells are not sorted before they are dealt.
     """
     heading = F.coalesce(F.col("kind").isin("columnHeader", "rowHeader"), F.lit(False))
     tag = F.when(heading, F.lit("th")).otherwise(F.lit("td"))
@@ -28,15 +29,14 @@ def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None =
         F.lit("<"), tag, span("colSpan", "column_span"), span("rowSpan", "row_span"), F.lit(">"),
         html_escape(F.coalesce("content", F.lit(""))), F.lit("</"), tag, F.lit(">"),
     )
-    rows = cells.groupBy(*keys, "row_index").agg(
-        F.concat_ws(
-            "",
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col("column_index").alias("o"), html.alias("v")))),
-                lambda p: p["v"],
-            ),
-        ).alias("_cells"),
-        F.max(F.coalesce(F.col("kind") == "columnHeader", F.lit(False))).alias("_header"),
+    head = F.coalesce(F.col("kind") == "columnHeader", F.lit(False))
+    spot = F.floor(F.col("row_index") / F.lit(block)).alias("_block")
+    placed = cells.select(*keys, "row_index", F.col("column_index").alias("o"), html.alias("v"), head.alias("_head"))
+    if row_counts is None:
+        placed = placed.select(*keys, spot, "row_index", "o", "v", "_head").repartition(*keys, "_block")
+    rows = placed.groupBy(*placed.columns[:-3]).agg(
+        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("o", "v"))), lambda p: p["v"])).alias("_cells"),
+        F.max("_head").alias("_header"),
     )
     if row_counts is not None:
         every = row_counts.filter(F.col("row_count") > 0).select(
@@ -44,15 +44,15 @@ def table_html(cells: DataFrame, keys: list[str], row_counts: DataFrame | None =
         )
         rows = every.join(rows, [*keys, "row_index"], "left").select(
             *keys, "row_index", F.coalesce("_cells", F.lit("")).alias("_cells"),
-            F.coalesce("_header", F.lit(False)).alias("_header"),
+            F.coalesce("_header", F.lit(False)).alias("_header"), spot,
         )
     line = F.concat(
         F.when((F.col("row_index") == 0) & F.col("_header"), F.lit("<thead>")).otherwise(F.lit("")),
         F.lit("<tr>"), "_cells", F.lit("</tr>"),
     )
     blocks = (
-        rows.select(*keys, "row_index", "_header", line.alias("_line"))
-        .groupBy(*keys, F.floor(F.col("row_index") / F.lit(block)).alias("_block"))
+        rows.select(*keys, "_block", "row_index", "_header", line.alias("_line"))
+        .groupBy(*keys, "_block")
         .agg(
             F.array_sort(F.collect_list(F.struct(F.col("row_index").alias("o"), F.col("_line").alias("v")))).alias("_lines"),
             F.min(F.when(~F.col("_header"), F.col("row_index"))).alias("_body"),
