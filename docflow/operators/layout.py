@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,21 +21,35 @@ def _exploded(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.explode_outer("_rows").alias("_r")).filter(F.col("_r").isNotNull()).select(*keys, "_r.*")
 
 
+def _piece(wide: Column, offset: Column, length: Column) -> Column:
+    """``substr`` of a text that is given as UTF-32: a character is found by its place, without a walk from the text's start.
+
+    A mark goes before the piece, as the reader takes the first one for the order of bytes and drops it.
+    """
+    at = (offset + 1).cast("int")
+    cut = F.substr(wide, F.when(at > 0, 4 * at - 3).otherwise(4 * at), 4 * length.cast("int"))
+    return F.decode(F.concat(F.unhex(F.lit("0000FEFF")), cut), "UTF-32")
+
+
 def paragraphs_of(layout: DataFrame, keys: list[str]) -> DataFrame:
     """One row per paragraph with its text, cut from the content before rows are multiplied."""
-    def row(p: Column, i: Column) -> Column:
-        span = F.get(p["spans"], F.lit(0))
-        return F.struct(
-            i.cast("bigint").alias("idx"),
-            span["offset"].alias("start"),
-            _span_end(span).alias("end"),
-            p["role"].alias("role"),
-            F.get(p["boundingRegions"], F.lit(0))["pageNumber"].cast("bigint").alias("page"),
-            F.substr(F.col("content"), (span["offset"] + 1).cast("int"), span["length"].cast("int")).alias("text"),
-        )
+    def row(wide: Column) -> Callable[[Column, Column], Column]:
+        def made(p: Column, i: Column) -> Column:
+            span = F.get(p["spans"], F.lit(0))
+            return F.struct(
+                i.cast("bigint").alias("idx"),
+                span["offset"].alias("start"),
+                _span_end(span).alias("end"),
+                p["role"].alias("role"),
+                F.get(p["boundingRegions"], F.lit(0))["pageNumber"].cast("bigint").alias("page"),
+                _piece(wide, span["offset"], span["length"]).alias("text"),
+            )
 
-    rows = layout.select(*keys, F.transform("paragraphs", row).alias("_rows"))
-    return _exploded(rows, keys)
+        return made
+
+    # the content as UTF-32 is bound once a document; named in the inner lambda it would be made anew for each paragraph
+    bound = F.transform(F.array(F.encode("content", "UTF-32")), lambda wide: F.transform("paragraphs", row(wide)))
+    return _exploded(layout.select(*keys, F.get(bound, F.lit(0)).alias("_rows")), keys)
 
 
 def tables_of(layout: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,16 +130,11 @@ def document_map(
     """Text and table rows with titles, section and page.
 
     Scans run over narrow rows; texts are joined to their results at the end. A scan
-    reads its input twice, so the narrow rows are written between scans: passes over
-    the layout results stay two, however many scans follow.
+    reads its input twice, so rows are written between scans: texts are cut from the
+    layout results once, however many scans follow, and these read no texts.
     """
-    spans = write_once(
-        paragraphs.select(
-            *keys, "idx", "start", "end", "role", "page",
-            F.when(F.col("role").isin("title", "sectionHeading"), F.col("text")).alias("name"),
-        ),
-        "spans",
-    )
+    written = write_once(paragraphs.select(*keys, "idx", "start", "end", "role", "page", "text"), "paragraphs")
+    spans = written.drop("text")
     narrow_tables = write_once(tables.select(*keys, "idx", "start", "end"), "table-spans")
     classed = write_once(classify(spans, narrow_tables, keys, block), "classes")
     elements = classed.filter(F.col("class").isin("text", "table", "title", "heading"))
@@ -147,7 +158,8 @@ def document_map(
         "element-pages",
     )
 
-    names = spans.filter(F.col("name").isNotNull()).select(*keys, "idx", F.col("name").alias("_text"))
+    headed = written.filter(F.col("role").isin("title", "sectionHeading") & F.col("text").isNotNull())
+    names = headed.select(*keys, "idx", F.col("text").alias("_text"))
     named = write_once(paged.filter(F.col("class").isin("title", "heading")).join(names, [*keys, "idx"]), "headings")
     titles = named.filter(F.col("class") == "title")
     firsts = titles.groupBy(*keys).agg(F.min("start").alias("start")).withColumn("_first", F.lit(True))
@@ -178,7 +190,7 @@ def document_map(
     ).filter(F.col("class").isin("text", "table"))
 
     counts = tables.select(*keys, "idx", "row_count") if "row_count" in tables.columns else None
-    bodies = paragraphs.select(*keys, F.lit("paragraph").alias("kind"), "idx", F.col("text").alias("_text"))
+    bodies = written.select(*keys, F.lit("paragraph").alias("kind"), "idx", F.col("text").alias("_text"))
     texts = bodies.unionByName(
         table_html(cells, [*keys, "idx"], counts).select(*keys, F.lit("table").alias("kind"), "idx", F.col("html").alias("_text"))
     )
