@@ -75,6 +75,22 @@ def test_a_stopped_run_ends_with_the_same_choice(spark, tmp_path, monkeypatch):
     assert A.r2 is stopping and {"prediction"} <= set(same.model.transform(check).columns)
 
 
+def test_a_whole_table_of_trials_needs_no_fit(spark, tmp_path, monkeypatch):
+    """With all trials there, the second call makes no features and loads the winner; a rung's candidates pass over its sample only."""
+    x = F.col("id") % 40
+    df = spark.range(900).select("id", x.cast("double").alias("x"), ((x - 20) * (x - 20) + F.col("id") % 3).cast("double").alias("y"))
+    train, check, store = df.filter("id % 5 <> 0"), df.filter("id % 5 = 0").drop("id"), str(tmp_path / "trials")
+    written, real = [], A.write_features
+    monkeypatch.setattr(A, "write_features", lambda ready: written.append(real(ready)) or written[-1])
+    trials, best = A.halving_trials(train, check, "y", "id", store)
+    rows = {r["rung"]: r["n_rows"] for r in trials.collect()}
+    assert [w.count() for w in written] == [rows[2], 180, rows[0], rows[1]]
+    monkeypatch.setattr(A, "column_profile", None)
+    again, same = A.halving_trials(train, check, "y", "id", store)
+    assert again.count() == 8 and len(written) == 4 and (same.name, same.r2) == (best.name, best.r2)
+    assert abs(A.r2(same.model.transform(check), "y").first()["r2"] - best.r2) < 1e-9
+
+
 def test_a_task_of_a_fit_has_bounded_rows(spark, monkeypatch):
     """Features that are small on disk are many bytes in a fit, so rows are counted and not what a file takes."""
     parts = []
