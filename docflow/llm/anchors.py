@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +22,9 @@ class Words:
     """The words of a chunk's documents as hashes, one after the other; ``start`` has where each document begins."""
 
     def __init__(self, documents: pa.Table):
-        self.lists = [texts.words(x.as_py()) for x in documents.column("text")]
-        sizes = np.array([len(x) for x in self.lists], dtype=np.int64)
-        self.start = np.r_[0, np.cumsum(sizes)]
-        value = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*self.lists)}
-        self.hash = np.fromiter((value[w] for x in self.lists for w in x), np.uint64, int(self.start[-1]))
+        self.texts = texts.Words(documents.column("text"))
+        self.start, self.hash = self.texts.start, self.texts.hashes()
+        sizes = np.diff(self.start)
         self.room = np.repeat(self.start[1:], sizes) - np.arange(len(self.hash))  # words up to the end of the document
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,17 +123,16 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", width
         edge[at] += 1
         np.add.at(edge, at + width, -1)
         gone = np.cumsum(edge)[:-1] > 0
-        removed, spans, kept = [], [], []
-        for k, own in enumerate(words.lists):
-            mask = gone[words.start[k] : words.start[k + 1]]
-            turn = np.flatnonzero(np.diff(np.r_[False, mask, False].astype(np.int8)))
-            removed.append(int(mask.sum()))
-            spans.append([{"start": int(a), "words": int(b - a)} for a, b in zip(turn[::2], turn[1::2])])
-            kept.append(b" ".join([w for w, m in zip(own, mask.tolist()) if not m] if removed[-1] else own).decode("utf-8", "surrogatepass"))
+        removed = np.diff(np.r_[0, np.cumsum(gone)][words.start])
+        first = np.zeros(len(gone) + 1, dtype=bool)
+        first[words.start] = True
+        begin = np.flatnonzero(gone & (first[:-1] | ~np.r_[False, gone][:-1]))
+        end = np.flatnonzero(gone & (first[1:] | ~np.r_[gone, False][1:])) + 1
+        spans = pa.StructArray.from_arrays([pa.array(begin - words.start[np.searchsorted(words.start, begin, side="right") - 1]), pa.array(end - begin)], names=["start", "words"])
         yield pa.record_batch(
             [
                 documents.column("key").combine_chunks(), pa.array(np.diff(words.start), pa.int64()), pa.array(removed, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))), pa.array(kept, pa.string()),
+                pa.ListArray.from_arrays(pa.array(np.searchsorted(begin, words.start), pa.int32()), spans), words.texts.joined(~gone),
             ],
             names=["doc_id", "n_words", "n_removed", "spans", "kept_text"],
         )
