@@ -34,11 +34,9 @@ class Shingles:
     """The distinct shingles of each document of a chunk, as hashes: ``hash`` in ``doc`` order, sorted within a document."""
 
     def __init__(self, documents: pa.Table, width: int):
-        lists = [texts.words(x.as_py().translate(_LOWER)) if x.is_valid else [] for x in documents.column("text")]
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        start = np.r_[0, np.cumsum(sizes)]
-        value = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*lists)}
-        h = np.fromiter((value[w] for x in lists for w in x), np.uint64, int(start[-1]))
+        words = texts.Words(documents.column("text"), lower=True)
+        start, h = words.start, words.hashes()
+        sizes = np.diff(start)
         room = np.repeat(start[1:], sizes) - np.arange(len(h))
         at = np.flatnonzero(room >= width)
         found, doc = [ex.rolled(h, width)[at] if len(at) else h[:0]], [np.searchsorted(start, at, side="right") - 1]
@@ -48,14 +46,12 @@ class Shingles:
                 found.append(ex.mixed(ex.rolled(h, n)[start[short]] + np.uint64(n)))
                 doc.append(short)
         h, doc = np.concatenate(found), np.concatenate(doc)
-        order = np.lexsort((h, doc))
+        order = np.argsort(h)
+        order = order[np.argsort(doc[order].astype(np.min_scalar_type(len(sizes))), kind="stable")]
         h, doc = h[order], doc[order]
         new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
         self.hash, self.doc = h[new], doc[new]
-        self.start = np.searchsorted(self.doc, np.arange(len(lists) + 1))
-
-
-_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+        self.start = np.searchsorted(self.doc, np.arange(len(sizes) + 1))
 
 
 class CountAsk:

@@ -5,6 +5,7 @@ import pyarrow as pa
 
 from docflow.llm import texts
 from docflow.llm.anchors import Words
+from docflow.llm.jaccard import Shingles
 
 
 def odd_texts():
@@ -32,7 +33,7 @@ def test_words_of_many_texts_are_those_of_each():
 
 
 def test_no_word_becomes_an_object(monkeypatch):
-    """Chunks of op10 are cut and hashed as arrays: a list of words a document was most of their time."""
+    """Chunks of op7 and op10 are cut and hashed as arrays: a list of words a document was most of their time."""
     monkeypatch.setattr(texts, "words", None)
     documents = pa.table({"key": list(range(len(odd_texts()))), "text": pa.array(odd_texts(), pa.string())})
-    assert len(Words(documents).hash)
+    assert len(Words(documents).hash) and len(Shingles(documents, 5).hash)
