@@ -57,9 +57,7 @@ x AS (SELECT doc_id, p AS i, list_distinct(regexp_extract_all(text, '[^\x20\x09-
 y AS (SELECT doc_id, p AS j, list_distinct(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM b WHERE (doc_id, p) NOT IN (SELECT (doc_id, j) FROM equal)),
 xt AS (SELECT doc_id, i, unnest(w) AS term FROM x),
 yt AS (SELECT doc_id, j, unnest(w) AS term FROM y),
-xr AS (SELECT * FROM xt QUALIFY count(*) OVER (PARTITION BY doc_id, term) <= 4),
-yr AS (SELECT * FROM yt QUALIFY count(*) OVER (PARTITION BY doc_id, term) <= 4),
-met AS (SELECT DISTINCT doc_id, i, j FROM xr JOIN yr USING (doc_id, term)),
+met AS (SELECT DISTINCT doc_id, i, j FROM xt JOIN yt USING (doc_id, term)),
 alike AS (
   SELECT doc_id, i, j, least(1000 * c // (len(x.w) + len(y.w) - c), 999)::BIGINT AS weight
   FROM (SELECT met.*, len(list_intersect(x.w, y.w)) AS c, x, y FROM met JOIN x USING (doc_id, i) JOIN y USING (doc_id, j))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from docflow.operators.scan import BLOCK, Running, row_numbers, running
 from docflow.session import write_once
 
 WHOLE = 1000  # similarity of equal texts
+NEAR = 4096  # pairs of sections of a document that are compared without an index of words
+CELL = 1024  # sections with one word that meet in one task, on either side
 _FAR = 1 << 40  # positions are below it
 
 
@@ -22,6 +25,11 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
 
+def meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join that sorts both sides. Rows of numbers take many times the memory of their files, by which a plan would send them through the driver."""
+    return left.join(right.hint("merge"), keys, how)
+
+
 def equal_sections(old: DataFrame, new: DataFrame, keys: list[str], block: int) -> DataFrame:
     """keys, i, j: the k-th section with a text beside the k-th with the same text; as many pairs as the rarer side has sections."""
     def numbered(df: DataFrame, name: str) -> DataFrame:
@@ -31,27 +39,65 @@ def equal_sections(old: DataFrame, new: DataFrame, keys: list[str], block: int)
     return numbered(old, "i").join(numbered(new, "j"), [*keys, "same", "k"]).select(*keys, "i", "j")
 
 
-def alike_sections(old: DataFrame, new: DataFrame, keys: list[str], rare: int, least: int) -> DataFrame:
-    """keys, i, j, weight: pairs that share a rare word, with their common share of words in thousandths, ``least`` or more.
+def alike_sections(old: DataFrame, new: DataFrame, keys: list[str], least: int, near: int = NEAR) -> DataFrame:
+    """keys, i, j, weight: all pairs with ``least`` or more thousandths of their words in common, however frequent these words are.
 
-    A word is rare if at most ``rare`` sections of either version of the document have it, so a word leads to ``rare`` squared pairs
-    at most. Words are counted before any pair is made.
+    Pairs share a word at least. Sections of a document with at most ``near`` pairs meet each with each; those of larger documents by
+    :func:`candidates`, which lose none. Words are compared as they are.
     """
     def spelled(df: DataFrame, side: int) -> DataFrame:
-        return df.select(*keys, "position", F.explode(terms(F.col("text"))).alias("term"), F.lit(side).alias("side"))
-
-    words = write_once(spelled(old, 0).unionByName(spelled(new, 1)), "terms")
-    counts = words.groupBy(*keys, "term").agg(F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new"))
-    known = counts.filter(F.col("n_old").between(1, rare) & F.col("n_new").between(1, rare)).select(*keys, "term")
-    found = words.join(known, [*keys, "term"])
-    sides = [found.filter(F.col("side") == s).select(*keys, "term", F.col("position").alias(n)) for s, n in ((0, "i"), (1, "j"))]
-    pairs = sides[0].join(sides[1], [*keys, "term"]).select(*keys, "i", "j").distinct()
-    x = old.select(*keys, F.col("position").alias("i"), terms(F.col("text")).alias("x"))
-    y = new.select(*keys, F.col("position").alias("j"), terms(F.col("text")).alias("y"))
-    both = pairs.join(x, [*keys, "i"]).join(y, [*keys, "j"]).withColumn("common", F.size(F.array_intersect("x", "y")))
+        return df.select(*keys, F.lit(side).alias("side"), "position", terms(F.col("text")).alias("words")).filter(F.size("words") > 0)
+
+    rest = write_once(spelled(old, 0).unionByName(spelled(new, 1)), "rest")
+    sizes = rest.groupBy(*keys).agg(F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new"))
+    known = write_once(sizes.filter((F.col("n_old") > 0) & (F.col("n_new") > 0)).select(*keys, (F.col("n_old") * F.col("n_new") > near).alias("far")), "rest-sizes")
+    dealt = write_once(meet(rest, known, keys), "rest-dealt")
+
+    def one(side: int, position: str, words: str) -> DataFrame:
+        return dealt.filter(F.col("side") == side).select(*keys, "far", F.col("position").alias(position), F.col("words").alias(words))
+
+    x, y = one(0, "i", "x"), one(1, "j", "y").drop("far")
+    pairs = candidates(dealt.filter("far"), keys, least)
+    close = meet(x.filter(~F.col("far")), y, keys).drop("far")
+    apart = meet(meet(pairs, x.drop("far"), [*keys, "i"]), y, [*keys, "j"])
+    both = close.unionByName(apart).filter(_like(F.size("x"), F.size("y"), least)).withColumn("common", F.size(F.array_intersect("x", "y")))
     weight = F.floor(WHOLE * F.col("common") / (F.size("x") + F.size("y") - F.col("common"))).cast("long")
     below = F.least(weight, F.lit(WHOLE - 1)).alias("weight")  # the same words in another order are not the same text
-    return both.select(*keys, "i", "j", below).filter(F.col("weight") >= least)
+    return both.filter(F.col("common") > 0).select(*keys, "i", "j", below).filter(F.col("weight") >= least)
+
+
+def _like(m: Column, n: Column, least: int) -> Column:
+    """Whether sections of so many words can have ``least`` thousandths in common."""
+    return WHOLE * F.least(m, n).cast("long") >= least * F.greatest(m, n).cast("long")
+
+
+def candidates(sections: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """keys, i, j: pairs of an old (``side`` 0) and a new section, among which are all that have ``least`` thousandths of ``words`` in common.
+
+    All words of a document have one order, by the number of pairs that they lead to. Of n words of a section, at least ``least`` thousandths
+    are in a pair's common share, so the first of the common words is among its first n, less these, and one: two sections that share
+    none of these words are no pair. Words are hashed, which may add pairs and loses none. A word of many sections on both sides is dealt
+    over a grid of tasks.
+    """
+    words = sections.select(*keys, "side", "position", F.size("words").alias("n"), F.explode(F.transform("words", lambda w: F.xxhash64(w))).alias("word"))
+    counts = words.groupBy(*keys, "word").agg(F.count_if(F.col("side") == 0).alias("n_old"), F.count_if(F.col("side") == 1).alias("n_new"))
+    shared = write_once(counts.filter((F.col("n_old") > 0) & (F.col("n_new") > 0)), "words")
+    cost = F.coalesce(F.col("n_old") * F.col("n_new"), F.lit(0))  # words of one side come first and lead to no pair
+    order = F.array_sort(F.collect_list(F.struct(cost.alias("cost"), "word", "n_old", "n_new")))
+    ranked = meet(words, shared, [*keys, "word"], "left").groupBy(*keys, "side", "position", "n").agg(order.alias("order"))
+    most = F.greatest(F.col("n") - F.ceil(F.lit(least) * F.col("n") / WHOLE) + 1, F.lit(0)).cast("int")
+    first = ranked.select(*keys, "side", "position", "n", F.explode(F.slice("order", F.lit(1), most)).alias("w")).filter("w.cost > 0")
+    found = write_once(first.select(*keys, "side", "position", "n", "w.word", "w.n_old", "w.n_new"), "first-words")
+
+    def grid(side: int, position: str, n: str) -> DataFrame:
+        parts = {"row": F.ceil(F.col("n_old") / CELL).cast("long"), "column": F.ceil(F.col("n_new") / CELL).cast("long")}
+        own, other = ("row", "column") if side == 0 else ("column", "row")
+        mine = found.filter(F.col("side") == side).withColumn(own, F.pmod(F.xxhash64("position"), parts[own]))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), parts[other] - 1))
+        return mine.withColumn(other, every).select(*keys, "word", "row", "column", F.col("position").alias(position), F.col("n").alias(n))
+
+    met = meet(grid(0, "i", "m"), grid(1, "j", "n"), [*keys, "word", "row", "column"])
+    return met.filter(_like(F.col("m"), F.col("n"), least)).select(*keys, "i", "j").distinct()
 
 
 def segments(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
@@ -69,7 +115,7 @@ def segments(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
     return pairs.join(numbered.select(*keys, "i", "segment"), [*keys, "i"])
 
 
-def heaviest(i: list[int], j: list[int], weight: list[int]) -> list[int]:
+def heaviest(i: Sequence[int], j: Sequence[int], weight: Sequence[int]) -> list[int]:
     """Numbers of the pairs of the heaviest chain that rises on both sides; pairs come by i, then j.
 
     Of equally heavy chains each pair follows the one of least (i, j), and the last is the one of least (i, j). A binary indexed tree over
@@ -77,7 +123,7 @@ def heaviest(i: list[int], j: list[int], weight: list[int]) -> list[int]:
     """
     places = {v: k for k, v in enumerate(sorted(set(j)), 1)}
     tree: list[tuple[int, int]] = [(0, 0)] * (len(places) + 1)  # weight, minus number of the pair's turn
-    best, before = [0] * len(i), [-1] * len(i)
+    best, before = array("q", bytes(8 * len(i))), array("q", [-1]) * len(i)
     start = 0
     while start < len(i):
         stop = start
@@ -123,7 +169,7 @@ def ordered(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
                 if stop == start + 1:
                     kept.append(start)
                 else:
-                    kept += [start + p for p in heaviest(i[start:stop].tolist(), j[start:stop].tolist(), weight[start:stop].tolist())]
+                    kept += [start + p for p in heaviest(*(memoryview(c[start:stop]) for c in (i, j, weight)))]
             return table.select([*keys, "i", "j"]).take(kept).combine_chunks().to_batches()
 
         for batch in batches:
@@ -151,13 +197,13 @@ def ordered(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
 
 
 def compare_sections(
-    old: DataFrame, new: DataFrame, keys: list[str], position: str = "position", text: str = "text", rare: int = 4, least: int = 500, block: int = BLOCK
+    old: DataFrame, new: DataFrame, keys: list[str], position: str = "position", text: str = "text", least: int = 500, block: int = BLOCK
 ) -> DataFrame:
     """keys, change, old_position, new_position, similarity: every section of both versions once.
 
     Sections are rows with a document (``keys``), a unique ``position`` (a whole number from 0) and a text; null texts and keys take no part.
-    The k-th section of a text pairs with the k-th of the same text in the other version; what finds no equal pairs with sections
-    that share a word which few sections have, at ``least`` thousandths of common words. The heaviest chain of pairs that keeps the order on both
+    The k-th section of a text pairs with the k-th of the same text in the other version; what finds no equal pairs with all
+    sections that have ``least`` thousandths of their words in common with it. The heaviest chain of pairs that keeps the order on both
     sides says what is ``same`` and ``changed``; equal pairs beside it have ``moved``; all else is ``removed`` or ``added``.
     Equally heavy chains are decided by positions, so the answer does not depend on how rows are dealt. Empty sides are fine.
     """
@@ -165,7 +211,7 @@ def compare_sections(
     a, b = write_once(whole(old), "old-sections"), write_once(whole(new), "new-sections")
     equal = write_once(equal_sections(a, b, keys, block), "equal-sections")
     rest = lambda df, n: df.join(equal.select(*keys, F.col(n).alias("position")), [*keys, "position"], "left_anti")
-    alike = alike_sections(rest(a, "i"), rest(b, "j"), keys, rare, least)
+    alike = alike_sections(rest(a, "i"), rest(b, "j"), keys, least)
     pairs = write_once(equal.withColumn("weight", F.lit(WHOLE).cast("long")).unionByName(alike), "pairs")
     chain = write_once(ordered(pairs, keys, block).withColumn("kept", F.lit(True)), "chain")
     equals = F.col("weight") == WHOLE

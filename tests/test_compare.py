@@ -145,3 +145,35 @@ def test_segments_stream_through_tasks(spark):
         assert none.columns == ["doc", "i", "j"] and none.count() == 0
     finally:
         spark.conf.set(name, before)
+
+
+def changed_words(seed):
+    """Sections of few words in ever new orders and choices, so that every word is in most sections of both versions."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(9)]
+    line = lambda mark: " ".join([*rng.sample(vocabulary, rng.randint(1, 7)), *([mark] if rng.random() < 0.3 else [])])
+    return {2 * p: line("old") for p in range(30)}, {3 * p + 1: line("new") for p in range(26)}
+
+
+@pytest.mark.parametrize("least", [0, 1, 334, 500, 667, 999, 1000])
+@pytest.mark.parametrize("near", [0, 1 << 40])
+def test_alike_sections_are_all_found_however_frequent_their_words(spark, monkeypatch, near, least):
+    monkeypatch.setattr(compare, "CELL", 3)  # words are dealt over a grid of tasks
+    versions, want = {}, set()
+    for doc in range(3):
+        old, new = versions[doc] = changed_words(doc)
+        for i, j in ((i, j) for i in old for j in new):
+            x, y = set(old[i].split()), set(new[j].split())
+            weight = min(1000 * len(x & y) // len(x | y), 999)
+            if x & y and weight >= least:
+                want.add((doc, i, j, weight))
+    df = [spark.createDataFrame([(d, p, t) for d in versions for p, t in versions[d][side].items()], "doc long, position long, text string") for side in (0, 1)]
+    found = [tuple(r) for r in compare.alike_sections(*df, ["doc"], least, near).select("doc", "i", "j", "weight").collect()]
+    assert len(found) == len(set(found)) and set(found) == want and (least == 1000 or want)
+
+
+def test_words_of_many_sections_pair_them(spark):
+    """Eleven equal lines, each reworded: every word they share is in more sections than a few."""
+    old, new = ([(1, p, f"row of the yearly table holds the sum {side}", "", "") for p in range(11)] for side in ("before", "now"))
+    found = compare.compare_sections(spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA), ["doc"])
+    assert sorted(map(tuple, found.collect())) == [(1, "changed", p, p, 777) for p in range(11)]
