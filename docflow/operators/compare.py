@@ -17,7 +17,7 @@ from docflow.session import write_once
 WHOLE = 1000  # similarity of equal texts
 NEAR = 4096  # pairs of sections of a document that are compared without an index of words
 CELL = 1024  # sections with one word that meet in one task, on either side
-_FAR = 1 << 40  # positions are below it
+_LAST = (1 << 40) - 1  # positions are not above it; counted from there, blocks are the same as counted from 0
 
 
 def terms(text: Column) -> Column:
@@ -31,12 +31,27 @@ def meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner")
 
 
 def equal_sections(old: DataFrame, new: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """keys, i, j: the k-th section with a text beside the k-th with the same text; as many pairs as the rarer side has sections."""
-    def numbered(df: DataFrame, name: str) -> DataFrame:
-        hashed = df.select(*keys, "position", F.sha2("text", 256).alias("same"))
-        return row_numbers(hashed, [*keys, "same"], "position", "k", block).withColumnRenamed("position", name)
+    """keys, i, j: the k-th section with a text beside the k-th with the same text; as many pairs as the rarer side has sections.
 
-    return numbered(old, "i").join(numbered(new, "j"), [*keys, "same", "k"]).select(*keys, "i", "j")
+    A text that both versions have once makes its pair as it is counted; only sections of others are numbered.
+    """
+    def hashed(df: DataFrame, side: int) -> DataFrame:
+        return df.select(*keys, F.unhex(F.sha2("text", 256)).alias("same"), F.lit(side).alias("side"), "position")
+
+    both = hashed(old, 0).unionByName(hashed(new, 1))
+    mine = lambda side: F.when(F.col("side") == side, F.col("position"))
+    ends = [f(mine(side)).alias(f"{name}_{'ij'[side]}") for name, f in (("n", F.count), ("first", F.min)) for side in (0, 1)]
+    shared = both.groupBy(*keys, "same").agg(*ends).filter((F.col("n_i") > 0) & (F.col("n_j") > 0))
+    often = F.when(F.col("n_i") + F.col("n_j") > 2, F.col("same"))
+    texts = write_once(shared.select(*keys, F.col("first_i").alias("i"), F.col("first_j").alias("j"), often.alias("same")), "equal-texts")
+    again = write_once(meet(both, texts.filter(F.col("same").isNotNull()).select(*keys, "same"), [*keys, "same"], "left_semi"), "repeated-sections")
+
+    def numbered(side: int, name: str) -> DataFrame:
+        one = again.filter(F.col("side") == side).select(*keys, "same", "position")
+        return row_numbers(one, [*keys, "same"], "position", "k", block).withColumnRenamed("position", name)
+
+    repeated = meet(numbered(0, "i"), numbered(1, "j"), [*keys, "same", "k"])
+    return texts.filter(F.col("same").isNull()).select(*keys, "i", "j").unionByName(repeated.select(*keys, "i", "j"))
 
 
 def alike_sections(old: DataFrame, new: DataFrame, keys: list[str], least: int, near: int = NEAR) -> DataFrame:
@@ -108,11 +123,11 @@ def segments(pairs: DataFrame, keys: list[str], block: int) -> DataFrame:
     """
     spans = write_once(pairs.groupBy(*keys, "i").agg(F.min("j").alias("lo"), F.max("j").alias("hi")), "spans")
     ahead = running(spans, keys, "i", {"reached": Running("max", F.col("hi"), inclusive=False)}, block=block)
-    back = running(spans.withColumn("r", F.lit(_FAR) - F.col("i")), keys, "r", {"left": Running("max", -F.col("lo"))}, block=block)
+    back = running(spans.withColumn("r", F.lit(_LAST) - F.col("i")), keys, "r", {"left": Running("max", -F.col("lo"))}, block=block)
     opens = F.coalesce((F.col("reached") < -F.col("left")).cast("long"), F.lit(1))
-    marked = write_once(ahead.join(back.select(*keys, "i", "left"), [*keys, "i"]).select(*keys, "i", opens.alias("opens")), "cuts")
+    marked = write_once(meet(ahead, back.select(*keys, "i", "left"), [*keys, "i"]).select(*keys, "i", opens.alias("opens")), "cuts")
     numbered = running(marked, keys, "i", {"segment": Running("sum", F.col("opens"))}, block=block)
-    return pairs.join(numbered.select(*keys, "i", "segment"), [*keys, "i"])
+    return meet(pairs, numbered.select(*keys, "i", "segment"), [*keys, "i"])
 
 
 def heaviest(i: Sequence[int], j: Sequence[int], weight: Sequence[int]) -> list[int]:
@@ -210,17 +225,17 @@ def compare_sections(
     whole = lambda df: df.select(*keys, F.col(position).cast("long").alias("position"), F.col(text).alias("text")).dropna()
     a, b = write_once(whole(old), "old-sections"), write_once(whole(new), "new-sections")
     equal = write_once(equal_sections(a, b, keys, block), "equal-sections")
-    rest = lambda df, n: df.join(equal.select(*keys, F.col(n).alias("position")), [*keys, "position"], "left_anti")
+    rest = lambda df, n: meet(df, equal.select(*keys, F.col(n).alias("position")), [*keys, "position"], "left_anti")
     alike = alike_sections(rest(a, "i"), rest(b, "j"), keys, least)
     pairs = write_once(equal.withColumn("weight", F.lit(WHOLE).cast("long")).unionByName(alike), "pairs")
     chain = write_once(ordered(pairs, keys, block).withColumn("kept", F.lit(True)), "chain")
     equals = F.col("weight") == WHOLE
-    placed = pairs.join(chain, [*keys, "i", "j"], "left").filter(F.col("kept") | equals)
+    placed = meet(pairs, chain, [*keys, "i", "j"], "left").filter(F.col("kept") | equals)
     change = F.when(F.col("kept").isNull(), "moved").when(equals, "same").otherwise("changed")
     met = write_once(placed.select(*keys, change.alias("change"), F.col("i").alias("old_position"), F.col("j").alias("new_position"), F.col("weight").alias("similarity")), "met")
 
     def alone(df: DataFrame, side: str, other: str, name: str) -> DataFrame:
-        lone = df.withColumnRenamed("position", side).join(met.select(*keys, side), [*keys, side], "left_anti")
+        lone = meet(df.withColumnRenamed("position", side), met.select(*keys, side), [*keys, side], "left_anti")
         return lone.select(*keys, F.lit(name).alias("change"), side, F.lit(None).cast("long").alias(other), F.lit(None).cast("long").alias("similarity"))
 
     return met.unionByName(alone(a, "old_position", "new_position", "removed")).unionByName(alone(b, "new_position", "old_position", "added"))

@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from docflow.operators import compare
 
@@ -177,3 +178,16 @@ def test_words_of_many_sections_pair_them(spark):
     old, new = ([(1, p, f"row of the yearly table holds the sum {side}", "", "") for p in range(11)] for side in ("before", "now"))
     found = compare.compare_sections(spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA), ["doc"])
     assert sorted(map(tuple, found.collect())) == [(1, "changed", p, p, 777) for p in range(11)]
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    """Tables of numbers are small as files and not in memory, so no join broadcasts one, but for what blocks of a long document inherit."""
+    plans, write = [], compare.write_once
+    monkeypatch.setattr(compare, "write_once", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, name))[1])
+    old = spark.createDataFrame([(d, p, f"{d} {p} some words", "", "") for d in range(4) for p in (0, 1, 1, 2)], SCHEMA).distinct()
+    found = compare.compare_sections(old, old.withColumn("text", F.regexp_replace("text", " 1 ", " one ")), ["doc"])
+    assert {r["change"]: r["count"] for r in found.groupBy("change").count().collect()} == {"same": 8, "changed": 4}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    sent = [line for plan in plans for line in plan.splitlines() if "BroadcastHashJoin" in line and "_block" not in line]
+    assert len(plans) > 8 and not sent
+    assert compare._LAST // compare.BLOCK == (compare._LAST - compare.BLOCK + 1) // compare.BLOCK  # a short document inherits nothing from its first position
